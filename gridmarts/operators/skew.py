@@ -1,0 +1,167 @@
+"""Equi-joins that hold up when a few keys own much of the data.
+
+Adaptive execution can split an oversized left side of a left join, but not the right
+side, and it reacts only after the shuffle. Here a sketch of both sides' keys is taken
+first. If no key is heavy the plain join is returned unchanged. Otherwise the heavy
+keys are dealt over several tasks: the rows of a heavy key are salted on their own side
+and the matching rows of the other side are copied once per salt. Every pair of rows
+meets exactly once, so the result is that of the plain join.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+ROWS_PER_SALT = 2_000_000
+MAX_SALTS = 4096
+_TRACKED = 1024  # counters per sketch: a key above about 0.4 % of the rows is never missed
+_REPORTED = 256  # at most this many keys come back per side
+_MERGERS = 64  # sketches are merged in two steps, by this many tasks first
+_NULL_KEY = "null key"
+
+
+@dataclass(frozen=True)
+class HeavyKeys:
+    """Heavy keys with the number of salts per side, and whether NULL keys are heavy too."""
+
+    salts: dict[str, tuple[int, int]]
+    null_salts: int
+
+    def __bool__(self) -> bool:
+        return bool(self.salts) or self.null_salts > 1
+
+
+def _all_present(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
+def _key_text(df: DataFrame, keys: list[str]) -> Column:
+    """One text per key. Strings go in as base64, so that '|' only ever separates."""
+    parts = []
+    for key in keys:
+        col = F.col(key)
+        is_text = isinstance(df.schema[key].dataType, T.StringType)
+        parts.append(F.base64(F.encode(col, "UTF-8")) if is_text else col.cast("string"))
+    return F.when(_all_present(keys), F.concat_ws("|", *parts)).otherwise(_NULL_KEY)
+
+
+def _key_columns(df: DataFrame, keys: list[str], text: Column) -> list[Column]:
+    """The inverse of :func:`_key_text`."""
+    parts = F.split(text, r"\|", -1)
+    columns = []
+    for i, key in enumerate(keys):
+        kind = df.schema[key].dataType
+        if isinstance(kind, T.StringType):
+            columns.append(F.decode(F.unbase64(parts[i]), "UTF-8").alias(key))
+        else:
+            columns.append(parts[i].cast(kind).alias(key))
+    return columns
+
+
+def find_heavy_keys(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    rows_per_salt: int = ROWS_PER_SALT,
+) -> HeavyKeys:
+    """One pass over the key columns of both sides; at most a few hundred rows come back."""
+    sides = [
+        df.select(F.lit(side).alias("side"), _key_text(df, keys).alias("key"))
+        for side, df in (("left", left), ("right", right.filter(_all_present(keys))))
+    ]
+    rows = (
+        sides[0]
+        .unionByName(sides[1])
+        .groupBy("side", F.pmod(F.spark_partition_id(), F.lit(_MERGERS)).alias("merger"))
+        .agg(F.expr(f"approx_top_k_accumulate(key, {_TRACKED})").alias("sketch"))
+        .groupBy("side")
+        .agg(F.expr(f"approx_top_k_combine(sketch, {_TRACKED})").alias("sketch"))
+        .select(
+            "side", F.explode(F.expr(f"approx_top_k_estimate(sketch, {_REPORTED})")).alias("top")
+        )
+        .filter(F.col("top.count") > rows_per_salt)
+        .select("side", "top.item", "top.count")
+        .collect()
+    )
+    salts: dict[str, list[int]] = {}
+    null_salts = 1
+    for side, item, count in rows:
+        n = min(-(-count // rows_per_salt), MAX_SALTS)
+        if item == _NULL_KEY:
+            null_salts = n
+        else:
+            salts.setdefault(item, [1, 1])[side == "right"] = n
+    return HeavyKeys({k: (a, b) for k, (a, b) in salts.items()}, null_salts)
+
+
+def _spread(df: DataFrame, n: Column) -> Column:
+    """A salt in [0, n) that separates equal rows of different input partitions.
+
+    It has no random part: a task that runs again gives each row the same salt.
+    """
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns]), n)
+
+
+def skew_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    how: str = "left",
+    rows_per_salt: int = ROWS_PER_SALT,
+) -> DataFrame:
+    """``left.join(right, keys, how)`` for ``how`` in left, inner; other columns must differ."""
+    if how not in ("left", "inner"):
+        raise ValueError("how must be 'left' or 'inner'")
+    heavy = find_heavy_keys(left, right, keys, rows_per_salt)
+    if not heavy:
+        return left.join(right, keys, how)
+    return salted_join(left, right, keys, how, heavy)
+
+
+def salted_join(
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, heavy: HeavyKeys
+) -> DataFrame:
+    spark = left.sparkSession
+    table = spark.createDataFrame(
+        [(k, a, b) for k, (a, b) in heavy.salts.items()], "key string, a int, b int"
+    ).select(*_key_columns(left, keys, F.col("key")), "a", "b")
+    # At most 2 * _REPORTED keys times MAX_SALTS rows of a few bytes: safe to broadcast.
+    for_left = table.withColumn("salt_b", F.explode(F.sequence(F.lit(0), F.col("b") - 1)))
+    for_right = table.withColumn("salt_a", F.explode(F.sequence(F.lit(0), F.col("a") - 1)))
+
+    left_cols, right_cols = left.columns, [c for c in right.columns if c not in keys]
+    salted_left = left.join(F.broadcast(for_left), keys, "left").select(
+        *left_cols,
+        F.when(_all_present(keys), F.coalesce(F.col("a"), F.lit(1)))
+        .otherwise(F.lit(heavy.null_salts))
+        .alias("a"),
+        F.coalesce("b", F.lit(1)).alias("b"),
+        F.coalesce("salt_b", F.lit(0)).alias("salt_b"),
+    )
+    salted_left = salted_left.withColumn("salt_a", _spread(left, F.col("a")).cast("int"))
+
+    salted_right = (
+        right.filter(_all_present(keys))
+        .join(F.broadcast(for_right), keys, "left")
+        .select(
+            *keys,
+            *right_cols,
+            F.coalesce("b", F.lit(1)).alias("right_b"),
+            F.coalesce("salt_a", F.lit(0)).alias("salt_a"),
+        )
+    )
+    salted_right = salted_right.withColumn(
+        "salt_b", _spread(right, F.col("right_b")).cast("int")
+    ).drop("right_b").withColumn("hit", F.lit(True))
+
+    joined = salted_left.join(salted_right, [*keys, "salt_a", "salt_b"], how)
+    if how == "left":
+        # A left row with several copies has a key taken from the right side's sketch, so
+        # one of its copies has a match; the copies without one are not results.
+        joined = joined.filter(F.col("hit").isNotNull() | (F.col("b") == 1))
+    return joined.select(*keys, *[c for c in left_cols if c not in keys], *right_cols)
