@@ -7,10 +7,15 @@ rows, later ones in US-style text as rows of the API.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmarts.functions.means import exact_mean
+from gridmarts.schemas import FEEDS
+from gridmarts.session import shared_folder
+from gridmarts.sources.feeds import scan_feed
 
 # Fixed values: (id text, name, type, zone) of node 0 to 4.
 NODES = [
@@ -148,3 +153,25 @@ def _event_prices(events: DataFrame, suffix: str, total: Column) -> DataFrame:
         f"marginal_loss_price_{suffix}",
         f"total_lmp_{suffix}",
     )
+
+
+_DERIVED = {
+    "da_lmps": da_feed,
+    "rt_lmps": rt_feed,
+    "load": load_feed,
+    "load_forecast": forecast_feed,
+    "rt_5min": rt_5min_feed,
+    "da_recent": da_recent_feed,
+}
+_landed: dict[tuple[str, str, str], str] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A feed as it would arrive: Parquet files, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _landed:
+        path = f"{shared_folder(spark)}/landed-{name}-{uuid.uuid4().hex}"
+        _DERIVED[name](spark, sf_dir).write.parquet(path)
+        _landed[key] = path
+    feed = name if name in FEEDS else "da_lmps"
+    return scan_feed(spark, _landed[key], feed)

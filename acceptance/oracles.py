@@ -445,7 +445,7 @@ _RELATIONS_AND_SELECT: dict[str, tuple[list[str], str]] = {
     ),
     "upsert_lmps": (
         [*_LMPS, _upserted(_UPSERT_BATCH)],
-        "SELECT *, CAST(hour_beginning_utc AS DATE) AS date_utc FROM merged",
+        "SELECT *, CAST(date_trunc('month', hour_beginning_utc) AS DATE) AS month_utc FROM merged",
     ),
     "upsert_schema_evolution": ([*_LMPS, _upserted(_BATCH)], "SELECT * FROM merged"),
     "dq_not_null": (
@@ -472,7 +472,8 @@ _RELATIONS_AND_SELECT: dict[str, tuple[list[str], str]] = {
     ),
     "sink_roundtrip": (
         _DA_FEED_ONLY,
-        f"SELECT *, CAST({_local('datetime_beginning_ept')} AS DATE) AS feed_date FROM da_feed",
+        f"SELECT *, CAST(date_trunc('month', {_local('datetime_beginning_ept')}) AS DATE)"
+        " AS feed_month FROM da_feed",
     ),
     "backfill_missing_periods": (
         _DA_FEED_ONLY,

@@ -14,7 +14,13 @@ from gridmarts import schemas
 from gridmarts.functions.means import exact_mean
 from gridmarts.functions.timeparse import us_wall_clock, wall_clock
 from gridmarts.operators.quality import check_not_null, check_unique
-from gridmarts.operators.upsert import merge_frames, newer_than, read_table, upsert_table
+from gridmarts.operators.upsert import (
+    merge_frames,
+    newer_than,
+    read_table,
+    upsert_table,
+    write_history,
+)
 from gridmarts.plans import dims, kpi, marts, series, staging, tiers
 from gridmarts.session import shared_folder
 from gridmarts.sources import normalise, pages, sinks
@@ -47,11 +53,11 @@ def _new_folder(spark: SparkSession, name: str) -> str:
 
 
 def _da(spark, sf_dir):
-    return staging.stage_da(feeds.da_feed(spark, sf_dir))
+    return staging.stage_da(feeds.landed(spark, sf_dir, "da_lmps"))
 
 
 def _rt(spark, sf_dir):
-    return staging.stage_rt(feeds.rt_feed(spark, sf_dir))
+    return staging.stage_rt(feeds.landed(spark, sf_dir, "rt_lmps"))
 
 
 def _mart_lmps(spark, sf_dir):
@@ -59,8 +65,8 @@ def _mart_lmps(spark, sf_dir):
 
 
 def _mart_load(spark, sf_dir):
-    load = staging.stage_load(feeds.load_feed(spark, sf_dir))
-    return marts.build_mart_load(load, staging.stage_forecast(feeds.forecast_feed(spark, sf_dir)))
+    load = staging.stage_load(feeds.landed(spark, sf_dir, "load"))
+    return marts.build_mart_load(load, staging.stage_forecast(feeds.landed(spark, sf_dir, "load_forecast")))
 
 
 def _lit_ntz(value: datetime):
@@ -73,7 +79,7 @@ def _lit_ntz(value: datetime):
 @query
 def scan_feed_query(spark, sf_dir):
     path = _new_folder(spark, "scan")
-    sinks.write_table(feeds.da_feed(spark, sf_dir), path)
+    sinks.write_table(feeds.landed(spark, sf_dir, "da_lmps"), path)
     return scan_feed(spark, path, "da_lmps")
 
 
@@ -81,7 +87,7 @@ def scan_feed_query(spark, sf_dir):
 def scan_mixed_schema(spark, sf_dir):
     """Two kinds of file in one place: one without source, one without components."""
     path = _new_folder(spark, "mixed")
-    feed = feeds.da_feed(spark, sf_dir)
+    feed = feeds.landed(spark, sf_dir, "da_lmps")
     components = ["system_energy_price_da", "congestion_price_da", "marginal_loss_price_da"]
     api = feed.filter("source is null").drop("source", "pnode_type")
     backfill = feed.filter("source = 'eia'").drop("type", *components)
@@ -94,7 +100,7 @@ def scan_mixed_schema(spark, sf_dir):
 def unwrap_pages(spark, sf_dir):
     """A page per day: bare lists, then objects with ``items``, then with ``data``."""
     path = _new_folder(spark, "pages")
-    feed = feeds.da_feed(spark, sf_dir)
+    feed = feeds.landed(spark, sf_dir, "da_lmps")
     day = F.to_date(F.regexp_replace("datetime_beginning_ept", " .*", ""), "M/d/yyyy")
     iso_day = F.to_date(F.substring("datetime_beginning_ept", 1, 10))
     day = F.when(F.col("source").isNull(), day).otherwise(iso_day)
@@ -110,10 +116,10 @@ def unwrap_pages(spark, sf_dir):
     return pages.unwrap_pages(spark, path, "da_lmps", whole_file=False)
 
 
-def _csv(spark, sf_dir, name: str, columns: dict[str, str], feed=feeds.da_feed) -> DataFrame:
+def _csv(spark, sf_dir, name: str, columns: dict[str, str], feed: str = "da_lmps") -> DataFrame:
     """Write columns of a feed as CSV under other headers and read the files back."""
     path = _new_folder(spark, name)
-    table = feed(spark, sf_dir).select(*[F.col(c).alias(h) for h, c in columns.items()])
+    table = feeds.landed(spark, sf_dir, feed).select(*[F.col(c).alias(h) for h, c in columns.items()])
     writer = table.write.option("header", True).option("escape", '"')
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return normalise.read_csv(spark, path)
@@ -151,7 +157,7 @@ def normalise_csv_rt(spark, sf_dir):
         "Congestion": "congestion_price_rt",
         "Loss": "marginal_loss_price_rt",
     }
-    csv = _csv(spark, sf_dir, "rt", headers, feeds.rt_feed)
+    csv = _csv(spark, sf_dir, "rt", headers, "rt_lmps")
     return conform(normalise.normalise_rt_zones(csv), schemas.RT_FEED)
 
 
@@ -163,12 +169,12 @@ def normalise_csv_api(spark, sf_dir):
         "respondent-name": "pnode_name",
         "value": "total_lmp_da",
     }
-    return normalise.normalise_da_zones(_csv(spark, sf_dir, "api", headers))
+    return conform(normalise.normalise_da_zones(_csv(spark, sf_dir, "api", headers)), schemas.DA_FEED)
 
 
 @query
 def feed_window_query(spark, sf_dir):
-    return feed_window(feeds.da_feed(spark, sf_dir), "1998-01-01", "2000-12-31", type="ZONE")
+    return feed_window(feeds.landed(spark, sf_dir, "da_lmps"), "1998-01-01", "2000-12-31", type="ZONE")
 
 
 # --- staging, dimensions, facts ----------------------------------------------------
@@ -186,12 +192,12 @@ def stg_rt(spark, sf_dir):
 
 @query
 def stg_load(spark, sf_dir):
-    return staging.stage_load(feeds.load_feed(spark, sf_dir))
+    return staging.stage_load(feeds.landed(spark, sf_dir, "load"))
 
 
 @query
 def stg_forecast_latest(spark, sf_dir):
-    return staging.stage_forecast(feeds.forecast_feed(spark, sf_dir))
+    return staging.stage_forecast(feeds.landed(spark, sf_dir, "load_forecast"))
 
 
 @query
@@ -240,7 +246,7 @@ def _newest(feed: DataFrame):
 def tier_recent_rt(spark, sf_dir):
     """Takes the five-minute feed, since it has files; the hourly one would be next."""
     path = _new_folder(spark, "recent")
-    sinks.write_feed(feeds.rt_5min_feed(spark, sf_dir), f"{path}/rt_5min")
+    sinks.write_feed(feeds.landed(spark, sf_dir, "rt_5min"), f"{path}/rt_5min")
     candidates = [("rt_5min", f"{path}/rt_5min"), ("rt_lmps", f"{path}/rt_lmps")]
     _feed, landed = first_landed(spark, candidates)
     return tiers.recent_rt(landed, _newest(landed))
@@ -248,7 +254,7 @@ def tier_recent_rt(spark, sf_dir):
 
 @query
 def tier_recent_da(spark, sf_dir):
-    feed = feeds.da_feed(spark, sf_dir)
+    feed = feeds.landed(spark, sf_dir, "da_lmps")
     return tiers.recent_da(feed, _newest(feed))
 
 
@@ -269,7 +275,7 @@ def _hourly(spark, sf_dir, location):
 
 @query
 def lmp_series_intraday(spark, sf_dir):
-    rt, da = feeds.rt_5min_feed(spark, sf_dir), feeds.da_recent_feed(spark, sf_dir)
+    rt, da = feeds.landed(spark, sf_dir, "rt_5min"), feeds.landed(spark, sf_dir, "da_recent")
     as_of = _newest(rt)
     stored = series.Tiers(
         rt_recent=tiers.recent_rt(rt, as_of), da_recent=tiers.recent_da(da, as_of)
@@ -345,10 +351,10 @@ def upsert_lmps(spark, sf_dir):
     path = _new_folder(spark, "upsert")
     mart = _mart_lmps(spark, sf_dir).filter("pnode_id is not null")
     history = mart.filter(F.col(HOUR) <= _lit_ntz(CUT)).withColumn("da_rt_spread", F.lit(None).cast("double"))
-    upsert_table(spark, path, history, schemas.MART_LMPS_KEY, HOUR)
+    write_history(path, history, schemas.MART_LMPS_KEY, HOUR, "month")
     stored = read_table(spark, path)
     batch = newer_than(mart, stored, HOUR, lookback_hours=OVERLAP_HOURS)
-    upsert_table(spark, path, batch, schemas.MART_LMPS_KEY, HOUR)
+    upsert_table(spark, path, batch, schemas.MART_LMPS_KEY, HOUR, "month")
     return read_table(spark, path)
 
 
@@ -394,11 +400,11 @@ def dq_unique(spark, sf_dir):
 
 @query
 def sink_roundtrip(spark, sf_dir):
-    """Land a feed by day, then land part of it again; the rerun replaces its own days."""
+    """Land a feed by month, then land part of it again; the rerun replaces its own months."""
     path = _new_folder(spark, "sink")
-    feed = feeds.da_feed(spark, sf_dir)
-    sinks.write_feed(feed, path)
-    sinks.write_feed(feed.filter("source is null"), path)
+    feed = feeds.landed(spark, sf_dir, "da_lmps")
+    sinks.write_feed(feed, path, unit="month")
+    sinks.write_feed(feed.filter("source is null"), path, unit="month")
     return scan_feed(spark, path, "da_lmps")
 
 
@@ -406,7 +412,7 @@ def sink_roundtrip(spark, sf_dir):
 def backfill_missing_periods(spark, sf_dir):
     """Years already stored keep their rows; the others are added."""
     path = _new_folder(spark, "backfill")
-    feed = feeds.da_feed(spark, sf_dir)
+    feed = feeds.landed(spark, sf_dir, "da_lmps")
     year = F.year(wall_clock(F.col("datetime_beginning_ept")))
     feed = feed.withColumn("period", year.cast("string"))
     first_load = feed.filter("period = '1996'").withColumn("source", F.lit("kept"))
@@ -419,7 +425,7 @@ def backfill_missing_periods(spark, sf_dir):
 def stream_upsert_query(spark, sf_dir):
     """The five-minute feed lands twice, first with other prices; the later files win."""
     folder = _new_folder(spark, "stream")
-    feed = feeds.rt_5min_feed(spark, sf_dir).filter("pnode_id <> 'N/A'")
+    feed = feeds.landed(spark, sf_dir, "rt_5min").filter("pnode_id <> 'N/A'")
     landed = f"{folder}/landed"
     for factor in (2.0, 1.0):
         priced = feed.withColumn("total_lmp_rt", F.col("total_lmp_rt") * factor)

@@ -24,6 +24,12 @@ def spread_sign(spread: Column) -> Column:
     return F.when(spread >= 0, "pos").when(spread < 0, "neg").otherwise("na")
 
 
+def period_start(ts: Column, unit: str) -> Column:
+    """First day of the day or month that ``ts`` falls in."""
+    day = F.to_date(ts)
+    return F.trunc(day, "month") if unit == "month" else day
+
+
 def utc_date(ts: Column, day_zone: str = "UTC") -> Column:
     """Calendar day of a UTC time, cut in ``day_zone``."""
     if day_zone != "UTC":

@@ -2,28 +2,28 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DAY = "date_utc"
+from gridmarts.functions.labels import period_start
+from gridmarts.session import ready_to_checkpoint
+from gridmarts.sources.sinks import write_partitioned
+
+# Folder names of a table: the UTC day or month of its rows.
+FOLDERS = {"day": "date_utc", "month": "month_utc"}
 
 
-def read_table(
-    spark: SparkSession, path: str, days: list[date | None] | None = None
-) -> DataFrame | None:
-    """The table at ``path``, or those days of it; None if there is nothing there yet.
+def read_table(spark: SparkSession, path: str, *parts: str) -> DataFrame | None:
+    """The table at ``path``, or those folders of it; None if there is nothing there yet.
 
     Files written before a column was added lack it, hence the merged schema. Naming
-    the days keeps both the listing and the merge to their folders.
+    folders keeps both the listing and the merge to them.
     """
     reader = spark.read.option("mergeSchema", "true")
-    if days is not None:
-        names = ",".join("__HIVE_DEFAULT_PARTITION__" if d is None else str(d) for d in days)
+    if parts:
         reader = reader.option("basePath", path)
-        path = f"{path}/{DAY}={{{names}}}"
+        path = f"{path}/{{{','.join(parts)}}}"
     try:
         return reader.parquet(path)
     except AnalysisException as error:
@@ -35,11 +35,12 @@ def read_table(
 def high_water(target: DataFrame, time_col: str) -> Column:
     """Greatest ``time_col`` of the target as a scalar subquery.
 
-    With a day partition only the newest day's rows are read for it.
+    Of a table laid out by day or month, only the newest folder's rows are read for it.
     """
-    if DAY in target.columns:
-        newest = target.agg(F.max(DAY)).scalar()
-        target = target.filter(F.col(DAY) == newest)
+    for folder in FOLDERS.values():
+        if folder in target.columns:
+            newest = target.agg(F.max(folder)).scalar()
+            target = target.filter(F.col(folder) == newest)
     return target.agg(F.max(time_col)).scalar()
 
 
@@ -76,31 +77,39 @@ def merge_frames(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFr
 
 
 def upsert_table(
-    spark: SparkSession, path: str, batch: DataFrame, keys: list[str], time_col: str
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    keys: list[str],
+    time_col: str,
+    unit: str = "day",
 ) -> None:
-    """Merge ``batch`` into the table at ``path``, rewriting only the days it touches."""
-    batch = batch.withColumn(DAY, F.to_date(time_col))
-    # The key holds the hour, so a row and its replacement are always in the same day.
-    days = [row[0] for row in batch.select(DAY).distinct().collect()]
-    if not days:
+    """Merge ``batch`` into the table at ``path``, rewriting only the folders it touches.
+
+    ``time_col`` is one of the keys, so a row and its replacement share a folder.
+    Months suit tables of a few thousand rows a day.
+    """
+    folder = FOLDERS[unit]
+    # Read three times below, and often the result of a large join.
+    ready_to_checkpoint(spark)
+    batch = batch.withColumn(folder, period_start(F.col(time_col), unit)).checkpoint()
+    starts = [row[0] for row in batch.select(folder).distinct().collect()]
+    if not starts:
         return
-    touched = read_table(spark, path, days)
+    names = [f"{folder}={start or '__HIVE_DEFAULT_PARTITION__'}" for start in starts]
+    touched = read_table(spark, path, *names)
     merged = batch if touched is None else merge_frames(touched, batch, keys)
-    write_by_day(merged, path, [k for k in keys if k != time_col] + [time_col])
+    write_partitioned(merged, path, folder, _sorting(keys, time_col), replace_all=False)
+
 
+def write_history(
+    path: str, rows: DataFrame, keys: list[str], time_col: str, unit: str = "day"
+) -> None:
+    """Write a table anew, in the layout that :func:`upsert_table` maintains."""
+    folder = FOLDERS[unit]
+    rows = rows.withColumn(folder, period_start(F.col(time_col), unit))
+    write_partitioned(rows, path, folder, _sorting(keys, time_col))
 
-def write_by_day(df: DataFrame, path: str, sort_cols: list[str]) -> None:
-    """Replace the days present in ``df``.
 
-    The rebalance hint lets adaptive execution split a day that is too large for one
-    task and pack small ones. Rows are sorted so that the file statistics can skip
-    on node or zone.
-    """
-    (
-        df.hint("rebalance", F.col(DAY))
-        .sortWithinPartitions(DAY, *sort_cols)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY)
-        .parquet(path)
-    )
+def _sorting(keys: list[str], time_col: str) -> list[str]:
+    return [k for k in keys if k != time_col] + [time_col]

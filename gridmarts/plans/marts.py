@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmarts.operators.skew import skew_join
-from gridmarts.operators.upsert import newer_than, read_table, upsert_table
+from gridmarts.operators.upsert import newer_than, read_table, upsert_table, write_history
 from gridmarts.schemas import MART_LMPS_KEY, MART_LOAD_KEY
 
 _PRICES = ("energy_price", "congestion_price", "loss_price", "total_lmp")
@@ -68,23 +68,40 @@ def build_mart_load(load: DataFrame, forecast: DataFrame) -> DataFrame:
 
 
 def refresh_mart_lmps(
-    spark: SparkSession, path: str, da: DataFrame, rt: DataFrame, lookback_hours: int = 0
+    spark: SparkSession,
+    path: str,
+    da: DataFrame,
+    rt: DataFrame,
+    lookback_hours: int = 0,
+    unit: str = "day",
 ) -> None:
     """Add the hours after the newest stored one, on both sides of the join."""
     hour = "hour_beginning_utc"
     stored = read_table(spark, path)
+    if stored is None:
+        write_history(path, build_mart_lmps(da, rt), MART_LMPS_KEY, hour, unit)
+        return
     new_da = newer_than(da, stored, hour, lookback_hours=lookback_hours)
     new_rt = newer_than(rt, stored, hour, lookback_hours=lookback_hours)
-    upsert_table(spark, path, build_mart_lmps(new_da, new_rt), MART_LMPS_KEY, hour)
+    upsert_table(spark, path, build_mart_lmps(new_da, new_rt), MART_LMPS_KEY, hour, unit)
 
 
 def refresh_mart_load(
-    spark: SparkSession, path: str, load: DataFrame, forecast: DataFrame, lookback_hours: int = 0
+    spark: SparkSession,
+    path: str,
+    load: DataFrame,
+    forecast: DataFrame,
+    lookback_hours: int = 0,
+    unit: str = "day",
 ) -> None:
+    """The same for load; the forecast is cut by the hour it is for."""
     hour = "hour_beginning_utc"
     stored = read_table(spark, path)
+    if stored is None:
+        write_history(path, build_mart_load(load, forecast), MART_LOAD_KEY, hour, unit)
+        return
     new_load = newer_than(load, stored, hour, lookback_hours=lookback_hours)
     new_forecast = newer_than(
         forecast, stored, "forecast_hour_utc", target_time_col=hour, lookback_hours=lookback_hours
     )
-    upsert_table(spark, path, build_mart_load(new_load, new_forecast), MART_LOAD_KEY, hour)
+    upsert_table(spark, path, build_mart_load(new_load, new_forecast), MART_LOAD_KEY, hour, unit)

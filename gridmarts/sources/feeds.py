@@ -11,11 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridmarts.functions.labels import day_start, parse_day
+from gridmarts.functions.labels import day_start, parse_day, period_start
 from gridmarts.functions.timeparse import wall_clock
 from gridmarts.schemas import FEEDS
 
-FEED_DAY = "feed_date"  # local day of a row; folder name of a feed written by this library
+# Folder names of a feed written by this library: the local day or month of its rows.
+FEED_FOLDERS = {"day": "feed_date", "month": "feed_month"}
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -28,7 +29,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             columns.append(F.col(field.name))
         else:
             columns.append(F.col(field.name).try_cast(field.dataType).alias(field.name))
-    extra = [FEED_DAY] if FEED_DAY in df.columns else []
+    extra = [c for c in FEED_FOLDERS.values() if c in df.columns]
     return df.select(*columns, *extra)
 
 
@@ -76,12 +77,13 @@ def first_landed(spark: SparkSession, feed_paths: Iterable[tuple[str, str]]) ->
     raise FileNotFoundError(f"no landed files in {', '.join(tried)}")
 
 
-def prune_days(df: DataFrame, first: Column, last: Column | None = None) -> DataFrame:
-    """Skip whole day folders of a feed that is laid out by day; a no-op on others."""
-    if FEED_DAY not in df.columns:
-        return df
-    df = df.filter(F.col(FEED_DAY) >= first)
-    return df if last is None else df.filter(F.col(FEED_DAY) <= last)
+def prune_folders(df: DataFrame, first: Column, last: Column | None = None) -> DataFrame:
+    """Skip whole folders of a feed laid out by day or month; a no-op on others."""
+    for unit, folder in FEED_FOLDERS.items():
+        if folder in df.columns:
+            df = df.filter(F.col(folder) >= period_start(first, unit))
+            df = df if last is None else df.filter(F.col(folder) <= last)
+    return df
 
 
 def feed_window(
@@ -95,7 +97,7 @@ def feed_window(
     """Rows of the local days ``start`` to ``end``, hours 00:00 to 23:00, that match ``equals``."""
     first = parse_day(start, today)
     last = parse_day(end, today) if end is not None else first
-    rows = prune_days(raw, F.lit(first), F.lit(last))
+    rows = prune_folders(raw, F.lit(first), F.lit(last))
     for name, value in equals.items():
         rows = rows.filter(F.col(name) == value)
     begin = F.lit(day_start(first)).cast("timestamp_ntz")

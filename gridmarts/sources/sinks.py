@@ -6,14 +6,22 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridmarts.functions.labels import period_start
 from gridmarts.functions.timeparse import wall_clock
-from gridmarts.sources.feeds import FEED_DAY
+from gridmarts.sources.feeds import FEED_FOLDERS
 
 
-def write_feed(df: DataFrame, path: str, time_col: str = "datetime_beginning_ept") -> None:
-    """Land a feed by local day. A rerun replaces the days it brings and no others."""
-    day = F.to_date(wall_clock(F.col(time_col), strict=False))
-    write_partitioned(df.withColumn(FEED_DAY, day), path, FEED_DAY, replace_all=False)
+def write_feed(
+    df: DataFrame, path: str, time_col: str = "datetime_beginning_ept", unit: str = "day"
+) -> None:
+    """Land a feed in a folder per local day or month.
+
+    A rerun replaces the folders it brings rows for and no others, so it has to bring
+    them whole. Months suit feeds of a few thousand rows a day.
+    """
+    start = period_start(wall_clock(F.col(time_col), strict=False), unit)
+    folder = FEED_FOLDERS[unit]
+    write_partitioned(df.withColumn(folder, start), path, folder, replace_all=False)
 
 
 def write_partitioned(

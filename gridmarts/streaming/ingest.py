@@ -20,6 +20,7 @@ def stream_upsert(
     time_col: str,
     checkpoint: str,
     files_per_batch: int = 1000,
+    unit: str = "day",
 ) -> None:
     """Merge every file that has arrived since the last call, then stop.
 
@@ -29,11 +30,7 @@ def stream_upsert(
     """
 
     def merge(batch: DataFrame, _epoch: int) -> None:
-        staged = stage(batch).persist()
-        try:
-            upsert_table(spark, target, staged, keys, time_col)
-        finally:
-            staged.unpersist()
+        upsert_table(spark, target, stage(batch), keys, time_col, unit)
 
     query = (
         spark.readStream.schema(schema)
