@@ -155,7 +155,7 @@ def _event_prices(events: DataFrame, suffix: str, total: Column) -> DataFrame:
     )
 
 
-_DERIVED = {
+DERIVED = {
     "da_lmps": da_feed,
     "rt_lmps": rt_feed,
     "load": load_feed,
@@ -163,6 +163,11 @@ _DERIVED = {
     "rt_5min": rt_5min_feed,
     "da_recent": da_recent_feed,
 }
+_TIME_AND_NODE = ("datetime_beginning_ept", "pnode_id")
+_SPREAD = {name: _TIME_AND_NODE for name in DERIVED} | {
+    "load": ("datetime_beginning_ept", "zone"),
+    "load_forecast": ("forecast_datetime_beginning_ept", "evaluated_at_datetime_ept"),
+}
 _landed: dict[tuple[str, str, str], str] = {}
 
 
@@ -171,7 +176,9 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _landed:
         path = f"{shared_folder(spark)}/landed-{name}-{uuid.uuid4().hex}"
-        _DERIVED[name](spark, sf_dir).write.parquet(path)
+        # As many files as cores, so that reading them uses all of them.
+        tasks = spark.sparkContext.defaultParallelism
+        DERIVED[name](spark, sf_dir).repartition(tasks, *_SPREAD[name]).write.parquet(path)
         _landed[key] = path
     feed = name if name in FEEDS else "da_lmps"
     return scan_feed(spark, _landed[key], feed)

@@ -25,7 +25,7 @@ def rank_descending(
     ready_to_checkpoint(df.sparkSession)
     counted = counted.checkpoint()
     steps = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(counted.approxQuantile(value, steps, 1 / (4 * buckets))))
+    cuts = sorted(set(counted.approxQuantile(value, steps, 1 / (4 * buckets)))) if steps else []
     cut_array = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
     bucket = F.size(F.filter(cut_array, lambda cut: cut > F.col(value)))
     ranged = counted.withColumn("bucket", bucket)

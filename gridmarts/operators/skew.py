@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_SALT = 2_000_000
-MAX_SALTS = 4096
-_TRACKED = 1024  # counters per sketch: a key above about 0.4 % of the rows is never missed
-_REPORTED = 256  # at most this many keys come back per side
+MOST_SALTS = 200_000  # per side, all heavy keys together
+_TRACKED = 8192  # counters per sketch: a key above about 0.05 % of the rows is never missed
+_REPORTED = 1000  # at most this many keys come back per side
 _MERGERS = 64  # sketches are merged in two steps, by this many tasks first
 _NULL_KEY = "null key"
 
@@ -68,34 +68,44 @@ def find_heavy_keys(
     right: DataFrame,
     keys: list[str],
     rows_per_salt: int = ROWS_PER_SALT,
+    right_unique: bool = False,
 ) -> HeavyKeys:
-    """One pass over the key columns of both sides; at most a few hundred rows come back."""
-    sides = [
-        df.select(F.lit(side).alias("side"), _key_text(df, keys).alias("key"))
-        for side, df in (("left", left), ("right", right.filter(_all_present(keys))))
-    ]
-    rows = (
-        sides[0]
-        .unionByName(sides[1])
-        .groupBy("side", F.pmod(F.spark_partition_id(), F.lit(_MERGERS)).alias("merger"))
-        .agg(F.expr(f"approx_top_k_accumulate(key, {_TRACKED})").alias("sketch"))
+    """One pass over the key columns; two rows with the heaviest keys come back.
+
+    A right side that has each key once (``right_unique``) is not looked at.
+    """
+    texts = left.select(F.lit("left").alias("side"), _key_text(left, keys).alias("key"))
+    if not right_unique:
+        present = right.filter(_all_present(keys))
+        texts = texts.unionByName(
+            present.select(F.lit("right").alias("side"), _key_text(right, keys).alias("key"))
+        )
+    sides = (
+        texts.groupBy("side", F.pmod(F.spark_partition_id(), F.lit(_MERGERS)).alias("merger"))
+        .agg(
+            F.expr(f"approx_top_k_accumulate(key, {_TRACKED})").alias("sketch"),
+            F.count("*").alias("rows"),
+        )
         .groupBy("side")
-        .agg(F.expr(f"approx_top_k_combine(sketch, {_TRACKED})").alias("sketch"))
-        .select(
-            "side", F.explode(F.expr(f"approx_top_k_estimate(sketch, {_REPORTED})")).alias("top")
+        .agg(
+            F.expr(f"approx_top_k_combine(sketch, {_TRACKED})").alias("sketch"),
+            F.sum("rows").alias("rows"),
         )
-        .filter(F.col("top.count") > rows_per_salt)
-        .select("side", "top.item", "top.count")
+        .select("side", "rows", F.expr(f"approx_top_k_estimate(sketch, {_REPORTED})").alias("top"))
         .collect()
     )
     salts: dict[str, list[int]] = {}
     null_salts = 1
-    for side, item, count in rows:
-        n = min(-(-count // rows_per_salt), MAX_SALTS)
-        if item == _NULL_KEY:
-            null_salts = n
-        else:
-            salts.setdefault(item, [1, 1])[side == "right"] = n
+    for side, total, top in sides:
+        share = max(rows_per_salt, total // MOST_SALTS)
+        for item, count in top or []:
+            n = -(-count // share)
+            if n < 2:
+                continue
+            if item == _NULL_KEY:
+                null_salts = n
+            else:
+                salts.setdefault(item, [1, 1])[side == "right"] = n
     return HeavyKeys({k: (a, b) for k, (a, b) in salts.items()}, null_salts)
 
 
@@ -113,11 +123,12 @@ def skew_join(
     keys: list[str],
     how: str = "left",
     rows_per_salt: int = ROWS_PER_SALT,
+    right_unique: bool = False,
 ) -> DataFrame:
     """``left.join(right, keys, how)`` for ``how`` in left, inner; other columns must differ."""
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
-    heavy = find_heavy_keys(left, right, keys, rows_per_salt)
+    heavy = find_heavy_keys(left, right, keys, rows_per_salt, right_unique)
     if not heavy:
         return left.join(right, keys, how)
     return salted_join(left, right, keys, how, heavy)
@@ -126,42 +137,46 @@ def skew_join(
 def salted_join(
     left: DataFrame, right: DataFrame, keys: list[str], how: str, heavy: HeavyKeys
 ) -> DataFrame:
-    spark = left.sparkSession
-    table = spark.createDataFrame(
-        [(k, a, b) for k, (a, b) in heavy.salts.items()], "key string, a int, b int"
-    ).select(*_key_columns(left, keys, F.col("key")), "a", "b")
-    # At most 2 * _REPORTED keys times MAX_SALTS rows of a few bytes: safe to broadcast.
-    for_left = table.withColumn("salt_b", F.explode(F.sequence(F.lit(0), F.col("b") - 1)))
-    for_right = table.withColumn("salt_a", F.explode(F.sequence(F.lit(0), F.col("a") - 1)))
-
-    left_cols, right_cols = left.columns, [c for c in right.columns if c not in keys]
-    salted_left = left.join(F.broadcast(for_left), keys, "left").select(
-        *left_cols,
-        F.when(_all_present(keys), F.coalesce(F.col("a"), F.lit(1)))
-        .otherwise(F.lit(heavy.null_salts))
-        .alias("a"),
-        F.coalesce("b", F.lit(1)).alias("b"),
-        F.coalesce("salt_b", F.lit(0)).alias("salt_b"),
-    )
-    salted_left = salted_left.withColumn("salt_a", _spread(left, F.col("a")).cast("int"))
+    """The join with the rows of heavy keys dealt over salts.
 
+    A heavy left key has ``_left_salts``: each left row draws one ``_left_salt`` and each
+    right row is copied to all of them. A heavy right key is the mirror image.
+    """
+    table = left.sparkSession.createDataFrame(
+        [(k, a, b) for k, (a, b) in heavy.salts.items()],
+        "_key string, _left_salts int, _right_salts int",
+    ).select(*_key_columns(left, keys, F.col("_key")), "_left_salts", "_right_salts")
+
+    # No more than MOST_SALTS + _REPORTED rows of a few bytes each: safe to broadcast.
+    def copies(salts: str, salt: str) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(0), F.col(salts) - 1)).alias(salt)
+        return F.broadcast(table.select(*keys, "_left_salts", "_right_salts", every))
+
+    one, zero = F.lit(1), F.lit(0)
+    own_salts = F.when(_all_present(keys), F.coalesce("_left_salts", one)).otherwise(
+        F.lit(heavy.null_salts)
+    )
+    salted_left = (
+        left.join(copies("_right_salts", "_right_salt"), keys, "left")
+        .withColumn("_left_salt", _spread(left, own_salts).cast("int"))
+        .withColumn("_right_salt", F.coalesce("_right_salt", zero))
+        .withColumn("_copied", F.coalesce("_right_salts", one) > 1)
+        .select(*left.columns, "_left_salt", "_right_salt", "_copied")
+    )
     salted_right = (
         right.filter(_all_present(keys))
-        .join(F.broadcast(for_right), keys, "left")
-        .select(
-            *keys,
-            *right_cols,
-            F.coalesce("b", F.lit(1)).alias("right_b"),
-            F.coalesce("salt_a", F.lit(0)).alias("salt_a"),
-        )
+        .join(copies("_left_salts", "_left_salt"), keys, "left")
+        .withColumn("_right_salt", _spread(right, F.coalesce("_right_salts", one)).cast("int"))
+        .withColumn("_left_salt", F.coalesce("_left_salt", zero))
+        .select(*right.columns, "_left_salt", "_right_salt", F.lit(True).alias("_hit"))
     )
-    salted_right = salted_right.withColumn(
-        "salt_b", _spread(right, F.col("right_b")).cast("int")
-    ).drop("right_b").withColumn("hit", F.lit(True))
-
-    joined = salted_left.join(salted_right, [*keys, "salt_a", "salt_b"], how)
+    joined = salted_left.join(salted_right, [*keys, "_left_salt", "_right_salt"], how)
     if how == "left":
-        # A left row with several copies has a key taken from the right side's sketch, so
-        # one of its copies has a match; the copies without one are not results.
-        joined = joined.filter(F.col("hit").isNotNull() | (F.col("b") == 1))
-    return joined.select(*keys, *[c for c in left_cols if c not in keys], *right_cols)
+        # A copied left row has a key that the sketch saw on the right, so one of its
+        # copies has a match; the copies without one are not results.
+        joined = joined.filter(F.col("_hit").isNotNull() | ~F.col("_copied"))
+    return joined.select(
+        *keys,
+        *[c for c in left.columns if c not in keys],
+        *[c for c in right.columns if c not in keys],
+    )

@@ -14,13 +14,16 @@ from gridmarts.sources.sinks import write_partitioned
 FOLDERS = {"day": "date_utc", "month": "month_utc"}
 
 
-def read_table(spark: SparkSession, path: str, *parts: str) -> DataFrame | None:
+def read_table(
+    spark: SparkSession, path: str, *parts: str, merge_schema: bool = True
+) -> DataFrame | None:
     """The table at ``path``, or those folders of it; None if there is nothing there yet.
 
-    Files written before a column was added lack it, hence the merged schema. Naming
-    folders keeps both the listing and the merge to them.
+    Files written before a column was added lack it, hence the merged schema, which
+    opens every file. Naming folders keeps the listing and the merge to them; turn the
+    merge off where only columns are read that have always been there.
     """
-    reader = spark.read.option("mergeSchema", "true")
+    reader = spark.read.option("mergeSchema", merge_schema)
     if parts:
         reader = reader.option("basePath", path)
         path = f"{path}/{{{','.join(parts)}}}"

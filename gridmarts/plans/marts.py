@@ -54,7 +54,8 @@ def build_mart_load(load: DataFrame, forecast: DataFrame) -> DataFrame:
         F.col("forecast_hour_utc").alias("hour_beginning_utc"),
         "forecast_load_mw",
     )
-    return skew_join(left, right, keys).select(
+    # Staging has left one forecast per area and hour.
+    return skew_join(left, right, keys, right_unique=True).select(
         "hour_beginning_utc",
         "hour_beginning_ept",
         "zone",
@@ -77,7 +78,7 @@ def refresh_mart_lmps(
 ) -> None:
     """Add the hours after the newest stored one, on both sides of the join."""
     hour = "hour_beginning_utc"
-    stored = read_table(spark, path)
+    stored = read_table(spark, path, merge_schema=False)  # only its hours are read
     if stored is None:
         write_history(path, build_mart_lmps(da, rt), MART_LMPS_KEY, hour, unit)
         return
@@ -96,7 +97,7 @@ def refresh_mart_load(
 ) -> None:
     """The same for load; the forecast is cut by the hour it is for."""
     hour = "hour_beginning_utc"
-    stored = read_table(spark, path)
+    stored = read_table(spark, path, merge_schema=False)  # only its hours are read
     if stored is None:
         write_history(path, build_mart_load(load, forecast), MART_LOAD_KEY, hour, unit)
         return

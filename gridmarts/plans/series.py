@@ -36,7 +36,8 @@ class Tiers:
 def read_tiers(spark: SparkSession, path: str) -> Tiers:
     """Tiers written under ``path`` by ``write_tiers``; those not there stay absent."""
     names = ("rt_recent", "da_recent", "lmps", "lmps_daily", "load_daily")
-    return Tiers(**{name: read_table(spark, f"{path}/{name}") for name in names})
+    tables = {n: read_table(spark, f"{path}/{n}", merge_schema=False) for n in names}
+    return Tiers(**tables)
 
 
 @dataclass(frozen=True)

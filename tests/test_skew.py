@@ -1,0 +1,75 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridmarts.operators.skew import find_heavy_keys, salted_join, skew_join
+
+KEYS = ["node", "hour"]
+
+
+def sides(spark):
+    """One key heavy on the left, one on the right, one on both, NULLs, and light keys."""
+    rng = random.Random(7)
+    left = [("left|heavy", 1)] * 400 + [("right heavy", 2)] * 3 + [("both", 3)] * 40
+    left += [(None, 4)] * 300 + [("no match", 5)] * 200 + [(f"k{i}", i) for i in range(100)]
+    right = [("left|heavy", 1)] * 2 + [("right heavy", 2)] * 500 + [("both", 3)] * 50
+    right += [(None, 4)] * 100 + [(f"k{i}", i) for i in range(0, 100, 3)] + [("only right", 6)] * 90
+    rng.shuffle(left)
+    rng.shuffle(right)
+    left = [(*k, i) for i, k in enumerate(left)]
+    right = [(*k, i) for i, k in enumerate(right)]
+    return (
+        spark.createDataFrame(left, "node string, hour int, a int").repartition(5, "a"),
+        spark.createDataFrame(right, "node string, hour int, b int").repartition(5, "b"),
+    )
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_salted_join_equals_plain_join(spark, rows, how):
+    left, right = sides(spark)
+    heavy = find_heavy_keys(left, right, KEYS, rows_per_salt=30)
+    assert len(heavy.salts) >= 4
+    assert heavy.null_salts > 1
+    assert any(a > 1 and b > 1 for a, b in heavy.salts.values())
+    got = salted_join(left, right, KEYS, how, heavy)
+    want = left.join(right, KEYS, how)
+    assert got.columns == want.columns
+    assert rows(got) == rows(want)
+
+
+def test_heavy_rows_are_spread_over_tasks(spark):
+    left, right = sides(spark)
+    heavy = find_heavy_keys(left, right, KEYS, rows_per_salt=30)
+    key = [k for k, (a, _) in heavy.salts.items() if a > 5]
+    assert key, "the heavy left keys get several salts each"
+    joined = salted_join(left, right, KEYS, "left", heavy).filter("node = 'right heavy'")
+    assert joined.count() == 1500
+
+
+def test_no_heavy_key_leaves_the_plain_join(spark):
+    left, right = sides(spark)
+    plan = skew_join(left, right, KEYS)._jdf.queryExecution().toString()
+    assert "salt" not in plan
+
+
+def test_keys_of_other_types_survive_the_sketch(spark, rows):
+    left = spark.sql("select timestamp_ntz'2024-01-01 00:00:00.123456' as t, 1.25D as d, id from range(100)")
+    right = left.select("t", "d", F.col("id").alias("other")).limit(3)
+    heavy = find_heavy_keys(left, right, ["t", "d"], rows_per_salt=10)
+    assert list(heavy.salts.values()) == [(10, 1)]
+    got = salted_join(left, right, ["t", "d"], "left", heavy)
+    assert rows(got) == rows(left.join(right, ["t", "d"], "left"))
+
+
+def test_empty_sides(spark):
+    left, right = sides(spark)
+    assert skew_join(left.filter("false"), right, KEYS).count() == 0
+    assert skew_join(left, right.filter("false"), KEYS, rows_per_salt=30).count() == left.count()
+
+
+def test_unique_right_side_is_not_sketched(spark, rows):
+    left, right = sides(spark)
+    right = right.dropDuplicates(KEYS)
+    got = skew_join(left, right, KEYS, rows_per_salt=30, right_unique=True)
+    assert rows(got, "a", "b") == rows(left.join(right, KEYS, "left"), "a", "b")
