@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ MOST_SALTS = 200_000  # per side, all heavy keys together
 _TRACKED = 8192  # counters per sketch: a key above about 0.05 % of the rows is never missed
 _REPORTED = 1000  # at most this many keys come back per side
 _MERGERS = 64  # sketches are merged in two steps, by this many tasks first
+SKETCHED = 1 / 16  # share of the rows that the sketch looks at
 _NULL_KEY = "null key"
 
 
@@ -63,23 +65,29 @@ def _key_columns(df: DataFrame, keys: list[str], text: Column) -> list[Column]:
     return columns
 
 
+def _key_sample(df: DataFrame, side: str, keys: list[str], share: float) -> DataFrame:
+    if share < 1:
+        df = df.select(*keys).sample(share, seed=1)
+    return df.select(F.lit(side).alias("side"), _key_text(df, keys).alias("key"))
+
+
 def find_heavy_keys(
     left: DataFrame,
     right: DataFrame,
     keys: list[str],
     rows_per_salt: int = ROWS_PER_SALT,
     right_unique: bool = False,
+    sketched: float = SKETCHED,
 ) -> HeavyKeys:
     """One pass over the key columns; two rows with the heaviest keys come back.
 
-    A right side that has each key once (``right_unique``) is not looked at.
+    A right side that has each key once (``right_unique``) is not looked at. A sample of
+    the rows is enough for counts in the millions, and the counts only steer how the work
+    is dealt out; the joined rows do not depend on them.
     """
-    texts = left.select(F.lit("left").alias("side"), _key_text(left, keys).alias("key"))
+    texts = _key_sample(left, "left", keys, sketched)
     if not right_unique:
-        present = right.filter(_all_present(keys))
-        texts = texts.unionByName(
-            present.select(F.lit("right").alias("side"), _key_text(right, keys).alias("key"))
-        )
+        texts = texts.unionByName(_key_sample(right, "right", keys, sketched))
     sides = (
         texts.groupBy("side", F.pmod(F.spark_partition_id(), F.lit(_MERGERS)).alias("merger"))
         .agg(
@@ -97,13 +105,14 @@ def find_heavy_keys(
     salts: dict[str, list[int]] = {}
     null_salts = 1
     for side, total, top in sides:
-        share = max(rows_per_salt, total // MOST_SALTS)
+        share = max(rows_per_salt * sketched, total / MOST_SALTS)
         for item, count in top or []:
-            n = -(-count // share)
+            n = ceil(count / share)
             if n < 2:
                 continue
             if item == _NULL_KEY:
-                null_salts = n
+                if side == "left":  # on the right such rows join nothing
+                    null_salts = n
             else:
                 salts.setdefault(item, [1, 1])[side == "right"] = n
     return HeavyKeys({k: (a, b) for k, (a, b) in salts.items()}, null_salts)
@@ -114,7 +123,8 @@ def _spread(df: DataFrame, n: Column) -> Column:
 
     It has no random part: a task that runs again gives each row the same salt.
     """
-    return F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns]), n)
+    mixed = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
+    return F.when(n > 1, F.pmod(mixed, n)).otherwise(0).cast("int")
 
 
 def skew_join(
@@ -124,11 +134,12 @@ def skew_join(
     how: str = "left",
     rows_per_salt: int = ROWS_PER_SALT,
     right_unique: bool = False,
+    sketched: float = SKETCHED,
 ) -> DataFrame:
     """``left.join(right, keys, how)`` for ``how`` in left, inner; other columns must differ."""
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
-    heavy = find_heavy_keys(left, right, keys, rows_per_salt, right_unique)
+    heavy = find_heavy_keys(left, right, keys, rows_per_salt, right_unique, sketched)
     if not heavy:
         return left.join(right, keys, how)
     return salted_join(left, right, keys, how, heavy)
@@ -158,7 +169,7 @@ def salted_join(
     )
     salted_left = (
         left.join(copies("_right_salts", "_right_salt"), keys, "left")
-        .withColumn("_left_salt", _spread(left, own_salts).cast("int"))
+        .withColumn("_left_salt", _spread(left, own_salts))
         .withColumn("_right_salt", F.coalesce("_right_salt", zero))
         .withColumn("_copied", F.coalesce("_right_salts", one) > 1)
         .select(*left.columns, "_left_salt", "_right_salt", "_copied")
@@ -166,7 +177,7 @@ def salted_join(
     salted_right = (
         right.filter(_all_present(keys))
         .join(copies("_left_salts", "_left_salt"), keys, "left")
-        .withColumn("_right_salt", _spread(right, F.coalesce("_right_salts", one)).cast("int"))
+        .withColumn("_right_salt", _spread(right, F.coalesce("_right_salts", one)))
         .withColumn("_left_salt", F.coalesce("_left_salt", zero))
         .select(*right.columns, "_left_salt", "_right_salt", F.lit(True).alias("_hit"))
     )

@@ -28,7 +28,7 @@ def sides(spark):
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_salted_join_equals_plain_join(spark, rows, how):
     left, right = sides(spark)
-    heavy = find_heavy_keys(left, right, KEYS, rows_per_salt=30)
+    heavy = find_heavy_keys(left, right, KEYS, rows_per_salt=30, sketched=1)
     assert len(heavy.salts) >= 4
     assert heavy.null_salts > 1
     assert any(a > 1 and b > 1 for a, b in heavy.salts.values())
@@ -40,7 +40,7 @@ def test_salted_join_equals_plain_join(spark, rows, how):
 
 def test_heavy_rows_are_spread_over_tasks(spark):
     left, right = sides(spark)
-    heavy = find_heavy_keys(left, right, KEYS, rows_per_salt=30)
+    heavy = find_heavy_keys(left, right, KEYS, rows_per_salt=30, sketched=1)
     key = [k for k, (a, _) in heavy.salts.items() if a > 5]
     assert key, "the heavy left keys get several salts each"
     joined = salted_join(left, right, KEYS, "left", heavy).filter("node = 'right heavy'")
@@ -56,7 +56,7 @@ def test_no_heavy_key_leaves_the_plain_join(spark):
 def test_keys_of_other_types_survive_the_sketch(spark, rows):
     left = spark.sql("select timestamp_ntz'2024-01-01 00:00:00.123456' as t, 1.25D as d, id from range(100)")
     right = left.select("t", "d", F.col("id").alias("other")).limit(3)
-    heavy = find_heavy_keys(left, right, ["t", "d"], rows_per_salt=10)
+    heavy = find_heavy_keys(left, right, ["t", "d"], rows_per_salt=10, sketched=1)
     assert list(heavy.salts.values()) == [(10, 1)]
     got = salted_join(left, right, ["t", "d"], "left", heavy)
     assert rows(got) == rows(left.join(right, ["t", "d"], "left"))
@@ -65,11 +65,18 @@ def test_keys_of_other_types_survive_the_sketch(spark, rows):
 def test_empty_sides(spark):
     left, right = sides(spark)
     assert skew_join(left.filter("false"), right, KEYS).count() == 0
-    assert skew_join(left, right.filter("false"), KEYS, rows_per_salt=30).count() == left.count()
+    assert skew_join(left, right.filter("false"), KEYS, rows_per_salt=30, sketched=1).count() == left.count()
 
 
 def test_unique_right_side_is_not_sketched(spark, rows):
     left, right = sides(spark)
     right = right.dropDuplicates(KEYS)
-    got = skew_join(left, right, KEYS, rows_per_salt=30, right_unique=True)
+    got = skew_join(left, right, KEYS, rows_per_salt=30, right_unique=True, sketched=1)
     assert rows(got, "a", "b") == rows(left.join(right, KEYS, "left"), "a", "b")
+
+
+def test_a_sample_finds_the_heavy_keys_too(spark):
+    left = spark.range(40_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), "id")
+    heavy = find_heavy_keys(left, left.limit(5), ["k"], rows_per_salt=2000, right_unique=True)
+    assert list(heavy.salts) == ["-1"]
+    assert heavy.salts["-1"][0] in (6, 7, 8)
