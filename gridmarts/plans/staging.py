@@ -24,7 +24,14 @@ def _complete(raw: DataFrame, feed: T.StructType) -> DataFrame:
 
 
 def _with_utc(df: DataFrame, local: str, utc: str, iso_zone: str) -> DataFrame:
-    return df.withColumn(utc, to_utc(F.col("time_text"), F.col(local), iso_zone))
+    """Add the UTC time.
+
+    As a plain column it would be computed twice wherever it is a join key: the filter on
+    NULL keys that Spark adds is moved below the projection, expression and all. A filter
+    on the output of explode stays above it, and an array of one costs nothing.
+    """
+    instant = to_utc(F.col("time_text"), F.col(local), iso_zone)
+    return df.select("*", F.explode(F.array(instant)).alias(utc)).drop("time_text")
 
 
 def _stage_prices(
@@ -45,7 +52,7 @@ def _stage_prices(
         total.alias(f"total_lmp_{suffix}"),
         *extra,
     )
-    return _with_utc(staged, "hour_beginning_ept", "hour_beginning_utc", iso_zone).drop("time_text")
+    return _with_utc(staged, "hour_beginning_ept", "hour_beginning_utc", iso_zone)
 
 
 def stage_da(raw: DataFrame, iso_zone: str = "UTC", strict: bool = True) -> DataFrame:
@@ -71,7 +78,7 @@ def stage_load(raw: DataFrame, iso_zone: str = "UTC", strict: bool = True) -> Da
         load.alias("load_mw"),
         to_bool(F.col("is_verified")).alias("is_verified"),
     )
-    return _with_utc(staged, "hour_beginning_ept", "hour_beginning_utc", iso_zone).drop("time_text")
+    return _with_utc(staged, "hour_beginning_ept", "hour_beginning_utc", iso_zone)
 
 
 def stage_forecast(raw: DataFrame, iso_zone: str = "UTC", strict: bool = True) -> DataFrame:
@@ -85,7 +92,7 @@ def stage_forecast(raw: DataFrame, iso_zone: str = "UTC", strict: bool = True) -
         F.trim("forecast_area").alias("forecast_area"),
         to_double(F.col("forecast_load_mw")).alias("forecast_load_mw"),
     )
-    versions = _with_utc(staged, "forecast_hour_ept", "forecast_hour_utc", iso_zone).drop("time_text")
+    versions = _with_utc(staged, "forecast_hour_ept", "forecast_hour_utc", iso_zone)
     return latest_by(
         versions,
         keys=["forecast_area", "forecast_hour_utc"],
