@@ -60,13 +60,40 @@ def _rt(spark, sf_dir):
     return staging.stage_rt(feeds.landed(spark, sf_dir, "rt_lmps"))
 
 
-def _mart_lmps(spark, sf_dir):
+def _build_lmps(spark, sf_dir):
     return marts.build_mart_lmps(_da(spark, sf_dir), _rt(spark, sf_dir))
 
 
-def _mart_load(spark, sf_dir):
+def _build_load(spark, sf_dir):
     load = staging.stage_load(feeds.landed(spark, sf_dir, "load"))
-    return marts.build_mart_load(load, staging.stage_forecast(feeds.landed(spark, sf_dir, "load_forecast")))
+    forecast = staging.stage_forecast(feeds.landed(spark, sf_dir, "load_forecast"))
+    return marts.build_mart_load(load, forecast)
+
+
+_FACTS = {
+    "mart_lmps": (_build_lmps, schemas.MART_LMPS_KEY),
+    "mart_load": (_build_load, schemas.MART_LOAD_KEY),
+}
+_stored: dict[tuple[str, str, str], str] = {}
+
+
+def stored_fact(spark, sf_dir, name: str) -> DataFrame:
+    """A fact as tiers and checks read it: a table on disk, built once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        path = _new_folder(spark, name)
+        build, keys = _FACTS[name]
+        write_history(path, build(spark, sf_dir), keys, HOUR, "month")
+        _stored[key] = path
+    return read_table(spark, _stored[key], merge_schema=False).drop("month_utc")
+
+
+def _mart_lmps(spark, sf_dir):
+    return stored_fact(spark, sf_dir, "mart_lmps")
+
+
+def _mart_load(spark, sf_dir):
+    return stored_fact(spark, sf_dir, "mart_load")
 
 
 def _lit_ntz(value: datetime):
@@ -212,12 +239,12 @@ def dim_calendar(spark, sf_dir):
 
 @query
 def mart_lmps(spark, sf_dir):
-    return _mart_lmps(spark, sf_dir)
+    return _build_lmps(spark, sf_dir)
 
 
 @query
 def mart_load(spark, sf_dir):
-    return _mart_load(spark, sf_dir)
+    return _build_load(spark, sf_dir)
 
 
 # --- tiers -------------------------------------------------------------------------
