@@ -43,8 +43,10 @@ def _api() -> Column:
 
 
 def _text(ts: Column, us_style: Column) -> Column:
-    us, iso = F.date_format(ts, "M/d/yyyy H:mm"), F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
-    return F.when(us_style, us).otherwise(iso)
+    """The time as text, put together so that the session time zone has no part in it."""
+    day = F.concat_ws("/", F.month(ts), F.dayofmonth(ts), F.year(ts))
+    clock = F.concat_ws(":", F.hour(ts), F.lpad(F.minute(ts).cast("string"), 2, "0"))
+    return F.when(us_style, F.concat_ws(" ", day, clock)).otherwise(ts.cast("string"))
 
 
 def _hourly_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from acceptance import feeds
 from gridmarts import schemas
 from gridmarts.functions.means import exact_mean
-from gridmarts.functions.timeparse import us_wall_clock, wall_clock
+from gridmarts.functions.timeparse import naive, us_wall_clock, wall_clock
 from gridmarts.operators.quality import check_not_null, check_unique
 from gridmarts.operators.upsert import (
     merge_frames,
@@ -96,10 +96,6 @@ def _mart_load(spark, sf_dir):
     return stored_fact(spark, sf_dir, "mart_load")
 
 
-def _lit_ntz(value: datetime):
-    return F.lit(value).cast("timestamp_ntz")
-
-
 # --- sources ---------------------------------------------------------------------
 
 
@@ -368,7 +364,7 @@ def spread_sign(spark, sf_dir):
 @query
 def incremental_filter(spark, sf_dir):
     da = _da(spark, sf_dir)
-    stored = da.filter(F.col(HOUR) <= _lit_ntz(CUT))
+    stored = da.filter(F.col(HOUR) <= naive(CUT))
     return newer_than(da, stored, HOUR)
 
 
@@ -377,7 +373,7 @@ def upsert_lmps(spark, sf_dir):
     """History up to the cut is stored; a batch that overlaps it replaces the common hours."""
     path = _new_folder(spark, "upsert")
     mart = _mart_lmps(spark, sf_dir).filter("pnode_id is not null")
-    history = mart.filter(F.col(HOUR) <= _lit_ntz(CUT)).withColumn("da_rt_spread", F.lit(None).cast("double"))
+    history = mart.filter(F.col(HOUR) <= naive(CUT)).withColumn("da_rt_spread", F.lit(None).cast("double"))
     write_history(path, history, schemas.MART_LMPS_KEY, HOUR, "month")
     stored = read_table(spark, path)
     batch = newer_than(mart, stored, HOUR, lookback_hours=OVERLAP_HOURS)
@@ -389,9 +385,9 @@ def upsert_lmps(spark, sf_dir):
 def upsert_schema_evolution(spark, sf_dir):
     """The batch brings a column that the stored rows do not have."""
     mart = _mart_lmps(spark, sf_dir).filter("pnode_id is not null")
-    stored = mart.filter(F.col(HOUR) <= _lit_ntz(CUT)).drop("da_rt_spread")
+    stored = mart.filter(F.col(HOUR) <= naive(CUT)).drop("da_rt_spread")
     overlap = F.make_dt_interval(hours=F.lit(OVERLAP_HOURS))
-    batch = mart.filter(F.col(HOUR) > _lit_ntz(CUT) - overlap)
+    batch = mart.filter(F.col(HOUR) > naive(CUT) - overlap)
     return merge_frames(stored, batch, schemas.MART_LMPS_KEY)
 
 

@@ -7,6 +7,8 @@ written in UTC.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,11 @@ US_STYLE = r"^ *(\d{1,2})/(\d{1,2})/(\d{4}) +(\d{1,2}):(\d{1,2}) *$"
 _HAS_OFFSET = r":\d{1,2}(\.\d+)? *([Zz]|[+-]\d{1,2}(:?\d{2})?) *$"
 
 
+def naive(moment: datetime) -> Column:
+    """A literal clock reading. By way of text, since a datetime literal is an instant."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def _is_us_style(text: Column) -> Column:
     # No ISO text holds a slash, so this is a cheap stand-in for the full pattern.
     return F.instr(text, "/") > 0

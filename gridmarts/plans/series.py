@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmarts.functions.labels import day_start, days_between, halves_between, parse_day
-from gridmarts.functions.timeparse import wall_clock
+from gridmarts.functions.timeparse import naive, wall_clock
 from gridmarts.operators.skew import skew_join
 from gridmarts.operators.upsert import read_table
 from gridmarts.schemas import HOME_ZONE, WESTERN_HUB_ID
@@ -73,9 +73,7 @@ def _need(**tables: DataFrame | None) -> None:
 
 def _days(ts: Column, start: date, end: date) -> Column:
     """Whole days as bounds on the time itself, which file statistics can serve."""
-    first = F.lit(day_start(start)).cast("timestamp_ntz")
-    after = F.lit(day_start(end + timedelta(days=1))).cast("timestamp_ntz")
-    return (ts >= first) & (ts < after)
+    return (ts >= naive(day_start(start))) & (ts < naive(day_start(end + timedelta(days=1))))
 
 
 def join_recent(rt_recent: DataFrame, da_recent: DataFrame) -> DataFrame:

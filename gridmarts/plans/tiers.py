@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gridmarts.functions.casts import lenient_int, to_real
 from gridmarts.functions.labels import half_year, utc_date
-from gridmarts.functions.timeparse import us_wall_clock
+from gridmarts.functions.timeparse import naive, us_wall_clock
 from gridmarts.sources.feeds import prune_folders
 from gridmarts.sources.sinks import write_partitioned, write_table
 
@@ -19,7 +19,7 @@ TIME = "datetime_beginning_ept"
 
 def recent(df: DataFrame, time_col: str, as_of: datetime | Column, days: int = 7) -> DataFrame:
     """Rows whose US-style time lies at most ``days`` before ``as_of`` (a naive time)."""
-    now = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz")
+    now = as_of if isinstance(as_of, Column) else naive(as_of)
     first = now - F.make_dt_interval(days=F.lit(days))
     rows = prune_folders(df, F.to_date(first))
     return rows.filter(us_wall_clock(F.col(time_col)) >= first)

@@ -35,20 +35,24 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
     )
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
     A cluster names it in ``spark.checkpoint.dir``. Only a local session may fall
     back to a temporary folder.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    made = tempfile.mkdtemp(prefix=f"gridmarts-{os.getpid()}-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix=f"gridmarts-{os.getpid()}-")
+    return _local_folders[context.applicationId]
 
 
 def ready_to_checkpoint(spark: SparkSession) -> None:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmarts.functions.labels import day_start, parse_day, period_start
-from gridmarts.functions.timeparse import wall_clock
+from gridmarts.functions.timeparse import naive, wall_clock
 from gridmarts.schemas import FEEDS
 
 # Folder names of a feed written by this library: the local day or month of its rows.
@@ -100,8 +100,8 @@ def feed_window(
     rows = prune_folders(raw, F.lit(first), F.lit(last))
     for name, value in equals.items():
         rows = rows.filter(F.col(name) == value)
-    begin = F.lit(day_start(first)).cast("timestamp_ntz")
-    final = F.lit(day_start(last).replace(hour=23)).cast("timestamp_ntz")
+    begin = naive(day_start(first))
+    final = naive(day_start(last).replace(hour=23))
     if first == last:
-        final = F.lit(day_start(last).replace(hour=23, minute=59, second=59)).cast("timestamp_ntz")
+        final = naive(day_start(last).replace(hour=23, minute=59, second=59))
     return rows.filter(wall_clock(F.col(time_col), strict=False).between(begin, final))
