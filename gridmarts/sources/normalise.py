@@ -65,10 +65,12 @@ def _hour_text(hour: Column) -> Column:
 
 def _combined(headers: list[str]) -> Column:
     """One value out of the columns that mean the same thing."""
+    parts = [F.col(h) for h in headers]
     if "date" in headers and "hour" in headers:
         both = F.concat_ws(" ", F.trim("date"), _hour_text(F.trim("hour")))
-        return F.when(F.col("date").isNotNull() & F.col("hour").isNotNull(), both)
-    return F.coalesce(*[F.col(h) for h in headers]) if len(headers) > 1 else F.col(headers[0])
+        whole = F.when(F.col("date").isNotNull() & F.col("hour").isNotNull(), both)
+        parts = [F.col(h) for h in headers if h not in ("date", "hour")] + [whole]
+    return F.coalesce(*parts)
 
 
 def _flat_layout(df: DataFrame, rules: list, suffix: str) -> DataFrame:
