@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmarts.session import ready_to_checkpoint
@@ -26,9 +26,7 @@ def rank_descending(
     counted = counted.checkpoint()
     steps = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(counted.approxQuantile(value, steps, 1 / (4 * buckets)))) if steps else []
-    cut_array = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
-    bucket = F.size(F.filter(cut_array, lambda cut: cut > F.col(value)))
-    ranged = counted.withColumn("bucket", bucket)
+    ranged = counted.withColumn("bucket", _bucket(F.col(value), cuts, 0, len(cuts)))
 
     totals = ranged.groupBy("bucket").agg(F.sum("copies").alias("copies"))
     lined_up = Window.orderBy("bucket")  # over at most `buckets` rows
@@ -45,6 +43,16 @@ def rank_descending(
     return _repeat(placed, value, rows_per_chunk)
 
 
+def _bucket(value: Column, cuts: list[float], low: int, high: int) -> Column:
+    """Number of cuts above the value, found by halving; bucket 0 holds the greatest values."""
+    if low == high:
+        return F.lit(len(cuts) - low)
+    middle = (low + high) // 2
+    return F.when(value < cuts[middle], _bucket(value, cuts, low, middle)).otherwise(
+        _bucket(value, cuts, middle + 1, high)
+    )
+
+
 def _repeat(placed: DataFrame, value: str, rows_per_chunk: int) -> DataFrame:
     """One row per copy. Many copies are written out by many tasks, a chunk each."""
     chunks = F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / rows_per_chunk))
