@@ -101,3 +101,21 @@ def usable_vector(column: str):
     c = F.col(column)
     finite = F.forall(c, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return F.coalesce(c.isNotNull() & finite & F.exists(c, lambda x: x != 0), F.lit(False))
+
+
+def deal_blocks(rows: DataFrame, keys: list[str], own: str, size: str, block: int) -> DataFrame:
+    """Cut each group of ``keys`` into blocks by ``own`` and replicate rows to pairs of blocks.
+
+    Adds p <= q, the pair of blocks, and side: 0 or 1 for the first or second block of a pair,
+    2 where a block meets itself. ``size`` is the column with the number of rows of a group.
+    Two rows of a group meet in exactly one pair of blocks.
+    """
+    cut = rows.withColumn("cuts", F.ceil(F.col(size) / block).cast("int")).withColumn(
+        "own_block", F.pmod(F.xxhash64(own), "cuts").cast("int")
+    )
+    dealt = cut.withColumn("other_block", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    return dealt.withColumns({
+        "p": F.least("own_block", "other_block"),
+        "q": F.greatest("own_block", "other_block"),
+        "side": F.expr("case when own_block = other_block then 2 when own_block < other_block then 0 else 1 end"),
+    }).drop("cuts", "own_block", "other_block")

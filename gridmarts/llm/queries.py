@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridmarts.llm import block_knn, rotation_codes
+from gridmarts.llm import block_knn, minmax_hash, rotation_codes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,10 +20,15 @@ def op9_block_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_knn.nearest(rows, rows.where("vec_id % 20 = 0"), k=20)
 
 
+def op10_minmax_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_hash.near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_rotation_codes": op1_rotation_codes,
         "op9_block_knn": op9_block_knn,
+        "op10_minmax_hash": op10_minmax_hash,
     }
 
 

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmarts.llm.common import Scratch, components, ready, scratch, usable_vector
+from gridmarts.llm.common import Scratch, components, deal_blocks, ready, scratch, usable_vector
 
 SEED = 20_240_501
 
@@ -208,16 +208,8 @@ def _linked(groups: DataFrame, tables: Scratch, cosine: float, miss: float, sigm
     )
     met = keyed.select("id", "dim", F.posexplode("keys").alias("tab", "key"))
     sizes = met.groupBy("dim", "tab", "key").agg(F.count("*").alias("n")).where("n > 1")
-    placed = met.join(sizes, ["dim", "tab", "key"]).selectExpr(
-        "*", f"cast(ceil(n / {block}) as int) as cuts"
-    ).selectExpr("*", "cast(pmod(xxhash64(id), cuts) as int) as own")
-    # a pair of blocks (p, q) with p <= q; side 2 stands for both when p = q
-    dealt = placed.select(
-        "id", "dim", "tab", "key", "own", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("other")
-    ).selectExpr(
-        "id", "dim", "tab", "key", "least(own, other) as p", "greatest(own, other) as q",
-        "case when own = other then 2 when own < other then 0 else 1 end as side",
-    )
+    placed = met.join(sizes, ["dim", "tab", "key"])
+    dealt = deal_blocks(placed, ["dim", "tab", "key"], "id", "n", block).drop("n")
     dealt = tables.store(dealt, "dealt")
     # many small buckets share a task; a large one brings at most two blocks of rows
     tasks = max(1, math.ceil(dealt.count() / (2 * block)))
