@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridmarts.llm import block_knn, minmax_hash, rotation_codes
+from gridmarts.llm import block_knn, minmax_hash, rotation_codes, secret_ledger, target_mixing, toxic_segments
+from gridmarts.llm.common import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +17,46 @@ def op1_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotation_codes.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op4_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = toxic_segments.learn_from_tables(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    score = toxic_segments.scored(docs.select("doc_id", "text"), model)
+    return score.select(
+        "doc_id",
+        toxic_segments.held_out().alias("held_out"),
+        F.col("toxic_score").alias("score"),
+        (F.col("toxic_score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def op5_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    found = secret_ledger.find_secrets(docs, new_folder(spark, "secret-ledger"), "doc_id")
+    spans = F.col("secret_spans")
+    base = secret_ledger.of_kind(spans, *(r.kind for r in secret_ledger.BASE_RULES))
+    return found.select(
+        "doc_id",
+        *(
+            F.size(secret_ledger.of_kind(spans, r.kind)).cast("long").alias(f"n_{r.kind}")
+            for r in secret_ledger.BASE_RULES
+        ),
+        F.sha2(secret_ledger.as_text(base).cast("binary"), 256).alias("base_sha256"),
+        secret_ledger.as_text(spans).alias("spans"),
+    )
+
+
+# shares of the expected tokens by language
+LANGUAGE_TARGETS = {"de": 0.2, "en": 0.4, "es": 0.2, "fr": 0.2}
+
+
+def op7_target_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labelled = target_mixing.bounded_labels(docs)
+    mixed = target_mixing.mixed(docs.select("doc_id", "text"), labelled, LANGUAGE_TARGETS)
+    shares = [F.element_at("posteriors", i + 1).alias(f"p_{d}") for i, d in enumerate(sorted(LANGUAGE_TARGETS))]
+    return mixed.select("doc_id", "n_tokens", *shares, "rate", "copies")
+
+
 def op9_block_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return block_knn.nearest(rows, rows.where("vec_id % 20 = 0"), k=20)
@@ -27,6 +69,9 @@ def op10_minmax_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         "op1_rotation_codes": op1_rotation_codes,
+        "op4_toxic_segments": op4_toxic_segments,
+        "op5_secret_ledger": op5_secret_ledger,
+        "op7_target_mixing": op7_target_mixing,
         "op9_block_knn": op9_block_knn,
         "op10_minmax_hash": op10_minmax_hash,
     }
