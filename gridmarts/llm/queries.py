@@ -4,12 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmarts.llm import block_knn, minmax_hash, rotation_codes, secret_ledger, target_mixing, toxic_segments
+from gridmarts.llm import (
+    block_knn,
+    minmax_hash,
+    rotation_codes,
+    secret_ledger,
+    target_mixing,
+    token_files,
+    toxic_segments,
+    two_fit_packing,
+)
 from gridmarts.llm.common import new_folder
 
+VOCABULARY = "byte_bpe_50k.json"  # of the public tokenizers installed beside Python
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -45,6 +57,15 @@ def op5_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vocabulary() -> str:
+    return public_tokenizers.path(VOCABULARY)
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return token_files.round_trip(docs, vocabulary(), end_id=2)
+
+
 # shares of the expected tokens by language
 LANGUAGE_TARGETS = {"de": 0.2, "en": 0.4, "es": 0.2, "fr": 0.2}
 
@@ -57,6 +78,11 @@ def op7_target_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "n_tokens", *shares, "rate", "copies")
 
 
+def op8_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return two_fit_packing.packed(docs, vocabulary(), end_id=0, size=2048)
+
+
 def op9_block_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return block_knn.nearest(rows, rows.where("vec_id % 20 = 0"), k=20)
@@ -71,7 +97,9 @@ def all_queries() -> dict[str, Query]:
         "op1_rotation_codes": op1_rotation_codes,
         "op4_toxic_segments": op4_toxic_segments,
         "op5_secret_ledger": op5_secret_ledger,
+        "op6_token_files": op6_token_files,
         "op7_target_mixing": op7_target_mixing,
+        "op8_two_fit_packing": op8_two_fit_packing,
         "op9_block_knn": op9_block_knn,
         "op10_minmax_hash": op10_minmax_hash,
     }
