@@ -13,12 +13,13 @@ from gridmarts.llm import (
     minmax_hash,
     rotation_codes,
     secret_ledger,
+    suffix_dedup,
     target_mixing,
     token_files,
     toxic_segments,
     two_fit_packing,
 )
-from gridmarts.llm.common import new_folder
+from gridmarts.llm.common import new_folder, whole_text
 
 VOCABULARY = "byte_bpe_50k.json"  # of the public tokenizers installed beside Python
 
@@ -29,6 +30,12 @@ def op1_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotation_codes.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    found = suffix_dedup.with_repeated(docs)
+    return found.select("doc_id", suffix_dedup.digest(whole_text(), F.col("repeated")).alias("d")).select("doc_id", "d.*")
+
+
 def op4_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = toxic_segments.learn_from_tables(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -95,6 +102,7 @@ def op10_minmax_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         "op1_rotation_codes": op1_rotation_codes,
+        "op3_suffix_dedup": op3_suffix_dedup,
         "op4_toxic_segments": op4_toxic_segments,
         "op5_secret_ledger": op5_secret_ledger,
         "op6_token_files": op6_token_files,
