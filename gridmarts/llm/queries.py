@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gridmarts.llm import (
     block_knn,
     minmax_hash,
+    pii_crf,
     rotation_codes,
     secret_ledger,
     suffix_dedup,
@@ -30,6 +31,22 @@ def op1_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotation_codes.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op2_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    spans = F.col("pii_spans")
+    base = F.filter(spans, lambda s: s["rank"] < len(pii_crf.KINDS))
+
+    def count(rank):
+        return F.size(F.filter(spans, lambda s: s["rank"] == rank)).cast("long")
+
+    return pii_crf.find_personal_data(docs).select(
+        "doc_id",
+        *(count(rank).alias(f"n_{kind}") for rank, kind in enumerate(pii_crf.KINDS)),
+        F.sha2(pii_crf.as_text(base).cast("binary"), 256).alias("base_sha256"),
+        pii_crf.as_text(spans).alias("spans"),
+    )
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = suffix_dedup.with_repeated(docs)
@@ -102,6 +119,7 @@ def op10_minmax_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         "op1_rotation_codes": op1_rotation_codes,
+        "op2_pii_crf": op2_pii_crf,
         "op3_suffix_dedup": op3_suffix_dedup,
         "op4_toxic_segments": op4_toxic_segments,
         "op5_secret_ledger": op5_secret_ledger,
