@@ -116,8 +116,15 @@ def op10_minmax_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_hash.near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # it imports this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def all_queries() -> dict[str, Query]:
     return {
+        "pipeline": pipeline,
         "op1_rotation_codes": op1_rotation_codes,
         "op2_pii_crf": op2_pii_crf,
         "op3_suffix_dedup": op3_suffix_dedup,
