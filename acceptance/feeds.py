@@ -77,6 +77,7 @@ def da_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rt_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Part of the rule of this feed: some hours have a day-ahead price only.
     lines = _hourly_lines(spark, sf_dir).filter("l_quantity > 20")
     prices = lines.groupBy("h", "k").agg(
         F.min("l_quantity").alias("system_energy_price_rt"),
@@ -178,9 +179,8 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _landed:
         path = f"{shared_folder(spark)}/landed-{name}-{uuid.uuid4().hex}"
-        # As many files as cores, so that reading them uses all of them.
-        tasks = spark.sparkContext.defaultParallelism
-        DERIVED[name](spark, sf_dir).repartition(tasks, *_SPREAD[name]).write.parquet(path)
+        columns = [F.col(c) for c in _SPREAD[name]]
+        DERIVED[name](spark, sf_dir).hint("rebalance", *columns).write.parquet(path)
         _landed[key] = path
     feed = name if name in FEEDS else "da_lmps"
     return scan_feed(spark, _landed[key], feed)

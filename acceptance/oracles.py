@@ -177,22 +177,21 @@ dim_calendar AS (
   FROM (SELECT min(hour_beginning_ept) AS a, max(hour_beginning_ept) AS b FROM stg_da),
        LATERAL (SELECT unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS t)
 )"""
-_LMP_DAILY = f"""
+_LMP_DAILY = """
 lmp_daily AS (
   SELECT CAST(hour_beginning_utc AS DATE) AS date_utc, pnode_id, pnode_name, zone,
-         CAST({_mean("total_lmp_da")} AS REAL) AS avg_lmp_da,
-         CAST({_mean("total_lmp_rt")} AS REAL) AS avg_lmp_rt,
+         CAST(avg(total_lmp_da) AS REAL) AS avg_lmp_da, CAST(avg(total_lmp_rt) AS REAL) AS avg_lmp_rt,
          CAST(min(total_lmp_da) AS REAL) AS min_lmp_da, CAST(max(total_lmp_da) AS REAL) AS max_lmp_da,
-         CAST({_mean("da_rt_spread")} AS REAL) AS avg_spread, count(*) AS hours
+         CAST(avg(da_rt_spread) AS REAL) AS avg_spread, count(*) AS hours
   FROM mart_lmps GROUP BY date_utc, pnode_id, pnode_name, zone
 )"""
-_LOAD_DAILY = f"""
+_LOAD_DAILY = """
 load_daily AS (
   SELECT CAST(hour_beginning_utc AS DATE) AS date_utc, zone,
-         CAST({_mean("actual_load_mw")} AS REAL) AS avg_load_mw,
+         CAST(avg(actual_load_mw) AS REAL) AS avg_load_mw,
          CAST(max(actual_load_mw) AS REAL) AS peak_load_mw,
-         CAST({_mean("forecast_load_mw")} AS REAL) AS avg_forecast_mw,
-         CAST({_mean("abs(forecast_error_pct)")} AS REAL) AS avg_forecast_err_pct
+         CAST(avg(forecast_load_mw) AS REAL) AS avg_forecast_mw,
+         CAST(avg(abs(forecast_error_pct)) AS REAL) AS avg_forecast_err_pct
   FROM mart_load GROUP BY date_utc, zone
 )"""
 _HALVES = """
@@ -237,7 +236,7 @@ def _series(table: str, ts: str, da: str, rt: str, spread: str, where: str) -> s
 series AS (
   SELECT {ts} AS ts, avg(CAST({da} AS DOUBLE)) AS da, avg(CAST({rt} AS DOUBLE)) AS rt,
          avg(CAST({spread} AS DOUBLE)) AS spread
-  FROM {table} WHERE {where} GROUP BY 1 ORDER BY 1 NULLS LAST LIMIT 5000
+  FROM {table} WHERE {where} GROUP BY 1
 )"""
 
 
@@ -275,7 +274,6 @@ loads AS (
   SELECT hour_beginning_utc AS ts, actual_load_mw AS actual, forecast_load_mw AS forecast,
          actual_load_mw AS peak
   FROM mart_load WHERE zone = 'duq' AND {_HOURS}
-  ORDER BY ts NULLS LAST, actual NULLS LAST, forecast NULLS LAST LIMIT 5000
 )"""
 _LOAD_DAYS = """
 loads AS (
@@ -283,7 +281,6 @@ loads AS (
          CAST(avg_forecast_mw AS DOUBLE) AS forecast, CAST(peak_load_mw AS DOUBLE) AS peak
   FROM load_daily
   WHERE zone = 'duq' AND date_utc BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'
-  ORDER BY ts NULLS LAST LIMIT 5000
 )"""
 
 # Without source the file of the API part, without components that of the backfill part.
@@ -307,31 +304,42 @@ def _csv(suffix: str, feed: str, kind: str, components: bool = True) -> str:
 
 _CUT = "TIMESTAMP '1999-06-30'"
 _BATCH = f"hour_beginning_utc > {_CUT} - INTERVAL 720 HOUR"
-_KEYED = "pnode_id IS NOT NULL"
 
 
-def _upserted(batch: str) -> str:
-    """Stored rows lack the spread; rows of the batch have it and replace equal keys."""
+def _upserted(batch: str, same: str) -> str:
+    """Stored rows lack the spread; rows of the batch have it and replace equal keys.
+
+    A row without an id matches no key, but where it comes again just as it is (``same``), it
+    is stored once.
+    """
     return f"""
-batch AS (SELECT * FROM mart_lmps WHERE {_KEYED} AND {batch}),
+batch AS (SELECT * FROM mart_lmps WHERE {batch}),
 stored AS (
   SELECT * REPLACE (CAST(NULL AS DOUBLE) AS da_rt_spread)
-  FROM mart_lmps WHERE {_KEYED} AND hour_beginning_utc <= {_CUT}
+  FROM mart_lmps WHERE hour_beginning_utc <= {_CUT}
 ),
 merged AS (
   SELECT * FROM stored s WHERE NOT EXISTS (
     SELECT 1 FROM batch b
-    WHERE b.hour_beginning_utc = s.hour_beginning_utc AND b.pnode_id = s.pnode_id)
+    WHERE b.hour_beginning_utc = s.hour_beginning_utc AND (b.pnode_id = s.pnode_id OR {same}))
   UNION ALL SELECT * FROM batch
 )"""
 
 
 # The batch starts before the newest stored hour, which may lie before the cut.
 _UPSERT_BATCH = f"""hour_beginning_utc > (
-  SELECT max(hour_beginning_utc) FROM mart_lmps WHERE {_KEYED} AND hour_beginning_utc <= {_CUT}
+  SELECT max(hour_beginning_utc) FROM mart_lmps WHERE hour_beginning_utc <= {_CUT}
 ) - INTERVAL 720 HOUR"""
 
 
+_SAME = (
+    "b.pnode_id IS NULL AND s.pnode_id IS NULL AND s.pnode_name = b.pnode_name"
+    " AND s.total_lmp_da = b.total_lmp_da"
+)
+# the stored rows have a spread of NULL there
+_SAME_WITH_SPREAD = f"{_SAME} AND b.da_rt_spread IS NULL"
+
+
 def _nulls(table: str, *columns: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{table}' AS table_name, '{c}' AS column_name,"
@@ -363,6 +371,14 @@ _RELATIONS_AND_SELECT: dict[str, tuple[list[str], str]] = {
     "scan_feed": (_DA_FEED_ONLY, "SELECT * FROM da_feed"),
     "scan_mixed_schema": (_DA_FEED_ONLY, _MIXED),
     "unwrap_pages": (_DA_FEED_ONLY, "SELECT * FROM da_feed"),
+    "unwrap_pages_files": (_DA_FEED_ONLY, "SELECT * FROM da_feed"),
+    "normalise_csv_mixed": (
+        _DA_FEED_ONLY,
+        _csv("da", "da_feed", "ZONE")
+        + " WHERE coalesce(type, pnode_type) <> 'LOAD' UNION ALL "
+        + _csv("da", "da_feed", "ZONE", components=False)
+        + " WHERE coalesce(type, pnode_type) = 'LOAD'",
+    ),
     "normalise_csv_flat": (_DA_FEED_ONLY, _csv("da", "da_feed", "ZONE")),
     "normalise_csv_hubs": (_DA_FEED_ONLY, _csv("da", "da_feed", "HUB")),
     "normalise_csv_rt": ([_LINES, _NODES, _RT_FEED], _csv("rt", "rt_feed", "ZONE")),
@@ -432,6 +448,12 @@ _RELATIONS_AND_SELECT: dict[str, tuple[list[str], str]] = {
         [*_LMPS, _HALVES, _hour_series(_DUQ)],
         "SELECT max(ts) AS latest_ts, count(*) AS row_count FROM series",
     ),
+    "freshness_long": (
+        [*_LMPS, _HALVES],
+        "SELECT max(hour_beginning_utc) AS latest_ts, count(DISTINCT hour_beginning_utc) AS row_count"
+        f" FROM halves WHERE {_DUQ} AND hour_beginning_utc >= TIMESTAMP '1995-01-01'"
+        " AND hour_beginning_utc < TIMESTAMP '2002-01-01'",
+    ),
     "price_duration_curve": (_DA, _CURVE),
     "spread_sign": (
         [*_LMPS, _HALVES, _hour_series(_DUQ)],
@@ -444,10 +466,18 @@ _RELATIONS_AND_SELECT: dict[str, tuple[list[str], str]] = {
         f" WHERE hour_beginning_utc <= {_CUT})",
     ),
     "upsert_lmps": (
-        [*_LMPS, _upserted(_UPSERT_BATCH)],
+        [*_LMPS, _upserted(_UPSERT_BATCH, _SAME_WITH_SPREAD)],
         "SELECT *, CAST(date_trunc('month', hour_beginning_utc) AS DATE) AS month_utc FROM merged",
     ),
-    "upsert_schema_evolution": ([*_LMPS, _upserted(_BATCH)], "SELECT * FROM merged"),
+    "upsert_schema_evolution": ([*_LMPS, _upserted(_BATCH, _SAME)], "SELECT * FROM merged"),
+    "refresh_mart_lmps": (
+        _LMPS,
+        "SELECT *, CAST(date_trunc('month', hour_beginning_utc) AS DATE) AS month_utc FROM mart_lmps",
+    ),
+    "refresh_mart_load": (
+        _LOAD,
+        "SELECT *, CAST(date_trunc('month', hour_beginning_utc) AS DATE) AS month_utc FROM mart_load",
+    ),
     "dq_not_null": (
         _CHECKED,
         " UNION ALL ".join(
@@ -475,6 +505,7 @@ _RELATIONS_AND_SELECT: dict[str, tuple[list[str], str]] = {
         f"SELECT *, CAST(date_trunc('month', {_local('datetime_beginning_ept')}) AS DATE)"
         " AS feed_month FROM da_feed",
     ),
+    "sink_two_sources": (_DA_FEED_ONLY, "SELECT * FROM da_feed"),
     "backfill_missing_periods": (
         _DA_FEED_ONLY,
         "SELECT * REPLACE (if(datetime_beginning_ept LIKE '1996-%', 'kept', source) AS source)"
@@ -482,7 +513,11 @@ _RELATIONS_AND_SELECT: dict[str, tuple[list[str], str]] = {
     ),
     "stream_upsert": (
         [*_RT_5MIN_ONLY, _STG_5MIN],
-        "SELECT *, CAST(hour_beginning_utc AS DATE) AS date_utc FROM stg_5min WHERE pnode_id IS NOT NULL",
+        "SELECT *, CAST(hour_beginning_utc AS DATE) AS date_utc FROM stg_5min",
+    ),
+    "stream_backlog": (
+        [*_RT_5MIN_ONLY, _STG_5MIN],
+        "SELECT *, CAST(hour_beginning_utc AS DATE) AS date_utc FROM stg_5min",
     ),
 }
 

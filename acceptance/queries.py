@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -85,15 +86,25 @@ def stored_fact(spark, sf_dir, name: str) -> DataFrame:
         build, keys = _FACTS[name]
         write_history(path, build(spark, sf_dir), keys, HOUR, "month")
         _stored[key] = path
-    return read_table(spark, _stored[key], merge_schema=False).drop("month_utc")
+    return read_table(spark, _stored[key], merge_schema=False)
 
 
 def _mart_lmps(spark, sf_dir):
-    return stored_fact(spark, sf_dir, "mart_lmps")
+    return stored_fact(spark, sf_dir, "mart_lmps").drop("month_utc")
 
 
 def _mart_load(spark, sf_dir):
-    return stored_fact(spark, sf_dir, "mart_load")
+    return stored_fact(spark, sf_dir, "mart_load").drop("month_utc")
+
+
+def stored_tiers(spark, sf_dir) -> series.Tiers:
+    """The tiers as they are served: written once per application and read from disk."""
+    key = (spark.sparkContext.applicationId, sf_dir, "tiers")
+    if key not in _stored:
+        path = _new_folder(spark, "tiers")
+        tiers.write_tiers(path, mart_lmps=_mart_lmps(spark, sf_dir), mart_load=_mart_load(spark, sf_dir))
+        _stored[key] = path
+    return series.read_tiers(spark, _stored[key])
 
 
 # --- sources ---------------------------------------------------------------------
@@ -139,6 +150,20 @@ def unwrap_pages(spark, sf_dir):
     return pages.unwrap_pages(spark, path, "da_lmps", whole_file=False)
 
 
+@query
+def unwrap_pages_files(spark, sf_dir):
+    """A file per page: a month of rows each."""
+    path = _new_folder(spark, "page-files")
+    feed = feeds.landed(spark, sf_dir, "da_lmps")
+    month = F.date_format(wall_clock(F.col("datetime_beginning_ept")), "yyyy-MM")
+    # A month has at most 744 hours times 5 nodes.
+    by_month = feed.groupBy(month.alias("page")).agg(F.collect_list(F.struct(*feed.columns)).alias("items"))
+    page = F.when(F.substring("page", -1, 1) == "1", F.to_json("items")).otherwise(F.to_json(F.struct("items")))
+    rows = by_month.select(page.alias("value"), "page").repartition("page")
+    rows.write.partitionBy("page").text(path)
+    return pages.unwrap_pages(spark, path, "da_lmps")
+
+
 def _csv(spark, sf_dir, name: str, columns: dict[str, str], feed: str = "da_lmps") -> DataFrame:
     """Write columns of a feed as CSV under other headers and read the files back."""
     path = _new_folder(spark, name)
@@ -169,6 +194,29 @@ def normalise_csv_hubs(spark, sf_dir):
     return conform(normalise.normalise_da_hubs(_csv(spark, sf_dir, "hubs", _FLAT)), schemas.DA_FEED)
 
 
+@query
+def normalise_csv_mixed(spark, sf_dir):
+    """Three files of one folder, with their columns in different orders and layouts."""
+    path = _new_folder(spark, "csv-mixed")
+    feed = feeds.landed(spark, sf_dir, "da_lmps")
+    turned = dict(reversed(_FLAT.items()))
+    layouts = {"HUB": _FLAT, "ZONE": turned, "LOAD": _API_HEADERS}
+    for kind, headers in layouts.items():
+        rows = feed.filter(F.coalesce("type", "pnode_type") == kind)
+        writer = rows.select(*[F.col(c).alias(h) for h, c in headers.items()]).write.mode("append")
+        writer = writer.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+        writer.option("ignoreTrailingWhiteSpace", False).csv(path)
+    return conform(normalise.normalise_files(spark, path, normalise.normalise_da_zones), schemas.DA_FEED)
+
+
+_API_HEADERS = {
+    "period": "datetime_beginning_ept",
+    "respondent": "pnode_id",
+    "respondent-name": "pnode_name",
+    "value": "total_lmp_da",
+}
+
+
 @query
 def normalise_csv_rt(spark, sf_dir):
     headers = {
@@ -253,12 +301,12 @@ def history_extent(spark, sf_dir):
 
 @query
 def lmp_daily(spark, sf_dir):
-    return tiers.lmp_daily(_mart_lmps(spark, sf_dir), mean=exact_mean())
+    return tiers.lmp_daily(_mart_lmps(spark, sf_dir))
 
 
 @query
 def load_daily(spark, sf_dir):
-    return tiers.load_daily(_mart_load(spark, sf_dir), mean=exact_mean())
+    return tiers.load_daily(_mart_load(spark, sf_dir))
 
 
 def _newest(feed: DataFrame):
@@ -292,8 +340,7 @@ def tier_half_year(spark, sf_dir):
 
 
 def _hourly(spark, sf_dir, location):
-    lmps = tiers.half_year_tier(_mart_lmps(spark, sf_dir))
-    return series.lmp_series(series.Tiers(lmps=lmps), *HOURLY_RANGE, location)
+    return series.lmp_series(stored_tiers(spark, sf_dir), *HOURLY_RANGE, location)
 
 
 @query
@@ -313,20 +360,17 @@ def lmp_series_hourly(spark, sf_dir):
 
 @query
 def lmp_series_daily(spark, sf_dir):
-    daily = tiers.lmp_daily(_mart_lmps(spark, sf_dir), mean=exact_mean())
-    return series.lmp_series(series.Tiers(lmps_daily=daily), *DAILY_RANGE, series.DUQ)
+    return series.lmp_series(stored_tiers(spark, sf_dir), *DAILY_RANGE, series.DUQ)
 
 
 @query
 def load_series_daily(spark, sf_dir):
-    daily = tiers.load_daily(_mart_load(spark, sf_dir), mean=exact_mean())
-    return series.load_series(series.Tiers(load_daily=daily), *DAILY_RANGE, zone="duq")
+    return series.load_series(stored_tiers(spark, sf_dir), *DAILY_RANGE, zone="duq")
 
 
 @query
 def load_series_hourly(spark, sf_dir):
-    stored = series.Tiers(mart_load=_mart_load(spark, sf_dir))
-    return series.load_series(stored, *HOURLY_RANGE, zone="duq")
+    return series.load_series(stored_tiers(spark, sf_dir), *HOURLY_RANGE, zone="duq")
 
 
 @query
@@ -336,8 +380,7 @@ def kpi_prices(spark, sf_dir):
 
 @query
 def kpi_load(spark, sf_dir):
-    stored = series.Tiers(mart_load=_mart_load(spark, sf_dir))
-    loads = series.load_series(stored, *HOURLY_RANGE, zone="duq")
+    loads = series.load_series(stored_tiers(spark, sf_dir), *HOURLY_RANGE, zone="duq")
     return kpi.kpi_load(loads, mean=exact_mean())
 
 
@@ -346,6 +389,13 @@ def freshness(spark, sf_dir):
     return kpi.freshness(_hourly(spark, sf_dir, series.DUQ))
 
 
+@query
+def freshness_long(spark, sf_dir):
+    """Every hour of the history, more than any display would ask for."""
+    hours = series.lmp_series(stored_tiers(spark, sf_dir), *DAILY_RANGE, series.DUQ, grain="hourly")
+    return kpi.freshness(hours)
+
+
 @query
 def price_duration_curve(spark, sf_dir):
     """Over the whole day-ahead history."""
@@ -372,25 +422,54 @@ def incremental_filter(spark, sf_dir):
 def upsert_lmps(spark, sf_dir):
     """History up to the cut is stored; a batch that overlaps it replaces the common hours."""
     path = _new_folder(spark, "upsert")
-    mart = _mart_lmps(spark, sf_dir).filter("pnode_id is not null")
+    mart = _mart_lmps(spark, sf_dir)
     history = mart.filter(F.col(HOUR) <= naive(CUT)).withColumn("da_rt_spread", F.lit(None).cast("double"))
     write_history(path, history, schemas.MART_LMPS_KEY, HOUR, "month")
     stored = read_table(spark, path)
     batch = newer_than(mart, stored, HOUR, lookback_hours=OVERLAP_HOURS)
-    upsert_table(spark, path, batch, schemas.MART_LMPS_KEY, HOUR, "month")
+    sinks.write_table(batch, f"{path}-batch")  # the upsert replaces files that it is read from
+    batch = spark.read.parquet(f"{path}-batch")
+    for _ in range(2):  # the second run changes nothing
+        upsert_table(spark, path, batch, schemas.MART_LMPS_KEY, HOUR, "month")
     return read_table(spark, path)
 
 
 @query
 def upsert_schema_evolution(spark, sf_dir):
     """The batch brings a column that the stored rows do not have."""
-    mart = _mart_lmps(spark, sf_dir).filter("pnode_id is not null")
+    mart = _mart_lmps(spark, sf_dir)
     stored = mart.filter(F.col(HOUR) <= naive(CUT)).drop("da_rt_spread")
     overlap = F.make_dt_interval(hours=F.lit(OVERLAP_HOURS))
     batch = mart.filter(F.col(HOUR) > naive(CUT) - overlap)
     return merge_frames(stored, batch, schemas.MART_LMPS_KEY)
 
 
+@query
+def refresh_mart_lmps(spark, sf_dir):
+    """Part of the feeds is stored; the rest and an overlap come from feeds laid out by month."""
+    return _refreshed(spark, sf_dir, marts.refresh_mart_lmps, _DA_RT)
+
+
+@query
+def refresh_mart_load(spark, sf_dir):
+    return _refreshed(spark, sf_dir, marts.refresh_mart_load, _LOAD_FORECAST)
+
+
+_DA_RT = {"da_lmps": "datetime_beginning_ept", "rt_lmps": "datetime_beginning_ept"}
+_LOAD_FORECAST = {"load": "datetime_beginning_ept", "load_forecast": "forecast_datetime_beginning_ept"}
+
+
+def _refreshed(spark, sf_dir, refresh, times) -> DataFrame:
+    path = _new_folder(spark, "refresh")
+    for name, time in times.items():
+        sinks.write_feed(feeds.landed(spark, sf_dir, name), f"{path}/{name}", time, "month")
+    scanned = [scan_feed(spark, f"{path}/{name}", name) for name in times]
+    before = [df.filter(F.col("feed_month") < F.lit("1997-03-01").cast("date")) for df in scanned]
+    for landed_so_far in (before, scanned):
+        refresh(spark, f"{path}/fact", *landed_so_far, lookback_hours=OVERLAP_HOURS, unit="month")
+    return read_table(spark, f"{path}/fact", merge_schema=False)
+
+
 @query
 def dq_not_null(spark, sf_dir):
     checks = [
@@ -431,6 +510,18 @@ def sink_roundtrip(spark, sf_dir):
     return scan_feed(spark, path, "da_lmps")
 
 
+@query
+def sink_two_sources(spark, sf_dir):
+    """Three parts of one feed share days; landing one of them again leaves the others alone."""
+    path = _new_folder(spark, "parts")
+    feed = feeds.landed(spark, sf_dir, "da_lmps")
+    kind = F.coalesce("type", "pnode_type")
+    parts = {"zones": kind == "ZONE", "hubs": kind == "HUB", "other": kind == "LOAD"}
+    for name in (*parts, "hubs"):
+        sinks.write_feed(feed.filter(parts[name]), path, unit="month", part=name)
+    return scan_feed(spark, path, "da_lmps").drop("feed_month")
+
+
 @query
 def backfill_missing_periods(spark, sf_dir):
     """Years already stored keep their rows; the others are added."""
@@ -448,24 +539,45 @@ def backfill_missing_periods(spark, sf_dir):
 def stream_upsert_query(spark, sf_dir):
     """The five-minute feed lands twice, first with other prices; the later files win."""
     folder = _new_folder(spark, "stream")
-    feed = feeds.landed(spark, sf_dir, "rt_5min").filter("pnode_id <> 'N/A'")
-    landed = f"{folder}/landed"
     for factor in (2.0, 1.0):
-        priced = feed.withColumn("total_lmp_rt", F.col("total_lmp_rt") * factor)
-        priced.write.mode("append").parquet(landed)
-        stream_upsert(
-            spark,
-            landed,
-            schemas.RT_FEED,
-            staging.stage_rt,
-            target=f"{folder}/table",
-            keys=schemas.MART_LMPS_KEY,
-            time_col=HOUR,
-            checkpoint=f"{folder}/checkpoint",
-        )
+        _land_prices(spark, sf_dir, folder, factor)
+        _run_stream(spark, folder)
     return read_table(spark, f"{folder}/table")
 
 
+@query
+def stream_backlog(spark, sf_dir):
+    """Both landings wait before the one call that takes them."""
+    folder = _new_folder(spark, "backlog")
+    for factor in (2.0, 1.0):
+        _land_prices(spark, sf_dir, folder, factor)
+    _run_stream(spark, folder)
+    return read_table(spark, f"{folder}/table")
+
+
+def _land_prices(spark, sf_dir, folder: str, factor: float) -> None:
+    """Rows without a readable id keep their price, as they can't be told apart later."""
+    feed = feeds.landed(spark, sf_dir, "rt_5min")
+    price = F.col("total_lmp_rt")
+    priced = feed.withColumn("total_lmp_rt", F.when(F.col("pnode_id") == "N/A", price).otherwise(price * factor))
+    time.sleep(1.1)  # file times in whole seconds still tell the landings apart
+    priced.write.mode("append").parquet(f"{folder}/landed")
+
+
+def _run_stream(spark, folder: str, files_per_batch: int = 1000) -> None:
+    stream_upsert(
+        spark,
+        f"{folder}/landed",
+        schemas.RT_FEED,
+        staging.stage_rt,
+        target=f"{folder}/table",
+        keys=schemas.MART_LMPS_KEY,
+        time_col=HOUR,
+        checkpoint=f"{folder}/checkpoint",
+        files_per_batch=files_per_batch,
+    )
+
+
 # Query keys that would clash with the name of the function they exercise.
 for _key in ("scan_feed", "feed_window", "stream_upsert"):
     _REGISTERED[_key] = _REGISTERED.pop(f"{_key}_query")

@@ -13,11 +13,12 @@ def exact_mean(scale: int = 5) -> Callable[[Column], Column]:
 
     A double sum changes in its last bits with the partitioning. A decimal sum does
     not, so a rerun or a retried task gives the same mean. The terms must fit
-    DECIMAL(18, scale).
+    DECIMAL(18, scale) and are rounded to it; a NaN among them makes the mean NaN, as it does that of F.avg.
     """
 
     def mean(col: Column) -> Column:
-        total = F.sum(col.cast(f"decimal(18,{scale})")).cast("double")
-        return F.try_divide(total, F.count(col))
+        total = F.sum(F.when(~F.isnan(col.cast("double")), col).cast(f"decimal(18,{scale})")).cast("double")
+        number = col.cast("double")
+        return F.when(F.bool_or(F.isnan(number)), float("nan")).otherwise(F.try_divide(total, F.count(col)))
 
     return mean

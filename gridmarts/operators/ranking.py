@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmarts.session import ready_to_checkpoint
 
 ROWS_PER_CHUNK = 100_000
+VALUES_PER_BUCKET = 1_000_000
+MOST_BUCKETS = 4096  # the totals of so many ranges are broadcast
 
 
 def rank_descending(
-    df: DataFrame, value: str, buckets: int = 200, rows_per_chunk: int = ROWS_PER_CHUNK
+    df: DataFrame, value: str, buckets: int | None = None, rows_per_chunk: int = ROWS_PER_CHUNK
 ) -> DataFrame:
     """(position, value, total) for every non-NULL value, position 0 being the greatest.
 
     Equal values are counted before anything is ordered, so a value that fills a third
     of the input is one row here. The distinct values are cut into ranges at quantiles;
     a range is ordered by one task, and the ranges are lined up by their totals, of
-    which there are at most ``buckets``.
+    which there are at most ``buckets``; by default as many as the distinct values fill.
     """
     counted = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("copies"))
     # Read three times below; the checkpoint makes all three see the same rows.
     ready_to_checkpoint(df.sparkSession)
     counted = counted.checkpoint()
+    distinct, rows = counted.agg(F.count("*"), F.coalesce(F.sum("copies"), F.lit(0))).first()
+    buckets = buckets or min(MOST_BUCKETS, ceil(distinct / VALUES_PER_BUCKET) or 1)
     steps = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(counted.approxQuantile(value, steps, 1 / (4 * buckets)))) if steps else []
     ranged = counted.withColumn("bucket", _bucket(F.col(value), cuts, 0, len(cuts)))
@@ -40,7 +46,7 @@ def rank_descending(
     placed = ranged.withColumn("before", F.sum("copies").over(within) - F.col("copies")).join(
         F.broadcast(starts), "bucket"
     )
-    return _repeat(placed, value, rows_per_chunk)
+    return _repeat(placed, value, rows, rows_per_chunk)
 
 
 def _bucket(value: Column, cuts: list[float], low: int, high: int) -> Column:
@@ -53,13 +59,13 @@ def _bucket(value: Column, cuts: list[float], low: int, high: int) -> Column:
     )
 
 
-def _repeat(placed: DataFrame, value: str, rows_per_chunk: int) -> DataFrame:
+def _repeat(placed: DataFrame, value: str, rows: int, rows_per_chunk: int) -> DataFrame:
     """One row per copy. Many copies are written out by many tasks, a chunk each."""
     chunks = F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / rows_per_chunk))
     first = F.col("start") + F.col("before")
-    # A fixed number, since a chunk is a small row until it is written out and adaptive
-    # execution would otherwise pack all of them into one task.
-    tasks = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A number of its own, since a chunk is a small row until it is written out and adaptive
+    # execution would otherwise pack all of them into one task. It follows the rows to write.
+    tasks = max(1, ceil(rows / (10 * rows_per_chunk)))
     chunked = placed.select(
         value, "total", first.alias("first"), "copies", F.explode(chunks).alias("chunk")
     ).repartition(tasks, value, "chunk")

@@ -1,8 +1,8 @@
-"""Equi-joins that hold up when a few keys own much of the data.
+"""Equi-joins for keys that own much of the data on the right side; to be asked for.
 
-Adaptive execution can split an oversized left side of a left join, but not the right
-side, and it reacts only after the shuffle. Here a sketch of both sides' keys is taken
-first. If no key is heavy the plain join is returned unchanged. Otherwise the heavy
+The plans of this library use plain joins: adaptive execution splits an oversized left
+side, and their right sides have each key once. Where that is not so, ``skew_join`` takes a sketch of both
+sides' keys first, which is a job of its own. If no key is heavy the plain join is returned unchanged. Otherwise the heavy
 keys are dealt over several tasks: the rows of a heavy key are salted on their own side
 and the matching rows of the other side are copied once per salt. Every pair of rows
 meets exactly once, so the result is that of the plain join.
@@ -139,6 +139,9 @@ def skew_join(
     """``left.join(right, keys, how)`` for ``how`` in left, inner; other columns must differ."""
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
+    for key in keys:
+        if isinstance(left.schema[key].dataType, (T.TimestampType, T.BinaryType)):
+            raise TypeError(f"{key}: keys of this type do not survive the sketch's text form")
     heavy = find_heavy_keys(left, right, keys, rows_per_salt, right_unique, sketched)
     if not heavy:
         return left.join(right, keys, how)
@@ -183,9 +186,12 @@ def salted_join(
     )
     joined = salted_left.join(salted_right, [*keys, "_left_salt", "_right_salt"], how)
     if how == "left":
-        # A copied left row has a key that the sketch saw on the right, so one of its
-        # copies has a match; the copies without one are not results.
+        # Copies without a match are not results. A copied row of which no copy has one is,
+        # whatever the sketch saw, so those are looked up on their own.
         joined = joined.filter(F.col("_hit").isNotNull() | ~F.col("_copied"))
+        copied = F.broadcast(table.filter("_right_salts > 1").select(*keys))
+        lone = left.join(copied, keys, "left_semi").join(right.select(*keys).distinct(), keys, "left_anti")
+        joined = joined.unionByName(lone, allowMissingColumns=True)
     return joined.select(
         *keys,
         *[c for c in left.columns if c not in keys],

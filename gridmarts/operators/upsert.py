@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmarts.functions.labels import period_start
+from gridmarts.operators.latest import latest_by
 from gridmarts.session import ready_to_checkpoint
 from gridmarts.sources.sinks import write_partitioned
 
 # Folder names of a table: the UTC day or month of its rows.
 FOLDERS = {"day": "date_utc", "month": "month_utc"}
+# When a row was landed; a batch that has it keeps the newest row of a key.
+LANDED = "landed_at"
 
 
 def read_table(
@@ -67,11 +72,19 @@ def newer_than(
 
 
 def merge_frames(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Target rows whose key is not in the batch, then the batch.
+    """Target rows whose key is not in the batch, then the batch, one row per key.
 
-    Keys compare as in SQL, so a row with a NULL key is never replaced. Columns that
-    only one side has are kept and filled with NULL.
+    Of several rows of a key the batch's newest counts (``landed_at``, else the greatest
+    values). Keys compare as in SQL, so a row with a NULL key replaces no other row; it
+    is stored once, however often it is brought. Columns that only one side has are kept
+    and filled with NULL.
     """
+    return _merged(target, _one_per_key(batch, keys), keys)
+
+
+def _merged(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    if any(f.nullable for f in target.select(*keys).schema):
+        target = _without_repeats(target, batch, keys)
     # distinct() shrinks repeated keys before the shuffle, and the anti join can be split
     # by adaptive execution where one key owns much of the target.
     replaced = batch.select(*keys).distinct()
@@ -79,6 +92,27 @@ def merge_frames(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFr
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
+def _any_null(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+
+
+def _one_per_key(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """The newest row of each key. Rows with a NULL key all stay, whole repeats once."""
+    order = [LANDED] if LANDED in batch.columns else []
+    whole = batch.filter(~_any_null(keys))
+    unkeyed = batch.filter(_any_null(keys)).drop(LANDED).distinct()
+    return latest_by(whole, keys, order).drop(LANDED).unionByName(unkeyed)
+
+
+def _without_repeats(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """The target without those rows with a NULL key that the batch brings again as they are."""
+    shared = [c for c in target.columns if c in batch.columns]
+    again = batch.filter(_any_null(keys)).select(*[F.col(c).alias(f"_{c}") for c in shared]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in shared])
+    unkeyed = target.filter(_any_null(keys)).join(again, same, "left_anti")
+    return target.filter(~_any_null(keys)).unionByName(unkeyed)
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -90,18 +124,21 @@ def upsert_table(
     """Merge ``batch`` into the table at ``path``, rewriting only the folders it touches.
 
     ``time_col`` is one of the keys, so a row and its replacement share a folder.
-    Months suit tables of a few thousand rows a day.
+    Months suit tables of a few thousand rows a day. Rows with a NULL key match nothing;
+    ``check_not_null`` counts them. A batch of any size or order of arrival gives one row per
+    key, see :func:`merge_frames`.
     """
     folder = FOLDERS[unit]
     # Read three times below, and often the result of a large join.
     ready_to_checkpoint(spark)
+    batch = _one_per_key(batch, keys)
     batch = batch.withColumn(folder, period_start(F.col(time_col), unit)).checkpoint()
     starts = [row[0] for row in batch.select(folder).distinct().collect()]
     if not starts:
         return
     names = [f"{folder}={start or '__HIVE_DEFAULT_PARTITION__'}" for start in starts]
     touched = read_table(spark, path, *names)
-    merged = batch if touched is None else merge_frames(touched, batch, keys)
+    merged = batch if touched is None else _merged(touched, batch, keys)
     write_partitioned(merged, path, folder, _sorting(keys, time_col), replace_all=False)
 
 

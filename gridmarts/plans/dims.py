@@ -27,13 +27,28 @@ def build_dim_pnode(da: DataFrame) -> DataFrame:
     return nodes.withColumns({"display_name": label, "pnode_group": group})
 
 
+def _since_whole_hour(time: Column) -> Column:
+    """How far the time is into its hour; all hours of the calendar have the same offset."""
+    return time - F.date_trunc("hour", time).cast("timestamp_ntz")
+
+
 def build_dim_calendar(da: DataFrame) -> DataFrame:
     """One row per local clock hour between the first and the last price."""
     hour = F.col("hour_beginning_ept")
     extent = da.agg(F.min(hour).alias("first"), F.max(hour).alias("last"))
-    # One row of a few hundred thousand hours for decades of data; then spread out.
+    # The one row becomes a row per month; these are spread, and each makes its own hours.
     hours = extent.filter(F.col("first").isNotNull()).select(
-        F.explode(F.sequence("first", "last", F.expr("interval 1 hour"))).alias("hour_beginning_ept")
+        "first", "last",
+        F.explode(F.sequence(F.trunc(F.to_date("first"), "month"), F.to_date("last"), F.expr("interval 1 month"))).alias("month"),
+    )
+    hours = hours.hint("rebalance").select(
+        F.explode(
+            F.sequence(
+                F.greatest("first", F.col("month").cast("timestamp_ntz") + _since_whole_hour(F.col("first"))),
+                F.least("last", F.add_months("month", 1).cast("timestamp_ntz") - F.expr("interval 1 second")),
+                F.expr("interval 1 hour"),
+            )
+        ).alias("hour_beginning_ept")
     )
     weekday = F.dayofweek(hour) - 1  # 0 is Sunday
     on_peak = weekday.between(1, 5) & F.hour(hour).between(6, 21)

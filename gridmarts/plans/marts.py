@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmarts.operators.skew import skew_join
-from gridmarts.operators.upsert import newer_than, read_table, upsert_table, write_history
+from gridmarts.operators.upsert import high_water, newer_than, read_table, upsert_table, write_history
+from gridmarts.plans import staging
 from gridmarts.schemas import MART_LMPS_KEY, MART_LOAD_KEY
+from gridmarts.sources.feeds import prune_folders
+
+HOUR = "hour_beginning_utc"
 
 _PRICES = ("energy_price", "congestion_price", "loss_price", "total_lmp")
 
@@ -17,7 +23,7 @@ def build_mart_lmps(da: DataFrame, rt: DataFrame) -> DataFrame:
     da_prices, rt_prices = ([f"{p}_{s}" for p in _PRICES] for s in ("da", "rt"))
     keys = ["pnode_id", "hour_beginning_utc"]
     left = da.select(*keys, "hour_beginning_ept", "pnode_name", "pnode_type", "zone", *da_prices)
-    joined = skew_join(left, rt.select(*keys, *rt_prices), keys)
+    joined = left.join(rt.select(*keys, *rt_prices), keys, "left")
     return joined.select(
         "hour_beginning_utc",
         "hour_beginning_ept",
@@ -55,7 +61,7 @@ def build_mart_load(load: DataFrame, forecast: DataFrame) -> DataFrame:
         "forecast_load_mw",
     )
     # Staging has left one forecast per area and hour.
-    return skew_join(left, right, keys, right_unique=True).select(
+    return left.join(right, keys, "left").select(
         "hour_beginning_utc",
         "hour_beginning_ept",
         "zone",
@@ -68,41 +74,58 @@ def build_mart_load(load: DataFrame, forecast: DataFrame) -> DataFrame:
     )
 
 
+def _new_feed(
+    feed: DataFrame, stored: DataFrame, stage: Callable[[DataFrame], DataFrame], time_col: str, lookback_hours: int
+) -> DataFrame:
+    """Staged rows after the newest stored hour. Older folders of the feed are not opened.
+
+    Folders are local days or months and the stored hours UTC, so a day more is read; the
+    exact cut is made on the staged times.
+    """
+    newest = feed.sparkSession.range(1).select(high_water(stored, HOUR).alias("newest")).first()["newest"]
+    if newest is not None:
+        day = (newest - timedelta(hours=lookback_hours, days=1)).date()
+        feed = prune_folders(feed, F.lit(day))
+    return newer_than(stage(feed), stored, time_col, target_time_col=HOUR, lookback_hours=lookback_hours)
+
+
 def refresh_mart_lmps(
     spark: SparkSession,
     path: str,
-    da: DataFrame,
-    rt: DataFrame,
+    da_feed: DataFrame,
+    rt_feed: DataFrame,
     lookback_hours: int = 0,
     unit: str = "day",
+    stage_da: Callable[[DataFrame], DataFrame] = staging.stage_da,
+    stage_rt: Callable[[DataFrame], DataFrame] = staging.stage_rt,
 ) -> None:
-    """Add the hours after the newest stored one, on both sides of the join."""
-    hour = "hour_beginning_utc"
+    """Add the hours after the newest stored one, on both sides of the join, from landed feeds."""
     stored = read_table(spark, path, merge_schema=False)  # only its hours are read
     if stored is None:
-        write_history(path, build_mart_lmps(da, rt), MART_LMPS_KEY, hour, unit)
+        rows = build_mart_lmps(stage_da(da_feed), stage_rt(rt_feed))
+        write_history(path, rows, MART_LMPS_KEY, HOUR, unit)
         return
-    new_da = newer_than(da, stored, hour, lookback_hours=lookback_hours)
-    new_rt = newer_than(rt, stored, hour, lookback_hours=lookback_hours)
-    upsert_table(spark, path, build_mart_lmps(new_da, new_rt), MART_LMPS_KEY, hour, unit)
+    da = _new_feed(da_feed, stored, stage_da, HOUR, lookback_hours)
+    rt = _new_feed(rt_feed, stored, stage_rt, HOUR, lookback_hours)
+    upsert_table(spark, path, build_mart_lmps(da, rt), MART_LMPS_KEY, HOUR, unit)
 
 
 def refresh_mart_load(
     spark: SparkSession,
     path: str,
-    load: DataFrame,
-    forecast: DataFrame,
+    load_feed: DataFrame,
+    forecast_feed: DataFrame,
     lookback_hours: int = 0,
     unit: str = "day",
+    stage_load: Callable[[DataFrame], DataFrame] = staging.stage_load,
+    stage_forecast: Callable[[DataFrame], DataFrame] = staging.stage_forecast,
 ) -> None:
-    """The same for load; the forecast is cut by the hour it is for."""
-    hour = "hour_beginning_utc"
+    """The same for load. The forecast is cut by the hour it is for, and laid out by it."""
     stored = read_table(spark, path, merge_schema=False)  # only its hours are read
     if stored is None:
-        write_history(path, build_mart_load(load, forecast), MART_LOAD_KEY, hour, unit)
+        rows = build_mart_load(stage_load(load_feed), stage_forecast(forecast_feed))
+        write_history(path, rows, MART_LOAD_KEY, HOUR, unit)
         return
-    new_load = newer_than(load, stored, hour, lookback_hours=lookback_hours)
-    new_forecast = newer_than(
-        forecast, stored, "forecast_hour_utc", target_time_col=hour, lookback_hours=lookback_hours
-    )
-    upsert_table(spark, path, build_mart_load(new_load, new_forecast), MART_LOAD_KEY, hour, unit)
+    load = _new_feed(load_feed, stored, stage_load, HOUR, lookback_hours)
+    forecast = _new_feed(forecast_feed, stored, stage_forecast, "forecast_hour_utc", lookback_hours)
+    upsert_table(spark, path, build_mart_load(load, forecast), MART_LOAD_KEY, HOUR, unit)

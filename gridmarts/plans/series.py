@@ -9,16 +9,14 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmarts.functions.labels import day_start, days_between, halves_between, parse_day
+from gridmarts.functions.labels import day_start, days_between, halves_between, parse_day, period_start
 from gridmarts.functions.timeparse import naive, wall_clock
-from gridmarts.operators.skew import skew_join
-from gridmarts.operators.upsert import read_table
+from gridmarts.operators.upsert import FOLDERS, read_table
 from gridmarts.schemas import HOME_ZONE, WESTERN_HUB_ID
 
-# Longest span in days per resolution, and rows per answer.
+# Longest span in days per resolution.
 INTRADAY_DAYS = 7
 HOURLY_DAYS = 186
-MAX_ROWS = 5000
 
 
 @dataclass(frozen=True)
@@ -35,7 +33,7 @@ class Tiers:
 
 def read_tiers(spark: SparkSession, path: str) -> Tiers:
     """Tiers written under ``path`` by ``write_tiers``; those not there stay absent."""
-    names = ("rt_recent", "da_recent", "lmps", "lmps_daily", "load_daily")
+    names = ("rt_recent", "da_recent", "lmps", "lmps_daily", "load_daily", "mart_load")
     tables = {n: read_table(spark, f"{path}/{n}", merge_schema=False) for n in names}
     return Tiers(**tables)
 
@@ -84,7 +82,7 @@ def join_recent(rt_recent: DataFrame, da_recent: DataFrame) -> DataFrame:
     time = wall_clock(F.col("datetime_beginning_ept"), strict=False).alias("ts")
     left = rt_recent.select(time, "pnode_id", "zone", "total_lmp_rt")
     right = da_recent.select(time, "pnode_id", "total_lmp_da")
-    return skew_join(left, right, ["ts", "pnode_id"]).select(
+    return left.join(right, ["ts", "pnode_id"], "left").select(
         "ts",
         "pnode_id",
         "zone",
@@ -94,10 +92,11 @@ def join_recent(rt_recent: DataFrame, da_recent: DataFrame) -> DataFrame:
     )
 
 
-def _source(tiers: Tiers, start: date, end: date, location: Location) -> tuple[DataFrame, Column, list[str]]:
+def _source(
+    tiers: Tiers, start: date, end: date, location: Location, grain: str
+) -> tuple[DataFrame, Column, list[str]]:
     """Rows of the location and range, their time, and their price columns."""
     here = location.predicate()
-    grain = grain_for(start, end)
     if grain == "intraday":
         _need(rt_recent=tiers.rt_recent, da_recent=tiers.da_recent)
         day_ahead = tiers.da_recent
@@ -125,12 +124,17 @@ def lmp_series(
     start: str | date,
     end: str | date,
     location: Location,
-    limit: int = MAX_ROWS,
+    limit: int | None = None,
     mean: Callable[[Column], Column] = F.avg,
+    grain: str | None = None,
 ) -> DataFrame:
-    """(ts, da, rt, spread): the mean price per time over the nodes of the location."""
+    """(ts, da, rt, spread): the mean price per time over the nodes of the location.
+
+    ``limit`` is for a display that wants the first so many times; figures are made of
+    the whole series. ``grain`` overrides the resolution that the span suggests.
+    """
     start, end = parse_day(start), parse_day(end)
-    rows, ts, (da, rt, spread) = _source(tiers, start, end, location)
+    rows, ts, (da, rt, spread) = _source(tiers, start, end, location, grain or grain_for(start, end))
     prices = rows.select(
         ts.alias("ts"),
         F.col(da).cast("double").alias("da"),
@@ -138,7 +142,20 @@ def lmp_series(
         F.col(spread).cast("double").alias("spread"),
     )
     means = [mean(F.col(c)).alias(c) for c in ("da", "rt", "spread")]
-    return prices.groupBy("ts").agg(*means).orderBy(F.col("ts").asc_nulls_last()).limit(limit)
+    return _first(prices.groupBy("ts").agg(*means).orderBy(F.col("ts").asc_nulls_last()), limit)
+
+
+def _first(ordered: DataFrame, limit: int | None) -> DataFrame:
+    return ordered if limit is None else ordered.limit(limit)
+
+
+def _folders(rows: DataFrame, start: date, end: date) -> DataFrame:
+    """Skip whole folders of a table laid out by UTC day or month."""
+    for unit, folder in FOLDERS.items():
+        if folder in rows.columns:
+            first, last = (period_start(F.lit(day), unit) for day in (start, end))
+            rows = rows.filter(F.col(folder).between(first, last))
+    return rows
 
 
 def load_series(
@@ -146,7 +163,7 @@ def load_series(
     start: str | date,
     end: str | date,
     zone: str = HOME_ZONE,
-    limit: int = MAX_ROWS,
+    limit: int | None = None,
 ) -> DataFrame:
     """(ts, actual, forecast, peak): hourly for spans up to the hourly limit, else daily."""
     start, end = parse_day(start), parse_day(end)
@@ -157,8 +174,8 @@ def load_series(
     else:
         _need(mart_load=tiers.mart_load)
         ts, columns = F.col("hour_beginning_utc"), ("actual_load_mw", "forecast_load_mw", "actual_load_mw")
-        rows = tiers.mart_load.filter(_days(ts, start, end))
+        rows = _folders(tiers.mart_load, start, end).filter(_days(ts, start, end))
     values = [F.col(c).cast("double").alias(n) for c, n in zip(columns, ("actual", "forecast", "peak"))]
     # The value columns make the cut at `limit` definite where a time occurs twice.
     order = [F.col(c).asc_nulls_last() for c in ("ts", "actual", "forecast", "peak")]
-    return rows.filter(F.col("zone") == zone).select(ts.alias("ts"), *values).orderBy(*order).limit(limit)
+    return _first(rows.filter(F.col("zone") == zone).select(ts.alias("ts"), *values).orderBy(*order), limit)

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from gridmarts.functions.casts import lenient_int, to_bool, to_double
 from gridmarts.functions.timeparse import to_utc, wall_clock
 from gridmarts.operators.latest import latest_by
+from gridmarts.operators.upsert import LANDED
 from gridmarts.schemas import API_SOURCE, DA_FEED, FORECAST_FEED, LOAD_FEED, RT_FEED
 
 
@@ -34,6 +35,11 @@ def _with_utc(df: DataFrame, local: str, utc: str, iso_zone: str) -> DataFrame:
     return df.select("*", F.explode(F.array(instant)).alias(utc)).drop("time_text")
 
 
+def _landed(raw: DataFrame) -> list[str]:
+    """The landing time goes through where there is one."""
+    return [c for c in (LANDED,) if c in raw.columns]
+
+
 def _stage_prices(
     raw: DataFrame, suffix: str, pnode_type: Column, extra: list[Column], iso_zone: str, strict: bool
 ) -> DataFrame:
@@ -51,6 +57,7 @@ def _stage_prices(
         to_double(F.col(f"marginal_loss_price_{suffix}")).alias(f"loss_price_{suffix}"),
         total.alias(f"total_lmp_{suffix}"),
         *extra,
+        *_landed(raw),
     )
     return _with_utc(staged, "hour_beginning_ept", "hour_beginning_utc", iso_zone)
 
@@ -77,6 +84,7 @@ def stage_load(raw: DataFrame, iso_zone: str = "UTC", strict: bool = True) -> Da
         *[F.trim(c).alias(c) for c in ("zone", "load_area", "nerc_region", "mkt_region")],
         load.alias("load_mw"),
         to_bool(F.col("is_verified")).alias("is_verified"),
+        *_landed(raw),
     )
     return _with_utc(staged, "hour_beginning_ept", "hour_beginning_utc", iso_zone)
 

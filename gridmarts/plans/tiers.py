@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmarts.functions.casts import lenient_int, to_real
-from gridmarts.functions.labels import half_year, utc_date
+from gridmarts.functions.labels import half_year, period_start, utc_date
 from gridmarts.functions.timeparse import naive, us_wall_clock
 from gridmarts.sources.feeds import prune_folders
 from gridmarts.sources.sinks import write_partitioned, write_table
@@ -123,3 +123,5 @@ def write_tiers(
         write_table(lmp_daily(mart_lmps).orderBy("date_utc", "pnode_id"), f"{path}/lmps_daily")
     if mart_load is not None:
         write_table(load_daily(mart_load).orderBy("date_utc", "zone"), f"{path}/load_daily")
+        by_month = mart_load.drop("month_utc").withColumn("month_utc", period_start(F.col("hour_beginning_utc"), "month"))
+        write_partitioned(by_month, f"{path}/mart_load", "month_utc", ["zone", "hour_beginning_utc"])

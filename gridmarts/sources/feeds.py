@@ -17,6 +17,8 @@ from gridmarts.schemas import FEEDS
 
 # Folder names of a feed written by this library: the local day or month of its rows.
 FEED_FOLDERS = {"day": "feed_date", "month": "feed_month"}
+# Above them, a folder per part of the feed.
+FEED_PART = "feed_part"
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmarts.schemas import BACKFILL_SOURCE, HUB_TYPE, ZONE_TYPE
+from gridmarts.sources.feeds import union_feeds
 
 # Texts that a CSV reader on the data-frame side takes for missing.
 MISSING_TEXTS = (
@@ -37,9 +40,37 @@ RT_RULES = [
 ]
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV files with a header line, every column as text, missing values as NULL."""
-    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+def files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """The files under ``path``, those with the same header line together."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n")).alias("at"),
+        "value",
+    )
+    # Within a block the ids ascend, and the first block has the header.
+    headers = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    layouts = headers.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return [row["files"] for row in layouts.orderBy("header").collect()]  # names of files only
+
+
+def normalise_files(
+    spark: SparkSession, path: str, normalise: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """CSV files of any mix of layouts: each header is read and normalised on its own.
+
+    Everything is text in the result, so that layouts agree; ``conform`` gives it types.
+    """
+    parts = [normalise(read_csv(spark, files)) for files in files_by_header(spark, path)]
+    return union_feeds(*[part.select(*[F.col(c).cast("string") for c in part.columns]) for part in parts])
+
+
+def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """CSV files with the same header line, every column as text, missing values as NULL.
+
+    Spark applies one header to all files by position; a file with another one stops the
+    job. :func:`normalise_files` takes files of different headers.
+    """
+    raw = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"').csv(path)
     return raw.select(
         *[F.when(~F.col(f"`{c}`").isin(*MISSING_TEXTS), F.col(f"`{c}`")).alias(c) for c in raw.columns]
     )

@@ -16,7 +16,8 @@ def unwrap_pages(spark: SparkSession, path: str, feed: str, whole_file: bool = T
     """Rows of saved pages, each a bare list or an object with ``items`` or ``data``.
 
     ``items`` wins over ``data``. An object with neither holds no rows. With
-    ``whole_file`` a file is one page; without it, every line is one.
+    ``whole_file`` a file is one page; without it, every line is one. A page that is not
+    whole JSON stops the job: its rows would be missing without a trace.
     """
     # Everything is read as text: pages disagree on whether an id or a price is quoted.
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in FEEDS[feed]])
@@ -28,7 +29,7 @@ def unwrap_pages(spark: SparkSession, path: str, feed: str, whole_file: bool = T
         ]
     )
     # A bare list becomes one input row per element, an object one input row in all.
-    pages = spark.read.schema(either).option("multiLine", whole_file).json(path)
+    pages = spark.read.schema(either).option("multiLine", whole_file).option("mode", "FAILFAST").json(path)
     bare = F.array(F.struct(*text.names))
     rows = pages.select(F.explode(F.coalesce("items", "data", bare)).alias("row")).select("row.*")
     holds_something = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in text.names])

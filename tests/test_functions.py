@@ -1,3 +1,4 @@
+import math
 from datetime import date, datetime
 
 import pytest
@@ -129,3 +130,5 @@ def test_exact_mean_ignores_order_and_nulls(spark):
     assert means == {0.7 / 9}
     empty = spark.createDataFrame([(None,)], "x double")
     assert empty.select(exact_mean()(F.col("x"))).first()[0] is None
+    odd = spark.createDataFrame([(float("nan"),), (1.0,)], "x double")
+    assert math.isnan(odd.select(exact_mean()(F.col("x"))).first()[0])

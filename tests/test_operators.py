@@ -58,6 +58,18 @@ def test_merge_replaces_equal_keys_and_keeps_null_keys(spark, rows):
     ]
 
 
+def test_merge_gives_one_row_per_key(spark, rows):
+    stored = table(spark, (hour(1), 1, 1.0), (hour(1), None, 3.0))
+    batch = spark.createDataFrame(
+        [(hour(1), 1, 9.0, 1), (hour(1), 1, 5.0, 2), (hour(1), None, 3.0, 1), (hour(1), None, 3.0, 2)],
+        "t timestamp_ntz, node int, price double, landed_at int",
+    )
+    merged = merge_frames(stored, batch, KEYS)
+    assert merged.columns == ["t", "node", "price"]
+    # the newest row of a key; a row without a key once, however often it comes
+    assert rows(merged) == [(hour(1), 1, 5.0), (hour(1), None, 3.0)]
+
+
 def test_merge_with_new_and_missing_columns(spark, rows):
     stored = table(spark, (hour(1), 1, 1.0), (hour(1), 2, 2.0))
     batch = spark.createDataFrame([(hour(1), 2, "new")], "t timestamp_ntz, node int, note string")

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from gridmarts import schemas
 from gridmarts.operators.upsert import read_table
 from gridmarts.plans import dims, kpi, marts, series, staging, tiers
+from gridmarts.sources.feeds import scan_feed
+from gridmarts.sources.sinks import write_feed
 from gridmarts.streaming.ingest import stream_upsert
 
 DA = "datetime_beginning_ept string, pnode_id string, pnode_name string, type string, zone string, total_lmp_da double"
@@ -108,11 +110,10 @@ def test_weekend_is_off_peak_and_days_have_24_rows(spark):
 def test_refresh_with_lookback(spark, rows, tmp_path):
     path = str(tmp_path / "mart")
     hours = [("1/5/2025 0:00", 1.0), ("1/5/2025 1:00", 2.0), ("1/6/2025 0:00", 3.0)]
-    da = staging.stage_da(da_feed(spark, *[(t, "1", "A", "ZONE", "A", p) for t, p in hours]))
-    rt = staging.stage_rt(rt_feed(spark, *[(t, "1", "A", "ZONE", "A", p + 0.5) for t, p in hours]))
-    early = F.col("hour_beginning_utc") < F.lit(datetime(2025, 1, 6)).cast("timestamp_ntz")
-    nothing = rt.filter("false")
-    marts.refresh_mart_lmps(spark, path, da.filter(early), nothing)
+    da = da_feed(spark, *[(t, "1", "A", "ZONE", "A", p) for t, p in hours])
+    rt = rt_feed(spark, *[(t, "1", "A", "ZONE", "A", p + 0.5) for t, p in hours])
+    early = F.col("datetime_beginning_ept").startswith("1/5/")
+    marts.refresh_mart_lmps(spark, path, da.filter(early), rt.filter("false"))
     marts.refresh_mart_lmps(spark, path, da, rt)
     # the late real-time prices of stored hours stay missing without a lookback
     assert rows(read_table(spark, path), "total_lmp_da", "total_lmp_rt") == [(1.0, None), (2.0, None), (3.0, 3.5)]
@@ -130,12 +131,58 @@ def test_refresh_of_load(spark, rows, tmp_path):
         [("1/4/2025 0:00", "1/6/2025 0:00", "DUQ", 4.0)],
         "evaluated_at_datetime_ept string, forecast_datetime_beginning_ept string, forecast_area string, forecast_load_mw double",
     )
-    load, forecast = staging.stage_load(load), staging.stage_forecast(forecast)
-    marts.refresh_mart_load(spark, path, load.filter("load_mw = 1"), forecast, unit="month")
+    marts.refresh_mart_load(spark, path, load.filter("mw = 1"), forecast, unit="month")
     marts.refresh_mart_load(spark, path, load, forecast, unit="month")
     assert rows(read_table(spark, path), "actual_load_mw", "forecast_load_mw") == [(1.0, None), (2.0, 4.0)]
 
 
+def test_refresh_opens_new_folders_only(spark, tmp_path):
+    feed = da_feed(spark, *[(f"{m}/5/2025 0:00", "1", "A", "ZONE", "A", 1.0) for m in range(1, 7)])
+    write_feed(feed, str(tmp_path / "feed"))
+    landed = scan_feed(spark, str(tmp_path / "feed"), "da_lmps")
+    stored = staging.stage_da(feed.filter("datetime_beginning_ept < '5'"))
+    new = marts._new_feed(landed, stored, staging.stage_da, "hour_beginning_utc", 24)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PartitionFilters: [isnotnull(feed_date" in plan and "2025-04-03" in plan
+    assert new.count() == 3  # April on, with the day of lookback
+
+
+def test_building_a_plan_starts_no_job(spark, tmp_path):
+    da = da_feed(spark, ("1/5/2025 0:00", "1", "A", "ZONE", "A", 1.0))
+    rt = rt_feed(spark, ("1/5/2025 0:00", "1", "A", "ZONE", "A", 2.0))
+    da, rt = staging.stage_da(da), staging.stage_rt(rt)
+    spark.sparkContext.setJobGroup("plans", "plans")
+    try:
+        marts.build_mart_lmps(da, rt)
+        as_of = datetime(2025, 1, 6)
+        recent = tiers.recent_rt(rt_feed(spark), as_of), tiers.recent_da(da_feed(spark), as_of)
+        series.join_recent(*recent)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plans")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_series_are_whole_and_skip_folders(spark, tmp_path):
+    hours = 6_000
+    mart = spark.range(hours).selectExpr(
+        "timestamp_ntz'2024-01-01' + make_dt_interval(0, id) as hour_beginning_utc", "'DUQ' as zone",
+        "1.0D as actual_load_mw", "1.0D as forecast_load_mw", "0.0D as forecast_error_pct",
+        "2 as pnode_id", "'DUQ' as pnode_name", "1.0D as total_lmp_da", "1.0D as total_lmp_rt", "0.0D as da_rt_spread",
+    )
+    tiers.write_tiers(str(tmp_path), mart_lmps=mart, mart_load=mart)
+    stored = series.read_tiers(spark, str(tmp_path))
+    prices = series.lmp_series(stored, "2024-01-01", "2025-01-01", series.DUQ, grain="hourly")
+    assert kpi.freshness(prices).first()["row_count"] == hours
+    loads = series.load_series(stored, "2024-02-01", "2024-03-31", zone="DUQ")
+    assert loads.count() == 60 * 24
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = loads._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PartitionFilters: [isnotnull(month_utc" in plan
+
+
 def test_recent_tiers(spark, rows):
     feed = rt_feed(
         spark,

@@ -80,3 +80,12 @@ def test_a_sample_finds_the_heavy_keys_too(spark):
     heavy = find_heavy_keys(left, left.limit(5), ["k"], rows_per_salt=2000, right_unique=True)
     assert list(heavy.salts) == ["-1"]
     assert heavy.salts["-1"][0] in (6, 7, 8)
+
+
+def test_no_left_row_is_lost_when_the_right_side_changes(spark, rows):
+    """The sketch saw a heavy key on the right that is gone when the join runs."""
+    left, right = sides(spark)
+    heavy = find_heavy_keys(left, right, KEYS, rows_per_salt=30, sketched=1)
+    later = right.filter("node is null or node not in ('right heavy', 'both')")
+    got = salted_join(left, later, KEYS, "left", heavy)
+    assert rows(got) == rows(left.join(later, KEYS, "left"))

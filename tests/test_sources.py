@@ -81,9 +81,17 @@ def test_missing_periods_only(spark, rows, tmp_path):
     path = str(tmp_path / "periods")
     make = lambda *r: spark.createDataFrame(list(r), "period string, n int")
     write_missing_periods(make(("2023", 1)), path, "period")
-    write_missing_periods(make(("2023", 100), ("2024", 2)), path, "period")
-    write_missing_periods(make(("2023", 100), ("2024", 200)), path, "period")
-    assert rows(spark.read.parquet(path), "n") == [(1,), (2,)]
+    write_missing_periods(make(("2023", 100), ("2024", 2), (None, 3)), path, "period")
+    write_missing_periods(make(("2023", 100), ("2024", 200), (None, 300)), path, "period")
+    assert rows(spark.read.parquet(path), "n") == [(1,), (2,), (3,)]
+
+
+def test_parts_of_a_feed_share_days(spark, rows, tmp_path):
+    path = str(tmp_path / "feed")
+    write_feed(feed(spark, ("1/5/2025 0:00", "zone", 1), ("odd", "zone", 2)), path, part="zones")
+    write_feed(feed(spark, ("1/5/2025 0:00", "hub", 3), ("odd", "hub", 4)), path, part="hubs")
+    write_feed(feed(spark, ("1/5/2025 0:00", "hub", 5)), path, part="hubs")
+    assert rows(spark.read.parquet(path), "n") == [(1,), (2,), (4,), (5,)]
 
 
 def test_pages(spark, rows, tmp_path):
@@ -110,6 +118,24 @@ def test_pages(spark, rows, tmp_path):
     assert rows(by_line, "pnode_id", "total_lmp_da") == want
 
 
+def test_a_broken_page_stops_the_job(spark, tmp_path):
+    (tmp_path / "page.json").write_text('{"items": [{"pnode_id": 1, "total_lmp_da": 1.5}')
+    with pytest.raises(Exception, match="MALFORMED|[Mm]alformed"):
+        unwrap_pages(spark, str(tmp_path), "da_lmps").collect()
+
+
+def test_files_of_different_headers(spark, rows, tmp_path):
+    (tmp_path / "a.csv").write_text("Datetime,Zone,LMP DA,Congestion\n1/5/2025 0:00,A,1.5,0.1\n")
+    (tmp_path / "b.csv").write_text("Datetime,Zone,Congestion,LMP DA\n1/5/2025 1:00,B,0.2,2.5\n")
+    (tmp_path / "c.csv").write_text("period,respondent,value\n1/5/2025 2:00,C,3.5\n")
+    got = N.normalise_files(spark, str(tmp_path), N.normalise_da_zones)
+    assert rows(got, "pnode_name", "total_lmp_da", "congestion_price_da") == [
+        ("A", "1.5", "0.1"), ("B", "2.5", "0.2"), ("C", "3.5", None),
+    ]
+    with pytest.raises(Exception, match="header|Header|HEADER"):
+        N.read_csv(spark, str(tmp_path)).collect()
+
+
 def csv(spark, tmp_path, text):
     (tmp_path / "file.csv").write_text(text)
     return N.read_csv(spark, str(tmp_path / "file.csv"))
