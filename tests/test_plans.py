@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from gridmarts import schemas
 from gridmarts.operators.upsert import read_table
 from gridmarts.plans import dims, kpi, marts, series, staging, tiers
-from gridmarts.sources.feeds import scan_feed
+from gridmarts.sources.feeds import conform, scan_feed
 from gridmarts.sources.sinks import write_feed
 from gridmarts.streaming.ingest import stream_upsert
 
@@ -157,7 +157,8 @@ def test_building_a_plan_starts_no_job(spark, tmp_path):
     try:
         marts.build_mart_lmps(da, rt)
         as_of = datetime(2025, 1, 6)
-        recent = tiers.recent_rt(rt_feed(spark), as_of), tiers.recent_da(da_feed(spark), as_of)
+        empty = conform(rt_feed(spark), schemas.RT_FEED), conform(da_feed(spark), schemas.DA_FEED)
+        recent = tiers.recent_rt(empty[0], as_of), tiers.recent_da(empty[1], as_of)
         series.join_recent(*recent)
         assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plans")
     finally:
