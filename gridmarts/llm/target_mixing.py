@@ -44,12 +44,10 @@ def learn(labelled: DataFrame, domains: list[str], most_words: int = 8_000, leas
     totals = {r["domain"]: r["count"] for r in rows.groupBy("domain").count().collect()}  # a row per domain
     rate = [(F.col(f"n{k}") + 0.5) / F.lit(totals.get(d, 0) + 1.0) for k, d in enumerate(domains)]
     odds = F.array(*(F.log(r) for r in rate))
+    often = sum(F.col(f"n{k}") for k in range(len(domains)))
     # the frequency times the spread of the rates: what the word tells over the corpus
-    tells = sum(F.col(f"n{k}") for k in range(len(domains))) * (F.log(F.greatest(*rate)) - F.log(F.least(*rate)))
-    if len(domains) < 2:
-        tells = F.lit(0.0)
-    seen_often = sum(F.col(f"n{k}") for k in range(len(domains))) >= least
-    best = counts.where(seen_often).select("word", odds.alias("odds"), tells.alias("tells"))
+    spread = F.log(F.greatest(*rate)) - F.log(F.least(*rate)) if len(domains) > 1 else F.lit(0.0)
+    best = counts.where(often >= least).select("word", odds.alias("odds"), (often * spread).alias("tells"))
     return best.orderBy(F.desc("tells"), "word").limit(most_words).select("word", "odds")
 
 

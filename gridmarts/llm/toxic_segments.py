@@ -2,10 +2,11 @@
 
 Learning, from labelled texts: every feature (a word, and its beginnings of ``PREFIXES``
 letters, so that a new word formed from a known beginning still counts) is counted once per
-text, by label. Its weight is the log-odds of the two labels under a Dirichlet prior spread
-by the overall frequencies, and the z-score of that weight tells how sure it is. Features that are not
-sure enough have no entry. A word scores the weight of its surest feature, and
-``-drift`` if it has none, so that the expected score of ordinary text is negative.
+text, by label. The chance that a text with the feature is toxic has a Dirichlet prior whose
+mean is the chance of the next shorter beginning, down to the share of toxic texts; ``prior``
+is its weight in texts. A word scores the log-odds of its longest known feature. Ordinary words have about the
+log-odds of the share of toxic texts, so the expected score of ordinary text is negative. Of near copies
+of a text only one is counted, so that words of a much copied text don't look toxic for its sake.
 
 Search: one pass over a text's word scores finds all maximal scoring segments, each the
 best passage of its surroundings and disjoint from the others, in time linear in the words.
@@ -30,21 +31,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmarts.llm.common import ready, scratch, whole_text
+from gridmarts.llm.shingles import shingle_sets
 
 PREFIXES = (4, 5, 6)
 # letters and combining marks: words are runs of letters, in lower case
 WORD = re.compile(r"[^\W\d_]+")
 
 
+LOWEST, HIGHEST = -2.5, 6.0
+
+
 @dataclass
 class Model:
-    """``weights`` has at most ``most_features`` entries, so it is small enough to ship."""
+    """``weights``, log-odds by feature, is bounded in ``learn``, so it is small enough to ship.
+
+    ``base`` is the score of words without a known feature.
+    """
 
-    weights: dict[str, tuple[float, float]]
-    drift: float
+    weights: dict[str, float]
+    base: float
     rate: float = 1.0  # lambda
     scale: float = 1.0  # K
-    slope: float = 1.0
+    slope: float = 0.0
     offset: float = 0.0
     least_evalue: float = 0.05
     cache: dict = field(default_factory=dict, repr=False)
@@ -52,12 +60,8 @@ class Model:
     def word_score(self, word: str) -> float:
         found = self.cache.get(word)
         if found is None:
-            sure = max(
-                (self.weights[f] for f in features(word) if f in self.weights),
-                key=lambda zw: (abs(zw[0]), zw[1]),
-                default=None,
-            )
-            found = -self.drift if sure is None else max(-4.0, min(4.0, sure[1]))
+            known = (self.weights[f] for f in features(word) if f in self.weights)
+            found = max(LOWEST, min(HIGHEST, next(known, self.base)))
             if len(self.cache) < 500_000:
                 self.cache[word] = found
         return found
@@ -81,8 +85,8 @@ class Model:
 
 
 def features(word: str) -> list[str]:
-    """The word, and its beginnings marked by a star."""
-    return [word, *(word[:k] + "*" for k in PREFIXES if len(word) >= k)]
+    """The word, then its beginnings marked by a star, the longest first."""
+    return [word, *(word[:k] + "*" for k in reversed(PREFIXES) if len(word) >= k)]
 
 
 def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
@@ -119,20 +123,50 @@ def _text_features(batches):
             yield pd.DataFrame({"feature": sorted(seen), "label": np.int64(label)})
 
 
+def _near_copy_key(batches):
+    """The smallest shingle hash: near copies have it in common more often than not."""
+    for frame in batches:
+        keys = [int(s[0].astype(np.int64)) if len(s) else 0 for s in shingle_sets(frame["text"].to_list())]
+        yield frame.assign(key=keys)
+
+
+def _chances(counted: DataFrame, base: float, prior: float) -> DataFrame:
+    """(feature, y, chance, parent): the chance of label 1 with the feature, from short to long ones."""
+
+    def level(rows: DataFrame, parent) -> DataFrame:
+        chance = (F.col("y1") + prior * parent) / (F.col("y") + prior)
+        return rows.select("feature", "y", chance.alias("chance"), parent.alias("parent"))
+
+    known = None
+    for k in (*PREFIXES, 0):  # 0: whole words
+        of_kind = F.col("feature").endswith("*") & (F.length("feature") == k + 1) if k else ~F.col("feature").endswith("*")
+        rows = counted.where(of_kind)
+        if known is None:
+            made = level(rows, F.lit(base))
+        else:
+            up = F.substring("feature", 1, k - 1) if k else F.substring("feature", 1, max(PREFIXES))
+            shorter = known.select(F.col("feature").alias("up"), F.col("chance").alias("held"))
+            rows = rows.withColumn("up", F.concat(up, F.lit("*"))).join(shorter, "up", "left")
+            made = level(rows, F.coalesce("held", F.lit(base)))
+        # a word of 4 or 5 letters has its parent among the shorter beginnings
+        known = made if known is None else known.union(made)
+    return known
+
+
 def learn(
     labelled: DataFrame,
     text_column: str = "text",
     label_column: str = "label",
     most_features: int = 50_000,
-    prior: float = 20.0,
-    least_z: float = 4.0,
-    drift: float = 0.5,
+    prior: float = 5.0,
+    least_texts: int = 3,
+    least_change: float = 0.5,
 ) -> Model:
     """A model from rows of text and label (1 or 0; other labels and null are left out).
 
     The table should be bounded, see ``bounded_labels``: a score and a label of each row come
-    to the driver. The ``most_features`` surest features are kept. Without rows of both labels, a model with
-    no weights results, which scores every text alike.
+    to the driver. The ``most_features`` features that tell most beyond their shorter beginnings are kept.
+    Without rows of both labels, a model with no weights results, which scores every text alike.
     """
     spark = labelled.sparkSession
     ready(spark)
@@ -141,25 +175,25 @@ def learn(
     ).where("label in (0, 1)")
     with scratch(spark, "toxic-learn") as tables:
         # small files: a few rows of each input file would else be a task each
-        chosen = tables.store(rows.repartition("text"), "chosen")
+        keyed = rows.repartition("text").mapInPandas(_near_copy_key, "text string, label int, key long")
+        chosen = tables.store(keyed.dropDuplicates(["key", "label"]).select("text", "label"), "chosen")
         totals = {r["label"]: r["count"] for r in chosen.groupBy("label").count().collect()}
         n1, n0 = totals.get(1, 0), totals.get(0, 0)
         if not n1 or not n0:
-            return Model({}, drift)
+            return Model({}, -1.0)
+        base = n1 / (n1 + n0)
         counted = (
             chosen.mapInPandas(_text_features, "feature string, label long")
             .groupBy("feature")
             .agg(F.sum("label").alias("y1"), F.count("*").alias("y"))
-            .withColumn("y0", F.col("y") - F.col("y1"))
+            .where(F.col("y") >= least_texts)
         )
-        a1, a0 = (F.col("y") / (n1 + n0) * prior * F.lit(n / (n1 + n0)) + 0.01 for n in (n1, n0))
-        odds1 = F.log((F.col("y1") + a1) / (n1 + prior - F.col("y1") - a1))
-        odds0 = F.log((F.col("y0") + a0) / (n0 + prior - F.col("y0") - a0))
-        z = (odds1 - odds0) / F.sqrt(1 / (F.col("y1") + a1) + 1 / (F.col("y0") + a0))
-        # positive only where the feature is much more frequent under label 1 than under 0
-        sure = counted.where("y >= 3").select("feature", z.alias("z"), (odds1 - odds0).alias("w"))
-        sure = sure.where(F.abs("z") >= least_z).orderBy(F.desc(F.abs("z")), "feature").limit(most_features)
-        model = Model({r["feature"]: (r["z"], r["w"]) for r in sure.collect()}, drift)
+        chances = _chances(tables.store(counted, "counted"), base, prior)
+        odds, before = (F.log(F.col(c) / (1 - F.col(c))) for c in ("chance", "parent"))
+        told = chances.select("feature", odds.alias("w"), F.abs(odds - before).alias("change"), "y")
+        kept = told.where(F.col("change") >= least_change)
+        kept = kept.orderBy(F.desc(F.col("change") * F.sqrt("y")), "feature").limit(most_features)
+        model = Model({r["feature"]: r["w"] for r in kept.collect()}, math.log(base / (1 - base)))
         _calibrate(model, chosen)
         return model
 
@@ -203,7 +237,7 @@ def _calibrate(model: Model, chosen: DataFrame) -> None:
     grid = plain.groupBy("score").agg(F.sum("words").alias("words")).toPandas()  # scores on a grid of 0.01
     scores, freq = grid["score"].to_numpy(), grid["words"].to_numpy(dtype=float)
     # add what a positive score never seen in ordinary text might still weigh
-    scores, freq = np.r_[scores, 4.0], np.r_[freq, 0.5]
+    scores, freq = np.r_[scores, HIGHEST], np.r_[freq, 0.5]
     freq /= freq.sum()
     lo, hi = 1e-3, 20.0
     if (scores * freq).sum() < 0:
@@ -239,7 +273,7 @@ def scored(documents: DataFrame, model: Model, text_column: str = "text") -> Dat
     and their columns stay; columns of these two names are replaced.
     """
     ready(documents.sparkSession)
-    shipped = Model(model.weights, model.drift, model.rate, model.scale, model.slope, model.offset, model.least_evalue)
+    shipped = Model(model.weights, model.base, model.rate, model.scale, model.slope, model.offset, model.least_evalue)
 
     @F.pandas_udf("score double, passages array<struct<start:int,end:int,score:double,expected:double>>")
     def run(texts: pd.Series) -> pd.DataFrame:
