@@ -23,6 +23,7 @@ suffixes that start at anchors are sorted, about two for every ``length`` bytes.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
@@ -162,8 +163,9 @@ def _sort_bucket(frame: pd.DataFrame) -> pd.DataFrame:
     return frame.loc[repeated, ["doc", "lo", "hi", "s", "gram", "u1", "u2"]]
 
 
-def _sampled_splitters(docs: DataFrame, length: int, anchor: int, buckets: int, most_docs: int = 1_000) -> list[bytes]:
-    """Leads of the suffixes of at most ``most_docs`` documents, cut evenly."""
+def _sampled_splitters(docs: DataFrame, length: int, anchor: int, buckets: int, most_docs: int = 2_000) -> list[bytes]:
+    """Leads of the suffixes of at most ``most_docs`` documents, cut evenly; fewer if they have fewer."""
+
     def leads(batches):
         for frame in batches:
             found = [
@@ -176,7 +178,8 @@ def _sampled_splitters(docs: DataFrame, length: int, anchor: int, buckets: int,
 
     some = docs.select("text").limit(most_docs).mapInPandas(leads, "lead binary").toPandas()
     every = sorted(set(bytes(x) for x in some["lead"]))
-    return [every[i * len(every) // buckets] for i in range(1, buckets)] if len(every) > buckets else []
+    buckets = min(buckets, len(every))
+    return [every[i * len(every) // buckets] for i in range(1, buckets)]
 
 
 def _bytes_of(frame: pd.DataFrame):
@@ -312,7 +315,7 @@ def with_repeated(
     length: int = 400,
     anchor: int = 64,
     cell: int = 20,
-    buckets: int | None = None,
+    bucket_bytes: int = 1 << 24,
 ) -> DataFrame:
     """All rows and columns of ``documents`` with ``repeated``, spans in UTF-8 bytes, ascending.
 
@@ -322,10 +325,11 @@ def with_repeated(
     """
     spark = documents.sparkSession
     ready(spark)
-    buckets = buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = documents.withColumn("_doc", F.xxhash64(F.col(id_column), whole_text(text_column)))
     with scratch(spark, "suffixes") as tables:
         docs = rows.select(F.col("_doc").alias("doc"), whole_text(text_column).alias("text"))
+        total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        buckets = max(8, math.ceil(total / bucket_bytes))
         ranges = repeated_windows(docs, tables, length, anchor, cell, buckets)
         lists = ranges.distinct().groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("places"))
         spans = tables.store(lists.mapInPandas(_covered(length), f"doc long, repeated {SPANS}"), "result")
