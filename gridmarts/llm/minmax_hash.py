@@ -13,10 +13,9 @@ at similarity 0.75 misses all 32 bands with probability 5e-6.
 3. Buckets that still hold nodes of different components are compared in full, in blocks,
    but only across components and on byte sketches of the signatures. Only pairs whose
    agreement is within reach of the threshold go on (at 0.75 a pair falls short with a
-   probability near 1e-9). The nodes that step 2 has tied to one node, their hub, take part through
-   it: 1 - similarity is a metric, so a node within 0.25 of one that is within 0.25 of a hub is
-   within 0.5 of the hub. Only where a pair of hubs is that close, confirmed on full sets, are
-   the nodes behind them compared.
+   probability of 3e-6). In the first ``rounds`` passes a node goes on with its most alike partner alone, a pair per
+   node, and what that ties together is one component in the next pass; the last pass takes every pair that
+   is left.
 4. Every pair that goes on is confirmed on its full shingle sets.
 
 So buckets of copies are never expanded into pairs, and no link between different texts is
@@ -40,7 +39,7 @@ SEED = 7_151_623
 VALUES = "node long, n long, set_low long, set_high long, bands array<long>, sketch binary"
 
 
-def least_agreement(values: int, similarity: float, sigmas: float = 6.0) -> int:
+def least_agreement(values: int, similarity: float, sigmas: float = 4.5) -> int:
     """Signature values in which a pair at the threshold agrees, but for ``sigmas`` deviations."""
     return math.floor(values * similarity - sigmas * math.sqrt(values * similarity * (1 - similarity)))
 
@@ -101,21 +100,21 @@ def _agree(least: int):
     return run
 
 
-def _across(leasts: list[int], tile: int = 256):
+def _across(least: int, best_only: bool, tile: int = 256):
     """Probable pairs of different components within each bucket or pair of blocks.
 
-    ``leasts`` are the agreements needed where none, one or both of a pair are wide.
+    With ``best_only`` a node has the pair with its most alike partner there, if any.
     """
-    needed = np.array(leasts, dtype=np.int16)
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["band", "key", "p", "q", "component", "node"], kind="stable")
         node, part, side = (frame[c].to_numpy() for c in ("node", "component", "side"))
-        wide = frame["wide"].to_numpy().astype(np.int64)
         sketch = np.frombuffer(b"".join(frame["sketch"]), dtype=np.uint8).reshape(len(frame), -1)
         groups = frame[["band", "key", "p", "q"]].to_numpy()
         starts = np.flatnonzero(np.r_[True, (groups[1:] != groups[:-1]).any(axis=1)])
         out = []
+        # of each row, the agreement and place of its best partner so far
+        top, partner = np.full(len(frame), least - 1), np.zeros(len(frame), dtype=np.int64)
         for lo, hi in zip(starts, np.r_[starts[1:], len(frame)]):
             both = side[lo] == 2
             first = lo + np.flatnonzero(side[lo:hi] != 1)
@@ -129,24 +128,33 @@ def _across(leasts: list[int], tile: int = 256):
                     same = np.zeros((len(r), len(c)), dtype=np.int16)
                     for k in range(sketch.shape[1]):
                         same += sketch[r, k][:, None] == sketch[c, k][None, :]
-                    least = needed[wide[r][:, None] + wide[c][None, :]]
-                    x, y = np.nonzero((same >= least) & (part[r][:, None] != part[c][None, :]))
-                    a, b = node[r[x]], node[c[y]]
-                    both_wide = wide[r[x]] + wide[c[y]]
-                    out.append(np.stack([np.minimum(a, b), np.maximum(a, b), both_wide], axis=1))
-        pairs = np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 3), dtype=np.int64)
-        return pd.DataFrame(pairs, columns=["a", "b", "wide"])
+                    same[part[r][:, None] == part[c][None, :]] = 0
+                    if best_only:
+                        for rows, cols, counts in ((r, c, same), (c, r, same.T)):
+                            k = counts.argmax(axis=1)
+                            most = counts[np.arange(len(rows)), k]
+                            more = most > top[rows]
+                            top[rows[more]], partner[rows[more]] = most[more], cols[k[more]]
+                    else:
+                        x, y = np.nonzero(same >= least)
+                        out.append((r[x], c[y]))
+        if best_only:
+            x = np.flatnonzero(top >= least)
+            out.append((x, partner[x]))
+        out = [np.stack([np.minimum(node[a], node[b]), np.maximum(node[a], node[b])], axis=1) for a, b in out]
+        pairs = np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), dtype=np.int64)
+        return pd.DataFrame(pairs, columns=["a", "b"])
 
     return run
 
 
-def _confirm(words: int):
-    """Of each hub and the nodes tried against it, the pairs that reach their own percentage."""
+def _confirm(percent: int, words: int):
+    """Of each hub and the nodes tried against it, the pairs that are similar enough."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["hub", "salt", "is_hub"], ascending=[True, True, False], kind="stable")
         unpack = zstandard.ZstdDecompressor()
-        hubs, nodes, is_hub, percents = (frame[c].to_numpy() for c in ("hub", "node", "is_hub", "percent"))
+        hubs, nodes, is_hub = (frame[c].to_numpy() for c in ("hub", "node", "is_hub"))
         packed, out, against = frame["packed"].to_list(), [], np.empty(0, dtype=np.uint64)
         for at in range(0, len(frame), 64):
             texts = [unpack.decompress(x).decode("utf-8", "surrogatepass") for x in packed[at : at + 64]]
@@ -157,30 +165,28 @@ def _confirm(words: int):
                 where = np.searchsorted(against, own)
                 where[where == len(against)] = 0
                 both = int((against[where] == own).sum()) if len(against) else 0
-                if 100 * both >= percents[i] * (len(own) + len(against) - both) and both:
+                if 100 * both >= percent * (len(own) + len(against) - both) and both:
                     out.append((nodes[i], hubs[i]))
         return pd.DataFrame(np.array(out, dtype=np.int64).reshape(-1, 2), columns=["a", "b"])
 
     return run
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, load: int = 256) -> DataFrame:
-    """The pairs (a, b) that reach their ``percent`` on full sets. A hub b with many is salted."""
+def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, words: int, load: int = 256) -> DataFrame:
+    """The pairs (a, b) that reach the threshold on full sets. A hub b with many is salted."""
     salts = pairs.groupBy(F.col("b").alias("hub")).agg(F.ceil(F.count("*") / load).cast("int").alias("salts"))
     tried = pairs.withColumnRenamed("b", "hub").join(salts, "hub").select(
-        F.col("a").alias("node"), "hub", F.pmod(F.xxhash64("a"), "salts").cast("int").alias("salt"),
-        F.lit(False).alias("is_hub"), "percent",
+        F.col("a").alias("node"), "hub", F.pmod(F.xxhash64("a"), "salts").cast("int").alias("salt"), F.lit(False).alias("is_hub")
     )
     held = salts.select(
-        F.col("hub").alias("node"), "hub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-        F.lit(True).alias("is_hub"), F.lit(0).alias("percent"),
+        F.col("hub").alias("node"), "hub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(True).alias("is_hub")
     )
     rows = tried.unionByName(held)
     tasks = max(1, math.ceil(pairs.count() / load))
     return (
         rows.join(texts, "node")
         .groupBy(F.pmod(F.xxhash64("hub", "salt"), F.lit(tasks)).alias("deal"))
-        .applyInPandas(_confirm(words), "a long, b long")
+        .applyInPandas(_confirm(percent, words), "a long, b long")
     )
 
 
@@ -193,6 +199,7 @@ def near_duplicates(
     permutations: int = 64,
     rows: int = 4,
     block: int = 2048,
+    rounds: int = 2,
 ) -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id``, ``kept``.
 
@@ -203,6 +210,7 @@ def near_duplicates(
     """
     spark = documents.sparkSession
     ready(spark)
+    least = least_agreement(2 * permutations, percent / 100)
     with scratch(spark, "minmax") as tables:
         docs = documents.select(F.col(id_column).alias("id"), whole_text(text_column).alias("text"))
         docs = docs.withColumn("node", F.xxhash64("id", "text"))
@@ -214,7 +222,7 @@ def near_duplicates(
         )
         sets = tables.store(sets.select("n", "set_low", "set_high", "rep", "values.*"), "sets")
         reps = sets.select(F.col("rep").alias("node"), "bands", "sketch")
-        links = _links(docs, reps, tables, 2 * permutations, percent, words, block)
+        links = _links(docs, reps, tables, least, percent, words, block, rounds)
         parts = components(links, tables)
         # rows: row -> node -> set -> component -> smallest document id
         keys = ["n", "set_low", "set_high"]
@@ -232,11 +240,7 @@ def near_duplicates(
         return tables.store(out.withColumn("kept", F.col(id_column).eqNullSafe(F.col("component_id"))), "result")
 
 
-def _links(docs: DataFrame, reps: DataFrame, tables: Scratch, values: int, percent: int, words: int, block: int) -> DataFrame:
-    """Links (a, b) that give the components of the nodes."""
-    # what a pair must reach if none, one or both of the two stand for nodes as far as the threshold allows
-    percents = [max(0, percent - k * (100 - percent)) for k in range(3)]
-    leasts = [max(0, least_agreement(values, p / 100)) for p in percents]
+def _links(docs: DataFrame, reps: DataFrame, tables: Scratch, least: int, percent: int, words: int, block: int, rounds: int) -> DataFrame:
     met = reps.select("node", F.posexplode("bands").alias("band", "key"))
     heads = met.groupBy("band", "key").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1")
     placed = tables.store(met.join(heads, ["band", "key"]), "placed")
@@ -249,53 +253,36 @@ def _links(docs: DataFrame, reps: DataFrame, tables: Scratch, values: int, perce
     stars = placed.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
     likely = (
         stars.join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b")
-        .mapInPandas(_agree(leasts[0]), "a long, b long, same long")
+        .mapInPandas(_agree(least), "a long, b long, same long")
     )
     chosen = likely.groupBy("a").agg(F.min("b").alias("low"), F.max_by("b", F.struct("same", "b")).alias("near"))
-    tried = chosen.select("a", F.explode(F.array_distinct(F.array("low", "near"))).alias("b"))
-    tried = tables.store(tried.withColumn("percent", F.lit(percent)), "tried")
-    found = tables.store(_confirmed(tried, texts, words), "found")
+    tried = tables.store(
+        chosen.select("a", F.explode(F.array_distinct(F.array("low", "near"))).alias("b")), "tried"
+    )
+    found = tables.store(_confirmed(tried, texts, percent, words), "found")
     parts = components(found, tables)
 
-    # across components, what is left in each bucket: hubs first
-    hubs = found.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("hub"))
-    where = placed.select("node", "band", "key").join(parts, "node", "left").join(hubs, "node", "left")
-    where = where.withColumns({"component": F.coalesce("component", "node"), "hub": F.coalesce("hub", "node")})
-    where = tables.store(where, "where")
-
-    def across(rows: DataFrame) -> DataFrame:
-        """Probable pairs of different components in buckets of rows (band, key, node, component, wide)."""
-        open_ = rows.groupBy("band", "key").agg(
-            F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")
-        ).where("lo < hi").select("band", "key", "n")
-        dealt = deal_blocks(rows.join(open_, ["band", "key"]), ["band", "key"], "node", "n", block).drop("n")
-        dealt = tables.store(dealt, "dealt")
+    # across components, what is left in each bucket: first the most alike, at last everything
+    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    links = found
+    for step in range(rounds + 1):
+        where = placed.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        where = tables.store(where, f"where{step}")
+        open_ = where.groupBy("band", "key").agg(
+            F.min("component").alias("lo"), F.max("component").alias("hi")
+        ).where("lo < hi").select("band", "key")
+        dealt = deal_blocks(where.join(open_, ["band", "key"]), ["band", "key"], "node", "n", block)
+        dealt = tables.store(dealt.select("band", "key", "p", "q", "side", "node", "component"), f"dealt{step}")
         tasks = max(1, math.ceil(dealt.count() / (2 * block)))
-        return (
+        pairs = (
             dealt.join(sketches, "node")
             .groupBy(F.pmod(F.xxhash64("band", "key", "p", "q"), F.lit(tasks)).alias("deal"))
-            .applyInPandas(_across(leasts), "a long, b long, wide long")
-            .groupBy("a", "b").agg(F.max("wide").alias("wide"))
-        )
-
-    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    # one row per bucket and hub; it is wide if it stands for another node than itself anywhere
-    far = hubs.select(F.col("hub")).distinct().withColumn("wide", F.lit(1))
-    by_hub = where.select("band", "key", F.col("hub").alias("node"), "component").distinct()
-    by_hub = by_hub.join(far.withColumnRenamed("hub", "node"), "node", "left").withColumn("wide", F.coalesce("wide", F.lit(0)))
-    close = across(by_hub).withColumn(
-        "percent", F.element_at(F.array(*(F.lit(p) for p in percents)), (F.col("wide") + 1).cast("int"))
-    )
-    close = tables.store(close, "close")
-    narrow = close.where("wide = 0").join(known, ["a", "b"], "left_anti")
-    near_hubs = _confirmed(close.where("wide > 0").union(narrow), texts, words)
-    near_hubs = tables.store(near_hubs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "near_hubs")
-    direct = near_hubs.join(close.where("wide = 0").select("a", "b"), ["a", "b"], "left_semi")
-
-    # then the nodes behind hubs that are close enough
-    both = near_hubs.join(close.where("wide > 0").select("a", "b"), ["a", "b"], "left_semi")
-    behind = both.select(F.col("a").alias("hub")).union(both.select("b")).distinct()
-    rows = where.join(behind, "hub", "left_semi").drop("hub").withColumn("wide", F.lit(0))
-    pairs = across(rows).select("a", "b").join(known, ["a", "b"], "left_anti").withColumn("percent", F.lit(percent))
-    more = tables.store(_confirmed(tables.store(pairs, "pairs"), texts, words), "more")
-    return found.union(direct).union(more)
+            .applyInPandas(_across(least, step < rounds), "a long, b long")
+            .distinct()
+        )
+        pairs = tables.store(pairs.join(known, ["a", "b"], "left_anti"), f"pairs{step}")
+        links = links.union(tables.store(_confirmed(pairs, texts, percent, words), f"more{step}"))
+        if step < rounds:
+            known = known.union(pairs)
+            parts = components(links, tables)
+    return links
