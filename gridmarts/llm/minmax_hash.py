@@ -11,7 +11,7 @@ at similarity 0.75 misses all 32 bands with probability 5e-6.
 2. In every bucket each node is tried against the smallest one. That is linear in the size
    of the bucket, and it joins groups of near copies at once.
 3. Buckets that still hold nodes of different components are compared in full, in blocks,
-   but only across components and on byte sketches of the signatures. Only pairs whose
+   but only across components and on byte sketches of longer signatures (``fine`` permutations). Only pairs whose
    agreement is within reach of the threshold go on (at 0.75 a pair falls short with a
    probability of 3e-6). In the first ``rounds`` passes a node goes on with its most alike partner alone, a pair per
    node, and what that ties together is one component in the next pass; the last pass takes every pair that
@@ -90,6 +90,23 @@ def _compressed(batches):
         yield pd.DataFrame({"node": frame["node"], "packed": packed})
 
 
+def _long_sketches(permutations: int, words: int):
+    """Byte sketches of a longer signature, for the nodes that meet others in a bucket."""
+
+    def run(batches):
+        unpack = zstandard.ZstdDecompressor()
+        for frame in batches:
+            packed, nodes = frame["packed"].to_list(), frame["node"].to_numpy()
+            for at in range(0, len(packed), 256):
+                texts = [unpack.decompress(x).decode("utf-8", "surrogatepass") for x in packed[at : at + 256]]
+                for lo, hi in in_pieces(texts):
+                    values = signatures(shingle_sets(texts[lo:hi], words), permutations)
+                    sketch = (mix(values) >> np.uint64(56)).astype(np.uint8)
+                    yield pd.DataFrame({"node": nodes[at + lo : at + hi], "sketch": [x.tobytes() for x in sketch]})
+
+    return run
+
+
 def _agree(least: int):
     def run(batches):
         for frame in batches:
@@ -200,6 +217,7 @@ def near_duplicates(
     rows: int = 4,
     block: int = 2048,
     rounds: int = 2,
+    fine: int = 256,
 ) -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id``, ``kept``.
 
@@ -222,7 +240,7 @@ def near_duplicates(
         )
         sets = tables.store(sets.select("n", "set_low", "set_high", "rep", "values.*"), "sets")
         reps = sets.select(F.col("rep").alias("node"), "bands", "sketch")
-        links = _links(docs, reps, tables, least, percent, words, block, rounds)
+        links = _links(docs, reps, tables, least, percent, words, block, rounds, fine)
         parts = components(links, tables)
         # rows: row -> node -> set -> component -> smallest document id
         keys = ["n", "set_low", "set_high"]
@@ -240,7 +258,7 @@ def near_duplicates(
         return tables.store(out.withColumn("kept", F.col(id_column).eqNullSafe(F.col("component_id"))), "result")
 
 
-def _links(docs: DataFrame, reps: DataFrame, tables: Scratch, least: int, percent: int, words: int, block: int, rounds: int) -> DataFrame:
+def _links(docs: DataFrame, reps: DataFrame, tables: Scratch, least: int, percent: int, words: int, block: int, rounds: int, fine: int) -> DataFrame:
     met = reps.select("node", F.posexplode("bands").alias("band", "key"))
     heads = met.groupBy("band", "key").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1")
     placed = tables.store(met.join(heads, ["band", "key"]), "placed")
@@ -265,6 +283,10 @@ def _links(docs: DataFrame, reps: DataFrame, tables: Scratch, least: int, percen
     # across components, what is left in each bucket: first the most alike, at last everything
     known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     links = found
+    # estimates of twice the sharpness, as a group of loosely similar texts has many pairs near the threshold
+    longer = texts.mapInPandas(_long_sketches(fine, words), "node long, sketch binary")
+    longer = tables.store(longer, "longer")
+    least = least_agreement(2 * fine, percent / 100)
     for step in range(rounds + 1):
         where = placed.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
         where = tables.store(where, f"where{step}")
@@ -275,7 +297,7 @@ def _links(docs: DataFrame, reps: DataFrame, tables: Scratch, least: int, percen
         dealt = tables.store(dealt.select("band", "key", "p", "q", "side", "node", "component"), f"dealt{step}")
         tasks = max(1, math.ceil(dealt.count() / (2 * block)))
         pairs = (
-            dealt.join(sketches, "node")
+            dealt.join(longer, "node")
             .groupBy(F.pmod(F.xxhash64("band", "key", "p", "q"), F.lit(tasks)).alias("deal"))
             .applyInPandas(_across(least, step < rounds), "a long, b long")
             .distinct()
