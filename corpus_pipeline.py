@@ -15,7 +15,6 @@ from gridmarts.llm.queries import LANGUAGE_TARGETS, vocabulary
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOXIC_FROM = 0.3
-MOST_COPIES = 4.0
 
 
 def columns_of_documents(docs: DataFrame) -> DataFrame:
@@ -53,10 +52,10 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Languages that fall short of their target are repeated; no document is dropped."""
+    """Languages that fall short of their target are repeated as often as it takes; no document is dropped."""
     docs = columns_of_documents(docs)
     labelled = target_mixing.bounded_labels(docs)
-    mixed = target_mixing.mixed(docs, labelled, LANGUAGE_TARGETS, lowest=1.0, highest=MOST_COPIES)
+    mixed = target_mixing.mixed(docs, labelled, LANGUAGE_TARGETS, lowest=1.0)
     copies = F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("copies")))
     return columns_of_documents(mixed.withColumn("copy", F.explode(copies)))
 

@@ -5,11 +5,11 @@
 2. Every document gets soft memberships p, the posterior over the domains. Words of a
    text depend on each other, so the evidence counts as that of at most ``evidence`` words;
    a text that is half in one domain and half in another stays between them.
-3. Rates r >= 0 (within ``lowest`` and ``highest``) are fitted so that the expected tokens of
+3. Rates r >= ``lowest``, with no upper bound unless ``highest`` is given, are fitted so that the expected tokens of
    each domain, sum of r n p, meet its target: projected gradient descent on the squares of
    the misses, relative to the domains' sizes. A step needs one number per domain, so it is
    one aggregation over the documents. In the metric of n and with that scaling the curvature is
-   at most 1, and step size 1 is safe.
+   at most 1, and step size 1 is safe. Targets that cannot be met are an error.
 4. ``copies`` rounds a rate to whole copies: up or down by a hash of the document, so that
    the expectation is the rate and a task that runs again decides alike.
 
@@ -18,7 +18,10 @@ Everything is built-in SQL.
 
 from __future__ import annotations
 
+import math
+import warnings
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 from gridmarts.llm.common import Scratch, scratch, whole_text
 
 WORD_GAP = r"[^\p{L}]+"
+PATIENCE = 20  # steps without gain after which targets count as out of reach
 
 
 def words(text: Column) -> Column:
@@ -79,29 +83,34 @@ def fit_rates(
     tables: Scratch,
     budget: float | None = None,
     lowest: float = 0.0,
-    highest: float = 8.0,
+    highest: float | None = None,
     close: float = 1e-3,
-    steps: int = 60,
+    steps: int | None = None,
 ) -> DataFrame:
     """The rows (weight, n, p) with ``rate``. ``weight`` counts equal documents.
 
     ``budget`` is the expected number of tokens; by default the present one, or, where rates
     below ``lowest`` would be needed to keep to it, as many more as no rate has to fall below it.
+    Steps go on until no domain misses its target by more than ``close`` of the budget. Where
+    that cannot be reached, as no document has enough of a domain, a ValueError gives the misses.
+    ``highest`` and ``steps`` are limits of the caller's own: a miss they leave is a warning.
     """
     k = len(targets)
+    shares = [t / sum(targets) for t in targets]
     tokens = F.col("n") * F.col("weight")
 
     def totals(df: DataFrame, rate: Column) -> list[float]:
         row = df.agg(*(F.sum(rate * tokens * F.element_at("p", i + 1)).alias(f"d{i}") for i in range(k))).first()
         return [row[i] or 0.0 for i in range(k)]
 
-    held = tables.store(members.withColumn("rate", F.greatest(F.lit(lowest), F.lit(1.0))), "rates")
+    stored = "rates"
+    held = tables.store(members.withColumn("rate", F.greatest(F.lit(lowest), F.lit(1.0))), stored)
     now = totals(held, F.lit(1.0))
     if not sum(now):
         return held
+    free = budget is None and lowest > 0
     if budget is None:
-        budget = max(sum(now), *(lowest * d / t for d, t in zip(now, targets) if t))
-    goal = [budget * t / sum(targets) for t in targets]
+        budget = max(sum(now), *(lowest * d / t for d, t in zip(now, shares) if t))
     sizes = [max(d, 1e-9 * sum(now)) for d in now]
     moves: list[list[float]] = []
 
@@ -110,18 +119,34 @@ def fit_rates(
         rate = F.col("rate")
         for move in moves:
             slope = sum((F.element_at("p", i + 1) * F.lit(g) for i, g in enumerate(move)), F.lit(0.0))
-            rate = F.greatest(F.lit(lowest), F.least(F.lit(highest), rate - slope))
+            rate = rate - slope if highest is None else F.least(F.lit(highest), rate - slope)
+            rate = F.greatest(F.lit(lowest), rate)
         return rate
 
-    for step in range(steps):
+    before = best = math.inf
+    gained = 0  # the last step that brought the worst miss down
+    for step in count():
         now = totals(held, moved(moves))
-        miss = [(d - g) / s for d, g, s in zip(now, goal, sizes)]
-        if max(abs(d - g) for d, g in zip(now, goal)) <= close * budget:
+        missed = [d / budget - t for d, t in zip(now, shares)]
+        worst = max(abs(m) for m in missed)
+        if worst < 0.99 * best:
+            best, gained = worst, step
+        if worst <= close or step == steps or (steps is None and step - gained >= PATIENCE):
             break
-        moves.append(miss)
+        if free and worst > 0.9 * before:
+            # repeated documents also bring tokens of a domain that may not have more, and none may go
+            budget = max(budget, *(d / t for d, t in zip(now, shares) if t))
+        before = worst
+        moves.append([(d - budget * t) / s for d, t, s in zip(now, shares, sizes)])
         if len(moves) == 4:  # keep the expression short
             held = tables.store(held.withColumn("rate", moved(moves)), f"rates{step}")
-            moves = []
+            tables.drop(stored)
+            stored, moves = f"rates{step}", []
+    if worst > close:
+        text = f"targets are missed after {step} steps, by domain and as shares of all tokens: {missed}"
+        if highest is None and steps is None:
+            raise ValueError(text)
+        warnings.warn(text, stacklevel=2)
     return held.withColumn("rate", moved(moves))
 
 
@@ -137,7 +162,8 @@ def mixed(
 
     ``labelled`` has text and domain. ``targets`` maps domains to shares. Documents with equal
     id and text share a rate. Null and empty texts have no tokens, no part in the fit, and the rate
-    that a text of no known domain gets. Columns of the added names are replaced. Empty tables give an
+    that a text of no known domain gets. ``limits`` are those of ``fit_rates``, which also says what
+    happens when targets cannot be met. Columns of the added names are replaced. Empty tables give an
     empty result.
     """
     spark = documents.sparkSession

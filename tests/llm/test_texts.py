@@ -256,6 +256,43 @@ def test_rates_equal_plain_projected_gradient(spark):
     assert np.allclose(np.sort(got["rate"]), np.sort(rate), atol=1e-9)
 
 
+SCARCE = [(980, 100), (20, 100)]  # documents of a domain, tokens of each
+
+
+def pure(spark, domains, soft=()):
+    rows = [(n, 1, [float(i == k) for i in range(len(domains))]) for k, (m, n) in enumerate(domains) for _ in range(m)]
+    return spark.createDataFrame([*rows, *soft], "n long, weight long, p array<double>")
+
+
+@pytest.mark.parametrize("lowest", [0.0, 1.0])
+def test_scarce_domains_reach_their_targets(spark, lowest):
+    # the second domain has 2% of the tokens and needs rates of 10 and 12.25; some texts are of both
+    soft = [(100, 1, [0.5, 0.5])] * 10
+    members = pure(spark, SCARCE, soft)
+    with scratch(spark, "test") as tables:
+        got = target_mixing.fit_rates(members, [0.8, 0.2], tables, lowest=lowest).toPandas()
+    totals = (got["rate"].to_numpy() * got["n"].to_numpy()) @ np.stack(got["p"].to_list())
+    assert np.allclose(totals / totals.sum(), [0.8, 0.2], atol=2e-3)
+    assert got["rate"].min() >= lowest and got["rate"].max() > 8
+
+
+def test_slow_descent_goes_on_until_targets_are_met(spark):
+    members = spark.createDataFrame([(100, 1, [0.65, 0.35]), (100, 1, [0.35, 0.65])], "n long, weight long, p array<double>")
+    with scratch(spark, "test") as tables:
+        got = target_mixing.fit_rates(members, [0.6, 0.4], tables, close=1e-4).toPandas()
+    totals = (got["rate"].to_numpy() * 100) @ np.stack(got["p"].to_list())
+    assert np.allclose(totals / 200, [0.6, 0.4], atol=1e-4)
+
+
+def test_misses_are_told(spark):
+    with scratch(spark, "test") as tables:
+        with pytest.raises(ValueError, match="targets are missed"):
+            target_mixing.fit_rates(pure(spark, [(10, 100), (0, 0)]), [0.8, 0.2], tables)
+        with pytest.warns(UserWarning, match="targets are missed"):
+            got = target_mixing.fit_rates(pure(spark, SCARCE), [0.8, 0.2], tables, highest=8.0)
+        assert got.agg(F.max("rate")).first()[0] == 8.0
+
+
 def test_mixing_of_awkward_rows(awkward, nothing, spark):
     labelled = spark.createDataFrame([("short text one", "a"), (None, "b"), ("other words", None)], "text string, domain string")
     got = target_mixing.mixed(awkward, labelled, {"a": 1.0, "b": 1.0})
