@@ -167,32 +167,38 @@ def near_duplicates(
 
     Vectors that are null, zero, or hold null or non-finite components link with nothing and
     are kept. Vectors of different dimension never link. A repeated id is a vector of its own
-    for the counts, and its rows share the component. An empty table gives an empty result.
+    for the counts, and its rows share the component; a null id
+    is used only where a component has no other. An empty table gives an empty result.
     """
     spark = vectors.sparkSession
     ready(spark)
     with scratch(spark, "rotation-codes") as tables:
         every = vectors.select(F.col(id_column).cast("long").alias("vec"), F.col(vector_column).alias("v"))
         scaled = every.where(usable_vector("v")).mapInPandas(_unit, "vec long, unit array<double>")
-        # equal vectors at once: the smallest id stands for the group
-        groups = tables.store(
-            scaled.groupBy("unit").agg(F.min("vec").alias("id"), F.count("*").alias("weight")), "groups"
-        )
+        # equal vectors at once; a hash of the components stands for the group, as ids may repeat or be null
+        groups = scaled.groupBy("unit").agg(F.count("*").alias("weight"))
+        groups = tables.store(groups.withColumn("id", F.xxhash64(F.size("unit"), "unit")), "groups")
         members = scaled.select("vec", "unit").join(groups, "unit").select("vec", "id", "weight")
         members = tables.store(members, "members")
         linked = _linked(groups, tables, cosine, miss, sigmas, block)
         ties = linked.select(F.col("id").alias("a"), F.col("root").alias("b"))
-        parts = components(ties, tables)
+        # rows that repeat an id share its component
+        same_id = members.groupBy("vec").agg(F.min("id").alias("b"), F.max("id").alias("last")).where("vec is not null and b < last")
+        again = members.join(same_id, "vec").select(F.col("id").alias("a"), "b")
+        parts = components(ties.union(again), tables)
         counted = linked.groupBy("id").agg(F.sum("links").alias("links"))
-        per_vector = (
+        placed = (
             members.join(counted, "id", "left")
             .join(parts.withColumnRenamed("node", "id"), "id", "left")
             .select(
                 "vec",
                 (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).cast("long").alias("n_links"),
-                F.coalesce("component", "id").alias("component_id"),
+                F.coalesce("component", "id").alias("component"),
             )
         )
+        placed = tables.store(placed, "placed")
+        smallest = placed.groupBy("component").agg(F.min("vec").alias("component_id"))
+        per_vector = placed.join(smallest, "component").select("vec", "n_links", "component_id")
         rest = every.where(~usable_vector("v")).select("vec", F.lit(0).cast("long").alias("n_links"), F.col("vec").alias("component_id"))
         done = per_vector.unionByName(rest).withColumnRenamed("vec", id_column)
         return tables.store(done.withColumn("kept", F.col(id_column).eqNullSafe(F.col("component_id"))), "result")
@@ -202,7 +208,6 @@ def _linked(groups: DataFrame, tables: Scratch, cosine: float, miss: float, sigm
     """(id, links, root), a row for each vector and pair of blocks in which it has links."""
     count = groups.count()
     bits, n_tables = plan_tables(count, cosine, miss)
-    groups = groups.where("id is not null")
     keyed = tables.store(
         groups.select("id", "unit").mapInPandas(_keyed(bits, n_tables), "id long, dim int, keys array<long>"), "keyed"
     )

@@ -97,3 +97,23 @@ def test_the_bound_of_int8_products_holds():
     whole = qi.astype(int) @ ci.astype(int).T * qs[:, None] * cs
     slack = qn[:, None] * ce + qe[:, None] * cn + qe[:, None] * ce
     assert (np.abs(whole - q @ c.T) <= slack + 1e-12).all()
+
+
+def test_repeated_and_null_ids(spark):
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(4, 16))
+    near = base + rng.normal(size=(4, 16)) * 0.02
+    rows = [
+        (1, base[0]), (1, base[1]), (2, near[0]), (3, near[1]),  # one id, two vectors, a partner each
+        (None, base[2]), (None, near[2]), (9, base[2] + near[2]),  # null ids and a partner with an id
+        (None, base[3]), (None, near[3]),  # null ids only
+        (4, rng.normal(size=5)), (4, rng.normal(size=7)),  # one id in two dimensions
+    ]
+    docs = spark.createDataFrame([(i, v.tolist(), 0, "x") for i, v in rows], SCHEMA)
+    got = sorted(((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in rotation_codes.near_duplicates(docs).collect()), key=str)
+    # all of 1, 2 and 3 are one component by the shared id
+    assert got == sorted([
+        (1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False),
+        (None, 2, 9, False), (None, 2, 9, False), (9, 2, 9, True),
+        (None, 1, None, True), (None, 1, None, True), (4, 0, 4, True), (4, 0, 4, True),
+    ], key=str)
