@@ -6,7 +6,7 @@ chosen by content: in every window of ``length`` bytes the place of the smallest
 ``anchor`` bytes is its anchor. Equal windows have their anchor at the same offset, so only
 suffixes that start at anchors are sorted, about two for every ``length`` bytes.
 
-1. Suffix sort. Splitters, sampled from a bounded part of the documents, deal the suffixes by their leading
+1. Suffix sort. Splitters, sampled from texts all over the table by their hashes, deal the suffixes by their leading
    ``anchor`` bytes; each bucket is sorted by a multikey quicksort on 8-byte tokens and
    neighbours are compared. Splitters have all the bytes that are compared, so suffixes that
    agree never part at a boundary. A task that has met a suffix repeatedly sends it on once,
@@ -163,20 +163,29 @@ def _sort_bucket(frame: pd.DataFrame) -> pd.DataFrame:
     return frame.loc[repeated, ["doc", "lo", "hi", "s", "gram", "u1", "u2"]]
 
 
-def _sampled_splitters(docs: DataFrame, length: int, anchor: int, buckets: int, most_docs: int = 2_000) -> list[bytes]:
-    """Leads of the suffixes of at most ``most_docs`` documents, cut evenly; fewer if they have fewer."""
+def _sampled_splitters(docs: DataFrame, length: int, anchor: int, buckets: int, some_texts: int = 2_000) -> list[bytes]:
+    """Leads of the suffixes of about ``some_texts`` different texts, cut evenly; fewer if they have fewer.
+
+    Texts are chosen by their hash, so they come from the whole table and copies count once.
+    """
+    key = F.xxhash64("text")
+    different = docs.agg(F.approx_count_distinct(key)).first()[0]
+    chosen = F.pmod(key, F.lit(max(1, different // some_texts))) == 0
 
     def leads(batches):
+        met = set()
         for frame in batches:
+            texts = frame.loc[~frame["key"].isin(met)].drop_duplicates("key")
+            met.update(texts["key"])
             found = [
                 raw.tobytes()[i : i + anchor]
-                for text in frame["text"]
+                for text in texts["text"]
                 for _, raw, _, _, _, _, s in _document_anchors(text, length, anchor)
                 for i in s[:: max(1, len(s) // 50)].tolist()
             ]
             yield pd.DataFrame({"lead": found})
 
-    some = docs.select("text").limit(most_docs).mapInPandas(leads, "lead binary").toPandas()
+    some = docs.where(chosen).select("text", key.alias("key")).mapInPandas(leads, "lead binary").distinct().toPandas()
     every = sorted(set(bytes(x) for x in some["lead"]))
     buckets = min(buckets, len(every))
     return [every[i * len(every) // buckets] for i in range(1, buckets)]

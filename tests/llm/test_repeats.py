@@ -143,3 +143,13 @@ def test_order_of_the_multikey_sort():
     tokens[:9_000] = 2
     ranked = tokens[suffix_dedup.multikey_order(tokens, small=16)]
     assert (ranked == tokens[np.lexsort(tokens.T[::-1])]).all()
+
+
+def test_splitters_come_from_the_whole_table(spark, words):
+    # the table begins with copies of one text, more than are sampled
+    rows = [(i, words(0, 80)) for i in range(300)] + [(300 + i, words(i, 80)) for i in range(1, 60)]
+    docs = spark.createDataFrame(rows, "doc long, text string").coalesce(1)
+    splitters = suffix_dedup._sampled_splitters(docs, 100, 20, 64, 40)
+    assert len(splitters) == 63 and splitters == sorted(set(splitters))
+    own = {rows[0][1].encode()[i : i + 20] for i in range(len(rows[0][1]))}
+    assert sum(s in own for s in splitters) < 16
