@@ -4,7 +4,8 @@ The byte-level vocabulary cuts a text into words by a fixed pattern and merges b
 words only, so a word always gets the same ids. Here the pattern is applied to a whole batch
 at once in numpy, words are told apart by a 64-bit hash, their length and ends, and only words not met before in
 this process go to the tokenizer. Its answers are kept in tables of bounded size. A text that
-holds a special token is left to the tokenizer as a whole.
+holds a special token is left to the tokenizer as a whole, and so is one with a code point that Python's
+Unicode tables do not know: the tokenizer's may be newer and take it for a letter or number.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from tokenizers import Tokenizer
 
 from gridmarts.llm.shingles import mix, powers
 
-LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
+LETTER, NUMBER, SPACE, OTHER, UNASSIGNED = 0, 1, 2, 3, 4
 # The endings that the pattern splits off after an apostrophe.
 _SHORT = ("s", "t", "d", "m")
 _LONG = ("re", "ve", "ll")
@@ -27,13 +28,14 @@ _SPREAD = mix(np.arange(1, 0x10001, dtype=np.uint64))
 
 
 def classes(codes: np.ndarray) -> np.ndarray:
-    """The class of each code point: letter, number, white space, anything else."""
+    """The class of each code point: letter, number, white space, anything else, not assigned here."""
     kind = _classes[codes]
     if (kind == _UNKNOWN).any():
         for c in np.unique(codes[kind == _UNKNOWN]).tolist():
-            first = unicodedata.category(chr(c))[0]
+            category = unicodedata.category(chr(c))
+            first = "Cn" if category == "Cn" else category[0]
             blank = first == "Z" or 0x09 <= c <= 0x0D or c == 0x85
-            _classes[c] = SPACE if blank else {"L": LETTER, "N": NUMBER}.get(first, OTHER)
+            _classes[c] = SPACE if blank else {"L": LETTER, "N": NUMBER, "Cn": UNASSIGNED}.get(first, OTHER)
         kind = _classes[codes]
     return kind
 
@@ -117,6 +119,7 @@ class WordCache:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as the tokenizer gives them without special tokens added."""
         plain = [i for i, t in enumerate(texts) if t and not any(s in t for s in self.special)]
+        plain = self._known(texts, plain)
         out = [np.zeros(0, dtype=np.uint32)] * len(texts)
         chosen = set(plain)
         for i, t in enumerate(texts):
@@ -127,6 +130,16 @@ class WordCache:
                 out[i] = ids
         return out
 
+    def _known(self, texts: list[str], plain: list[int]) -> list[int]:
+        """Those of the texts ``plain`` whose code points are all assigned."""
+        codes = np.frombuffer("".join(texts[i] for i in plain).encode("utf-32-le"), dtype=np.uint32)
+        odd = np.flatnonzero(classes(codes) == UNASSIGNED)
+        if not len(odd):
+            return plain
+        ends = np.cumsum([len(texts[i]) for i in plain])
+        left = set(np.searchsorted(ends, odd, side="right").tolist())
+        return [i for k, i in enumerate(plain) if k not in left]
+
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
         joined = "".join(texts)
         codes = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)

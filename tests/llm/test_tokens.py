@@ -123,3 +123,13 @@ def test_packing_is_gapless_and_whole(spark, awkward, nothing, tokenizer, size):
         ends = part["length"].cumsum()
         assert part["offset"].tolist() == [0, *ends.tolist()[:-1]] and ends.iloc[-1] <= size
     assert two_fit_packing.packed(nothing, VOCABULARY).count() == 0
+
+
+def test_words_with_characters_of_newer_unicode_versions(tokenizer):
+    rng = random.Random(8)
+    bits = ["a", "Ᲊ", "Ɤ", "\U000105c0", "\U0001e5f0", "\U0001e5f1", "͸", "￿", " ", "!", "1", "'s"]
+    cache = WordCache(VOCABULARY)
+    for _ in range(300):
+        texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 9))) for _ in range(3)] + ["plain text"]
+        for text, ids in zip(texts, cache.encode(texts)):
+            assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, ascii(text)
