@@ -104,36 +104,66 @@ def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(f"{MANIFEST}, start long").parquet(f"{folder}/manifest")
 
 
-def open_array(store: fs.FileSystem, path: str, kind: str) -> np.ndarray:
-    """The numbers of a file: memory-mapped on local file systems, else read."""
-    if store.get_file_info(path).size == 0:
-        return np.zeros(0, dtype=kind)
-    if isinstance(store, fs.LocalFileSystem):
-        return np.memmap(path, dtype=kind, mode="r")
-    with store.open_input_file(path) as f:
-        return np.frombuffer(f.read(), dtype=kind)
-
-
-def _read_shards(folder: str, rows: int = 10_000):
+class Numbers:
+    """The numbers of a file by slices: memory-mapped on local file systems, else only the slice is read."""
+
+    def __init__(self, store: fs.FileSystem, path: str, kind: str):
+        self.kind, self.mapped = np.dtype(kind), None
+        self.size = store.get_file_info(path).size // self.kind.itemsize
+        if isinstance(store, fs.LocalFileSystem):
+            self.mapped = np.memmap(path, dtype=kind, mode="r") if self.size else np.zeros(0, dtype=kind)
+        else:
+            self.file = store.open_input_file(path)
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, part: slice) -> np.ndarray:
+        if self.mapped is not None:
+            return self.mapped[part]
+        lo, hi, _ = part.indices(self.size)
+        wide = self.kind.itemsize
+        return np.frombuffer(self.file.read_at(max(0, hi - lo) * wide, lo * wide), dtype=self.kind)
+
+    def __enter__(self) -> Numbers:
+        return self
+
+    def __exit__(self, *_) -> None:
+        if self.mapped is None:
+            self.file.close()
+
+
+def _sums(ids: Numbers, cuts: np.ndarray, most: int) -> list[int]:
+    """CRC-32 of each document's ids as 32-bit numbers; at most ``most`` ids, or one document, are read at once."""
+    out, i = [], 0
+    while i < len(cuts) - 1:
+        j = max(i + 1, int(np.searchsorted(cuts, cuts[i] + most, side="right")) - 1)
+        j = min(j, len(cuts) - 1)
+        part, own = ids[cuts[i] : cuts[j]], cuts[i : j + 1] - cuts[i]
+        out += [zlib.crc32(part[a:b].astype("<u4").tobytes()) for a, b in zip(own[:-1], own[1:])]
+        i = j
+    return out
+
+
+def _read_shards(folder: str, rows: int = 10_000, most: int = 1 << 22):
     def run(batches):
         store, path = place(folder)
         for frame in batches:
             for shard, bits, base in zip(frame["shard"], frame["bits"], frame["start"]):
                 name = f"{path}/shard-{shard:06d}"
-                ids = open_array(store, f"{name}.ids", f"<u{bits // 8}")
-                at = open_array(store, f"{name}.offsets", "<u8").astype(np.int64)
-                docs = open_array(store, f"{name}.docs", "<i8")
-                for lo in range(0, len(docs), rows):
-                    part = docs[lo : lo + rows]
-                    cuts = at[lo : lo + len(part) + 1]
-                    sums = [zlib.crc32(np.asarray(ids[a:b]).astype("<u4").tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
-                    yield pd.DataFrame({
-                        "id": pd.array(part, dtype="Int64").astype("Int64") if not (part == NULL_ID).any()
-                        else pd.Series([None if d == NULL_ID else int(d) for d in part], dtype="Int64"),
-                        "start": base + cuts[:-1],
-                        "n_tokens": np.diff(cuts),
-                        "ids_crc32": np.array(sums, dtype=np.int64),
-                    })
+                with Numbers(store, f"{name}.ids", f"<u{bits // 8}") as ids, Numbers(
+                    store, f"{name}.offsets", "<u8"
+                ) as at, Numbers(store, f"{name}.docs", "<i8") as docs:
+                    for lo in range(0, len(docs), rows):
+                        part = docs[lo : lo + rows]
+                        cuts = at[lo : lo + len(part) + 1].astype(np.int64)
+                        yield pd.DataFrame({
+                            "id": pd.array(part, dtype="Int64").astype("Int64") if not (part == NULL_ID).any()
+                            else pd.Series([None if d == NULL_ID else int(d) for d in part], dtype="Int64"),
+                            "start": base + cuts[:-1],
+                            "n_tokens": np.diff(cuts),
+                            "ids_crc32": np.array(_sums(ids, cuts, most), dtype=np.int64),
+                        })
 
     return run
 

@@ -133,3 +133,31 @@ def test_words_with_characters_of_newer_unicode_versions(tokenizer):
         texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 9))) for _ in range(3)] + ["plain text"]
         for text, ids in zip(texts, cache.encode(texts)):
             assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
+def test_other_stores_are_read_in_ranges(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(i, "some words " * (i % 5)) for i in range(100)], "doc_id long, text string").coalesce(1)
+    manifest = token_files.write_files(docs, str(tmp_path), VOCABULARY, end_id=2).toPandas()
+    whole = [r for f in token_files._read_shards(str(tmp_path))([manifest]) for r in f.itertuples(index=False, name=None)]
+    taken = []
+
+    class Opened:
+        def __init__(self, file):
+            self.file, self.close = file, file.close
+
+        def read_at(self, n, at):
+            taken.append(n)
+            return self.file.read_at(n, at)
+
+    class Store:  # not a LocalFileSystem, and without whole reads
+        def __init__(self, inner):
+            self.get_file_info, self.inner = inner.get_file_info, inner
+
+        def open_input_file(self, path):
+            return Opened(self.inner.open_input_file(path))
+
+    inner, path = token_files.place(str(tmp_path))
+    monkeypatch.setattr(token_files, "place", lambda folder: (Store(inner), path))
+    got = token_files._read_shards("x", rows=10, most=25)([manifest])
+    assert [r for f in got for r in f.itertuples(index=False, name=None)] == whole and len(whole) == 100
+    assert max(taken) <= 8 * 11
