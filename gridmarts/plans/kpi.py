@@ -42,7 +42,7 @@ def with_spread_sign(series: DataFrame) -> DataFrame:
     return series.withColumn("sign", spread_sign(F.col("spread")))
 
 
-def duration_curve(series: DataFrame, price_col: str = "da", buckets: int = 200) -> DataFrame:
+def duration_curve(series: DataFrame, price_col: str = "da", buckets: int | None = None) -> DataFrame:
     """(pct_of_hours, price): how much of the time the price is at or above a level.
 
     The share is rounded half up to one decimal. It is NULL if there is only one price.

@@ -314,3 +314,12 @@ def test_stream_takes_new_files_only_and_later_files_win(spark, rows, tmp_path):
     land(("1/5/2025 1:00", 20.0), ("1/6/2025 1:00", 3.0))
     land()
     assert rows(read_table(spark, target), "total_lmp_rt") == [(1.0,), (20.0,), (3.0,)]
+
+
+def test_ranges_of_the_duration_curve_follow_the_data(spark, monkeypatch):
+    asked = []
+    ranked = kpi.rank_descending
+    monkeypatch.setattr(kpi, "rank_descending", lambda df, value, buckets=None: asked.append(buckets) or ranked(df, value, buckets))
+    prices = spark.createDataFrame([(float(i),) for i in range(5)], "da double")
+    got = kpi.duration_curve(prices).collect()
+    assert asked == [None] and sorted(r["price"] for r in got) == [0.0, 1.0, 2.0, 3.0, 4.0]
