@@ -30,14 +30,22 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def minhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest id.
+    """One row of each group of near duplicates stays: the one with the smallest id, then the smallest hash.
 
-    Of rows that repeat this id, one stays, too; documents with a null id stay.
+    A null id comes after all others. Rows are told apart by id and text, so rows of different groups stay though
+    they share an id. Texts without words are near duplicates of nothing; all of them stay.
     """
     docs = columns_of_documents(docs)
-    found = minmax_hash.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    chosen = docs.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return columns_of_documents(chosen.union(docs.where("doc_id is null")))
+    found = minmax_hash.near_duplicates(docs, with_keys=True)
+    first = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_key").alias("key"))
+    # an aggregate instead of a row number: a large group is reduced in every task that meets it
+    chosen = found.groupBy("component_key").agg(F.min(first)["key"].alias("_row"), F.max("n_shingles").alias("_n"))
+    rows = docs.withColumn("_row", F.xxhash64("doc_id", whole_text())).join(chosen.drop("component_key"), "_row")
+    # of rows alike in id and text one stays, unless they have no words
+    own = F.when(F.col("_n") == 0, F.struct(*COLUMNS))
+    kept = rows.groupBy("_row", "_n", own.alias("_own")).agg(F.min(F.struct(*COLUMNS)).alias("_doc"), F.count("*").alias("_times"))
+    times = F.when(F.col("_n") == 0, F.col("_times")).otherwise(F.lit(1))
+    return columns_of_documents(kept.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), times))).select("_doc.*"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -218,6 +218,7 @@ def near_duplicates(
     block: int = 2048,
     rounds: int = 2,
     fine: int = 256,
+    with_keys: bool = False,
 ) -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id``, ``kept``.
 
@@ -225,6 +226,8 @@ def near_duplicates(
     ones. A null text or one without words has no shingles, links with nothing and is kept. Rows that
     repeat an id are rows of their own. The component is the smallest id reachable; a null id
     is used only where a component has no other. Other columns are ignored. An empty table gives an empty result.
+    ``with_keys`` adds ``row_key``, the hash of id and text, and ``component_key``, which tells components apart
+    where ids clash.
     """
     spark = documents.sparkSession
     ready(spark)
@@ -254,6 +257,7 @@ def near_duplicates(
             F.col("id").alias(id_column),
             F.col("n").alias("n_shingles"),
             F.when(empty, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+            *([F.col("node").alias("row_key"), F.col("component").alias("component_key")] if with_keys else []),
         )
         return tables.store(out.withColumn("kept", F.col(id_column).eqNullSafe(F.col("component_id"))), "result")
 
