@@ -81,7 +81,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-# learned models, sampling hashes and packing have no SQL form: tests compare with brute force
+# learned models, sampling hashes and packing have no SQL form: tests compare the operators with brute force
 ORACLE_SQL = None
 
 
