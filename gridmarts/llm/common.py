@@ -91,6 +91,12 @@ def components(links: DataFrame, tables: Scratch, rounds: int = 60) -> DataFrame
     raise RuntimeError(f"components still change after {rounds} rounds")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for n in (f"_{name}{i or ''}" for i in range(len(taken) + 1)) if n not in taken)
+
+
 def whole_text(column: str = "text"):
     """The text of a row; null counts as empty."""
     return F.coalesce(F.col(column), F.lit(""))
