@@ -28,14 +28,20 @@ _BYTE[_GAP] = 0
 _powers: dict[str, np.ndarray] = {}
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base^i and base^-i for i < n, modulo 2^64."""
+def _powers_of(base: int, size: int) -> np.ndarray:
+    row = np.full(size, base, dtype=np.uint64)
+    row[0] = 1
+    return np.cumprod(row, dtype=np.uint64)
+
+
+def powers(n: int, kept: int = 1 << 22) -> tuple[np.ndarray, np.ndarray]:
+    """base^i and base^-i for i < n, modulo 2^64. Tables beyond ``kept`` entries are made anew each time."""
+    back = pow(_BASE, -1, 1 << 64)
+    if n > kept:
+        return _powers_of(_BASE, n), _powers_of(back, n)
     if not _powers or len(_powers["up"]) < n:
         size = 1 << max(16, (n - 1).bit_length())
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            row = np.full(size, base, dtype=np.uint64)
-            row[0] = 1
-            _powers[name] = np.cumprod(row, dtype=np.uint64)
+        _powers.update(up=_powers_of(_BASE, size), down=_powers_of(back, size))
     return _powers["up"][:n], _powers["down"][:n]
 
 

@@ -27,11 +27,12 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmarts.llm.common import Scratch, ready, scratch, whole_text
-from gridmarts.llm.shingles import mix, powers
+from gridmarts.llm.common import Scratch, fresh, ready, scratch, whole_text
+from gridmarts.llm.shingles import in_pieces, mix, powers
 
 CHUNK = 1 << 22  # bytes of a document worked on at once; positions in it fit 24 bits
 _ONE = mix(np.arange(1_001, 1_257, dtype=np.uint64))
@@ -118,34 +119,35 @@ def _suffixes(length: int, anchor: int, splitters: list[bytes]):
     cuts = np.array(splitters, dtype=f"S{anchor}") if splitters else None
 
     def run(batches):
-        often = np.zeros(0, dtype=np.uint64)  # anchors this task has met twice within a batch
+        often = np.zeros(0, dtype=np.uint64)  # anchors this task has met twice within a slice
         for frame in batches:
-            out = []
-            for doc, text in zip(frame["doc"], frame["text"]):
-                for at, raw, hashes, grams, lo, hi, s in _document_anchors(text, length, anchor):
-                    u1, u2 = (signed(hashes.of(k, lo, hi + length)) for k in (0, 1))
-                    bytes_ = raw.tobytes()
-                    leads = [bytes_[i : i + anchor] for i in s.tolist()]
-                    out.append(pd.DataFrame({
-                        "doc": doc, "lo": lo + at, "hi": hi + at, "s": s + at, "u1": u1, "u2": u2,
-                        "gram": grams[s], "lead": leads,
-                    }))
-            if not out:
-                continue
-            rows = pd.concat(out, ignore_index=True)
-            gram = rows["gram"].to_numpy()
-            _, back, n = np.unique(gram, return_inverse=True, return_counts=True)
-            first = ~rows["gram"].duplicated().to_numpy()
-            known, before = n[back] > 1, np.isin(gram, often)
-            often = np.union1d(often, gram[known & first])[-2_000_000:]
-            keep = first & ~before  # suffixes to be sorted
-            lead = rows["lead"].where(keep, None)
-            bucket = np.zeros(len(rows), dtype=np.int64)
-            if cuts is not None:
-                bucket = np.searchsorted(cuts, rows["lead"].to_numpy().astype(f"S{anchor}"), side="right")
-            # what needs no sorting is spread evenly
-            bucket = np.where(keep, bucket, signed(gram >> np.uint64(20)) % (len(splitters) + 1))
-            yield rows.assign(gram=signed(gram), lead=lead, known=known | before, bucket=bucket)
+            docs, texts = frame["doc"].to_numpy(), frame["text"].to_list()
+            for begin, end in in_pieces(texts):
+                out = []
+                for doc, text in zip(docs[begin:end], texts[begin:end]):
+                    for at, raw, hashes, grams, lo, hi, s in _document_anchors(text, length, anchor):
+                        u1, u2 = (signed(hashes.of(k, lo, hi + length)) for k in (0, 1))
+                        leads = np.lib.stride_tricks.sliding_window_view(raw, anchor)[s]
+                        ids = np.full(len(s), doc)
+                        out.append((ids, lo + at, hi + at, s + at, u1, u2, grams[s], leads))
+                if not out:
+                    continue
+                *columns, gram, lead = (np.concatenate(c) for c in zip(*out))
+                _, first, back, n = np.unique(gram, return_index=True, return_inverse=True, return_counts=True)
+                leader = np.zeros(len(gram), dtype=bool)
+                leader[first] = True
+                known, before = n[back] > 1, np.isin(gram, often)
+                often = np.union1d(often, gram[known & leader])[-2_000_000:]
+                keep = leader & ~before  # suffixes to be sorted
+                # what needs no sorting is spread evenly
+                bucket = signed(gram >> np.uint64(20)) % (len(splitters) + 1)
+                rows = np.ascontiguousarray(lead[keep])
+                if cuts is not None:
+                    bucket[keep] = np.searchsorted(cuts, rows.view(f"S{anchor}").ravel(), side="right")
+                sent = np.full(len(gram), None, dtype=object)
+                sent[keep] = [r.tobytes() for r in rows]
+                made = dict(zip(("doc", "lo", "hi", "s", "u1", "u2"), columns))
+                yield pd.DataFrame(made | {"gram": signed(gram), "lead": sent, "known": known | before, "bucket": bucket})
 
     return run
 
@@ -191,20 +193,41 @@ def _sampled_splitters(docs: DataFrame, length: int, anchor: int, buckets: int,
     return [every[i * len(every) // buckets] for i in range(1, buckets)]
 
 
-def _bytes_of(frame: pd.DataFrame):
-    """(row, bytes, hashes, places) of documents and the places in them to look at."""
-    for row in frame.itertuples(index=False):
-        whole = np.frombuffer(row.text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
-        places = np.array([tuple(p.values()) for p in row.places], dtype=np.int64)
-        yield row.doc, whole, places
+def _bytes_of(batch: pa.RecordBatch):
+    """(doc, bytes, places to look at) of each row; the places are one array for each of their fields."""
+    places = batch.column("places")
+    inside = places.flatten()
+    fields = {f.name: inside.field(f.name).to_numpy(zero_copy_only=False) for f in inside.type}
+    edges = places.offsets.to_numpy() - places.offsets[0].as_py()
+    has_text = "text" in batch.schema.names
+    for i, doc in enumerate(batch.column("doc").to_pylist()):
+        whole = np.frombuffer(batch.column("text")[i].as_buffer(), dtype=np.uint8) if has_text else None
+        yield doc, whole, {name: x[edges[i] : edges[i + 1]] for name, x in fields.items()}
+
+
+def _in_batches(tables, rows: int = 200_000):
+    """Small tables (dicts of arrays) together, large ones in slices, as Arrow batches."""
+    held, size = [], 0
+    for table in tables:
+        held.append(table)
+        size += len(next(iter(table.values())))
+        if size >= rows:
+            yield from _sliced(held, rows)
+            held, size = [], 0
+    if size:
+        yield from _sliced(held, rows)
+
+
+def _sliced(held: list[dict], rows: int):
+    whole = pa.table({name: np.concatenate([t[name] for t in held]) for name in held[0]})
+    yield from whole.to_batches(max_chunksize=rows)
 
 
 def _cells(length: int, cell: int):
-    def run(batches):
-        for frame in batches:
-            out = []
-            for doc, whole, places in _bytes_of(frame):
-                lo, hi, s = places.T
+    def tables(batches):
+        for batch in batches:
+            for doc, whole, places in _bytes_of(batch):
+                lo, hi, s = places["lo"], places["hi"], places["s"]
                 hashes = Hashes(whole)
                 least, most = s - hi, s - lo  # offsets of the anchor in the windows
                 first, last = least // cell, most // cell
@@ -214,39 +237,32 @@ def _cells(length: int, cell: int):
                 a, b = np.maximum(least[at], j * cell), np.minimum(most[at], j * cell + cell - 1)
                 lo2, hi2 = s[at] - b, s[at] - a
                 core = hashes.of(0, s[at] - j * cell, s[at] - (j * cell + cell - 1) + length)
-                out.append(pd.DataFrame({
-                    "doc": doc, "lo": lo2, "hi": hi2, "s": s[at], "cell": j, "core": signed(core),
+                yield {
+                    "doc": np.full(len(at), doc), "lo": lo2, "hi": hi2, "s": s[at], "cell": j, "core": signed(core),
                     "u1": signed(hashes.of(0, lo2, hi2 + length)), "u2": signed(hashes.of(1, lo2, hi2 + length)),
-                }))
-            if out:
-                yield pd.concat(out, ignore_index=True)
+                }
 
-    return run
+    return lambda batches: _in_batches(tables(batches))
 
 
 def _windows(length: int):
-    def run(batches):
-        for frame in batches:
-            out = []
-            for doc, whole, places in _bytes_of(frame):
-                lo, hi, _ = places.T
-                n = hi - lo + 1
+    def tables(batches):
+        for batch in batches:
+            for doc, whole, places in _bytes_of(batch):
+                lo, n = places["lo"], places["hi"] - places["lo"] + 1
                 x = np.unique(np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum()))
                 hashes = Hashes(whole)
-                out.append(pd.DataFrame({
-                    "doc": doc, "lo": x, "u1": signed(hashes.of(0, x, x + length)), "u2": signed(hashes.of(1, x, x + length)),
-                }))
-            if out:
-                yield pd.concat(out, ignore_index=True)
+                for at in range(0, len(x), CHUNK):
+                    y = x[at : at + CHUNK]
+                    u1, u2 = (signed(hashes.of(k, y, y + length)) for k in (0, 1))
+                    yield {"doc": np.full(len(y), doc), "lo": y, "u1": u1, "u2": u2}
 
-    return run
+    return lambda batches: _in_batches(tables(batches))
 
 
-def _with_places(docs: DataFrame, places: DataFrame, how: str, most_broadcast: int = 300_000) -> DataFrame:
-    """Documents with their list of places. The list is broadcast only while it is small."""
+def _with_places(docs: DataFrame, places: DataFrame, how: str) -> DataFrame:
+    """Documents with their list of places, which is stored, so that Spark knows its size."""
     lists = places.groupBy("doc").agg(F.collect_list(F.struct(*[c for c in places.columns if c != "doc"])).alias("places"))
-    if places.limit(most_broadcast + 1).count() <= most_broadcast:
-        lists = F.broadcast(lists)
     return docs.join(lists, "doc", how)
 
 
@@ -284,14 +300,14 @@ def repeated_windows(docs: DataFrame, tables: Scratch, length: int, anchor: int,
     found = tables.store(sent.groupBy("bucket").applyInPandas(_sort_bucket, FOUND), "found")
     wholes = tables.store(_judged(found), "wholes")
 
-    cells = _with_places(docs, _to_look_at(wholes, ["gram"]), "inner").mapInPandas(
+    cells = _with_places(docs, _to_look_at(wholes, ["gram"]), "inner").mapInArrow(
         _cells(length, cell), "doc long, lo long, hi long, s long, cell long, core long, u1 long, u2 long"
     )
     cells = tables.store(cells, "cells")
     likely = cells.join(_twice(cells, ["cell", "core"]), ["cell", "core"], "left_semi")
     parts = tables.store(_judged(likely), "parts")
 
-    single = _with_places(docs, _to_look_at(parts, ["cell", "core"]), "inner").mapInPandas(
+    single = _with_places(docs, _to_look_at(parts, ["cell", "core"]), "inner").mapInArrow(
         _windows(length), "doc long, lo long, u1 long, u2 long"
     )
     single = tables.store(single, "single")
@@ -302,17 +318,20 @@ def repeated_windows(docs: DataFrame, tables: Scratch, length: int, anchor: int,
 
 def _covered(length: int):
     def run(batches):
-        for frame in batches:
-            out = []
-            for places in frame["places"]:
-                at = np.array([(p["lo"], p["hi"] + length) for p in places], dtype=np.int64)
-                at = at[np.argsort(at[:, 0], kind="stable")]
-                reach = np.maximum.accumulate(at[:, 1])
-                new = np.r_[True, at[1:, 0] > reach[:-1]]
-                starts = at[new, 0]
-                ends = reach[np.r_[np.flatnonzero(new)[1:] - 1, len(at) - 1]]
-                out.append([{"start": int(a), "end": int(b)} for a, b in zip(starts, ends)])
-            yield pd.DataFrame({"doc": frame["doc"], "repeated": out})
+        for batch in batches:
+            docs, starts, ends, sizes = [], [], [], []
+            for doc, _, places in _bytes_of(batch):
+                order = np.argsort(places["lo"], kind="stable")
+                lo, reach = places["lo"][order], np.maximum.accumulate(places["hi"][order] + length)
+                new = np.flatnonzero(np.r_[True, lo[1:] > reach[:-1]])
+                docs.append(doc)
+                sizes.append(len(new))
+                starts.append(lo[new])
+                ends.append(reach[np.r_[new[1:] - 1, len(lo) - 1]])
+            if docs:
+                spans = pa.StructArray.from_arrays([np.concatenate(starts), np.concatenate(ends)], ["start", "end"])
+                lists = pa.ListArray.from_arrays(np.cumsum([0, *sizes]).astype(np.int32), spans)
+                yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), lists], ["doc", "repeated"])
 
     return run
 
@@ -334,19 +353,19 @@ def with_repeated(
     """
     spark = documents.sparkSession
     ready(spark)
-    rows = documents.withColumn("_doc", F.xxhash64(F.col(id_column), whole_text(text_column)))
+    key, made = fresh(documents, "doc"), fresh(documents, "spans")
+    rows = documents.withColumn(key, F.xxhash64(F.col(id_column), whole_text(text_column)))
     with scratch(spark, "suffixes") as tables:
-        docs = rows.select(F.col("_doc").alias("doc"), whole_text(text_column).alias("text"))
+        docs = rows.select(F.col(key).alias("doc"), whole_text(text_column).alias("text"))
         total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         buckets = max(8, math.ceil(total / bucket_bytes))
         ranges = repeated_windows(docs, tables, length, anchor, cell, buckets)
         lists = ranges.distinct().groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("places"))
-        spans = tables.store(lists.mapInPandas(_covered(length), f"doc long, repeated {SPANS}"), "result")
-    small = spans.limit(300_001).count() <= 300_000
-    spans = spans.toDF("_doc", "_repeated")
-    joined = rows.join(F.broadcast(spans) if small else spans, "_doc", "left")
+        spans = tables.store(lists.mapInArrow(_covered(length), f"doc long, repeated {SPANS}"), "result")
+    joined = rows.join(spans.toDF(key, made), key, "left")
     none = F.expr(f"cast(array() as {SPANS})")
-    return joined.withColumn("repeated", F.coalesce("_repeated", none)).drop("_doc", "_repeated")
+    stay = [F.col(f"`{c}`") for c in documents.columns if c != "repeated"]
+    return joined.select(*stay, F.coalesce(made, none).alias("repeated"))
 
 
 def _left_over(text: str, spans) -> bytes:

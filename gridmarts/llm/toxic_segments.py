@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmarts.llm.common import ready, scratch, whole_text
-from gridmarts.llm.shingles import shingle_sets
+from gridmarts.llm.shingles import in_pieces, shingle_sets
 
 PREFIXES = (4, 5, 6)
 # letters and combining marks: words are runs of letters, in lower case
@@ -126,8 +126,10 @@ def _text_features(batches):
 def _near_copy_key(batches):
     """The smallest shingle hash: near copies have it in common more often than not."""
     for frame in batches:
-        keys = [int(s[0].astype(np.int64)) if len(s) else 0 for s in shingle_sets(frame["text"].to_list())]
-        yield frame.assign(key=keys)
+        texts = frame["text"].to_list()
+        for lo, hi in in_pieces(texts):
+            keys = [int(s[0].astype(np.int64)) if len(s) else 0 for s in shingle_sets(texts[lo:hi])]
+            yield frame.iloc[lo:hi].assign(key=keys)
 
 
 def _chances(counted: DataFrame, base: float, prior: float) -> DataFrame:
@@ -174,8 +176,8 @@ def learn(
         whole_text(text_column).alias("text"), F.col(label_column).cast("int").alias("label")
     ).where("label in (0, 1)")
     with scratch(spark, "toxic-learn") as tables:
-        # small files: a few rows of each input file would else be a task each
-        keyed = rows.repartition("text").mapInPandas(_near_copy_key, "text string, label int, key long")
+        # exact copies are reduced where they are read; the shuffle gathers the few rows of each input file
+        keyed = rows.distinct().mapInPandas(_near_copy_key, "text string, label int, key long")
         chosen = tables.store(keyed.dropDuplicates(["key", "label"]).select("text", "label"), "chosen")
         totals = {r["label"]: r["count"] for r in chosen.groupBy("label").count().collect()}
         n1, n0 = totals.get(1, 0), totals.get(0, 0)
