@@ -11,12 +11,11 @@ at similarity 0.75 misses all 32 bands with probability 5e-6.
 2. In every bucket each node is tried against the smallest one. That is linear in the size
    of the bucket, and it joins groups of near copies at once.
 3. Buckets that still hold nodes of different components are compared in full, in blocks,
-   but only across components and on byte sketches of longer signatures (``fine`` permutations). Only pairs whose
+   but only across components and on byte sketches of the signatures. Only pairs whose
    agreement is within reach of the threshold go on (at 0.75 a pair falls short with a
-   probability of 3e-6). In the first ``rounds`` passes a node goes on with its most alike partner alone, a pair per
-   node, and what that ties together is one component in the next pass; the last pass takes every pair that
-   is left.
-4. Every pair that goes on is confirmed on its full shingle sets.
+   probability of 3e-6), in the first bucket that both share.
+4. Every pair that goes on is confirmed on its full shingle sets. In a block that happens on the spot: nodes
+   tied together count as one component from then on, and the task returns a forest of links.
 
 So buckets of copies are never expanded into pairs, and no link between different texts is
 given up for the size of a group.
@@ -90,23 +89,6 @@ def _compressed(batches):
         yield pd.DataFrame({"node": frame["node"], "packed": packed})
 
 
-def _long_sketches(permutations: int, words: int):
-    """Byte sketches of a longer signature, for the nodes that meet others in a bucket."""
-
-    def run(batches):
-        unpack = zstandard.ZstdDecompressor()
-        for frame in batches:
-            packed, nodes = frame["packed"].to_list(), frame["node"].to_numpy()
-            for at in range(0, len(packed), 256):
-                texts = [unpack.decompress(x).decode("utf-8", "surrogatepass") for x in packed[at : at + 256]]
-                for lo, hi in in_pieces(texts):
-                    values = signatures(shingle_sets(texts[lo:hi], words), permutations)
-                    sketch = (mix(values) >> np.uint64(56)).astype(np.uint8)
-                    yield pd.DataFrame({"node": nodes[at + lo : at + hi], "sketch": [x.tobytes() for x in sketch]})
-
-    return run
-
-
 def _agree(least: int):
     def run(batches):
         for frame in batches:
@@ -117,21 +99,72 @@ def _agree(least: int):
     return run
 
 
-def _across(least: int, best_only: bool, tile: int = 256):
-    """Probable pairs of different components within each bucket or pair of blocks.
+class _Sets:
+    """Shingle sets of the rows of a task, made when they are first needed; a bounded number of shingles is kept."""
+
+    def __init__(self, packed: list[bytes], words: int, most: int = 20_000_000):
+        self.packed, self.words, self.most = packed, words, most
+        self.known: dict[int, np.ndarray] = {}
+        self.held, self.unpack = 0, zstandard.ZstdDecompressor()
+
+    def of(self, rows: list[int]) -> list[np.ndarray]:
+        new = [r for r in dict.fromkeys(rows) if r not in self.known]
+        if self.held > self.most:
+            self.known, self.held = {r: self.known[r] for r in rows if r in self.known}, 0
+        for at in range(0, len(new), 64):
+            part = new[at : at + 64]
+            texts = [self.unpack.decompress(self.packed[r]).decode("utf-8", "surrogatepass") for r in part]
+            for lo, hi in in_pieces(texts):
+                for r, own in zip(part[lo:hi], shingle_sets(texts[lo:hi], self.words)):
+                    self.known[r] = own
+                    self.held += len(own)
+        return [self.known[r] for r in rows]
 
-    With ``best_only`` a node has the pair with its most alike partner there, if any.
+
+def _shared(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each of the other sets (none empty) has in common with one."""
+    every = np.concatenate(others)
+    where = np.searchsorted(own, every)
+    where[where == len(own)] = 0
+    at = np.cumsum([0, *(len(x) for x in others[:-1])])
+    return np.add.reduceat((own[where] == every).astype(np.int64), at)
+
+
+def _forest(least: int, percent: int, words: int, tile: int = 256):
+    """Links that tie together what is similar enough within each bucket or pair of blocks.
+
+    Sketches say which pairs of different components are probable, and those are confirmed at once on their full
+    sets, in the first bucket that both have in common. What has been tied together on the way is one component from then
+    on, so a task returns at most a link for each row, however alike the rows are.
     """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["band", "key", "p", "q", "component", "node"], kind="stable")
-        node, part, side = (frame[c].to_numpy() for c in ("node", "component", "side"))
+        node, side, band = (frame[c].to_numpy() for c in ("node", "side", "band"))
         sketch = np.frombuffer(b"".join(frame["sketch"]), dtype=np.uint8).reshape(len(frame), -1)
+        bands = np.stack(frame["bands"].to_list())
+        sets, part = _Sets(frame["packed"].to_list(), words), np.unique(frame["component"], return_inverse=True)[1]
         groups = frame[["band", "key", "p", "q"]].to_numpy()
         starts = np.flatnonzero(np.r_[True, (groups[1:] != groups[:-1]).any(axis=1)])
-        out = []
-        # of each row, the agreement and place of its best partner so far
-        top, partner = np.full(len(frame), least - 1), np.zeros(len(frame), dtype=np.int64)
+        out: list[tuple[int, int]] = []
+
+        def confirm(x: np.ndarray, y: np.ndarray) -> None:
+            for lo, hi in _edges(x):
+                row, others = int(x[lo]), y[lo:hi]
+                others = others[part[others] != part[row]]
+                for at in range(0, len(others), tile):
+                    some = others[at : at + tile]
+                    some = some[part[some] != part[row]]
+                    if not len(some):
+                        continue
+                    own, *rest = sets.of([row, *some.tolist()])
+                    both = _shared(own, rest)
+                    size = np.array([len(r) for r in rest])
+                    for other in some[100 * both >= percent * (len(own) + size - both)].tolist():
+                        if part[other] != part[row]:
+                            out.append((int(node[row]), int(node[other])))
+                            part[part == part[other]] = part[row]
+
         for lo, hi in zip(starts, np.r_[starts[1:], len(frame)]):
             both = side[lo] == 2
             first = lo + np.flatnonzero(side[lo:hi] != 1)
@@ -140,31 +173,30 @@ def _across(least: int, best_only: bool, tile: int = 256):
                 r = first[i : i + tile]
                 for j in range(i if both else 0, len(second), tile):
                     c = second[j : j + tile]
-                    if part[r[0]] == part[c[-1]] and part[r[-1]] == part[c[0]]:
-                        continue  # sorted by component: all rows of both are of one
+                    apart = part[r][:, None] != part[c][None, :]
+                    if not apart.any():
+                        continue
                     same = np.zeros((len(r), len(c)), dtype=np.int16)
                     for k in range(sketch.shape[1]):
                         same += sketch[r, k][:, None] == sketch[c, k][None, :]
-                    same[part[r][:, None] == part[c][None, :]] = 0
-                    if best_only:
-                        for rows, cols, counts in ((r, c, same), (c, r, same.T)):
-                            k = counts.argmax(axis=1)
-                            most = counts[np.arange(len(rows)), k]
-                            more = most > top[rows]
-                            top[rows[more]], partner[rows[more]] = most[more], cols[k[more]]
-                    else:
-                        x, y = np.nonzero(same >= least)
-                        out.append((r[x], c[y]))
-        if best_only:
-            x = np.flatnonzero(top >= least)
-            out.append((x, partner[x]))
-        out = [np.stack([np.minimum(node[a], node[b]), np.maximum(node[a], node[b])], axis=1) for a, b in out]
-        pairs = np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), dtype=np.int64)
-        return pd.DataFrame(pairs, columns=["a", "b"])
+                    x, y = np.nonzero((same >= least) & apart)
+                    if both and i == j:
+                        x, y = x[x < y], y[x < y]
+                    x, y, agreed = r[x], c[y], same[x, y]
+                    new = ~(bands[x, : band[lo]] == bands[y, : band[lo]]).any(axis=1)
+                    rank = np.lexsort((-agreed[new], x[new]))  # the most alike first
+                    confirm(x[new][rank], y[new][rank])
+        return pd.DataFrame(np.array(out, dtype=np.int64).reshape(-1, 2), columns=["a", "b"])
 
     return run
 
 
+def _edges(x: np.ndarray):
+    """Where each stretch of equal entries begins and ends."""
+    cuts = np.flatnonzero(np.r_[True, x[1:] != x[:-1], True]) if len(x) else []
+    return zip(cuts[:-1], cuts[1:])
+
+
 def _confirm(percent: int, words: int):
     """Of each hub and the nodes tried against it, the pairs that are similar enough."""
 
@@ -215,9 +247,7 @@ def near_duplicates(
     words: int = WORDS,
     permutations: int = 64,
     rows: int = 4,
-    block: int = 2048,
-    rounds: int = 2,
-    fine: int = 256,
+    block: int = 1024,
     with_keys: bool = False,
 ) -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id``, ``kept``.
@@ -243,7 +273,7 @@ def near_duplicates(
         )
         sets = tables.store(sets.select("n", "set_low", "set_high", "rep", "values.*"), "sets")
         reps = sets.select(F.col("rep").alias("node"), "bands", "sketch")
-        links = _links(docs, reps, tables, least, percent, words, block, rounds, fine)
+        links = _links(docs, reps, tables, least, percent, words, block)
         parts = components(links, tables)
         # rows: row -> node -> set -> component -> smallest document id
         keys = ["n", "set_low", "set_high"]
@@ -262,7 +292,7 @@ def near_duplicates(
         return tables.store(out.withColumn("kept", F.col(id_column).eqNullSafe(F.col("component_id"))), "result")
 
 
-def _links(docs: DataFrame, reps: DataFrame, tables: Scratch, least: int, percent: int, words: int, block: int, rounds: int, fine: int) -> DataFrame:
+def _links(docs: DataFrame, reps: DataFrame, tables: Scratch, least: int, percent: int, words: int, block: int) -> DataFrame:
     met = reps.select("node", F.posexplode("bands").alias("band", "key"))
     heads = met.groupBy("band", "key").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1")
     placed = tables.store(met.join(heads, ["band", "key"]), "placed")
@@ -284,31 +314,18 @@ def _links(docs: DataFrame, reps: DataFrame, tables: Scratch, least: int, percen
     found = tables.store(_confirmed(tried, texts, percent, words), "found")
     parts = components(found, tables)
 
-    # across components, what is left in each bucket: first the most alike, at last everything
-    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = found
-    # estimates of twice the sharpness, as a group of loosely similar texts has many pairs near the threshold
-    longer = texts.mapInPandas(_long_sketches(fine, words), "node long, sketch binary")
-    longer = tables.store(longer, "longer")
-    least = least_agreement(2 * fine, percent / 100)
-    for step in range(rounds + 1):
-        where = placed.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        where = tables.store(where, f"where{step}")
-        open_ = where.groupBy("band", "key").agg(
-            F.min("component").alias("lo"), F.max("component").alias("hi")
-        ).where("lo < hi").select("band", "key")
-        dealt = deal_blocks(where.join(open_, ["band", "key"]), ["band", "key"], "node", "n", block)
-        dealt = tables.store(dealt.select("band", "key", "p", "q", "side", "node", "component"), f"dealt{step}")
-        tasks = max(1, math.ceil(dealt.count() / (2 * block)))
-        pairs = (
-            dealt.join(longer, "node")
-            .groupBy(F.pmod(F.xxhash64("band", "key", "p", "q"), F.lit(tasks)).alias("deal"))
-            .applyInPandas(_across(least, step < rounds), "a long, b long")
-            .distinct()
-        )
-        pairs = tables.store(pairs.join(known, ["a", "b"], "left_anti"), f"pairs{step}")
-        links = links.union(tables.store(_confirmed(pairs, texts, percent, words), f"more{step}"))
-        if step < rounds:
-            known = known.union(pairs)
-            parts = components(links, tables)
-    return links
+    # across components, what is left in each bucket
+    where = placed.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    where = tables.store(where, "where")
+    open_ = where.groupBy("band", "key").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi")
+    ).where("lo < hi").select("band", "key")
+    dealt = deal_blocks(where.join(open_, ["band", "key"]), ["band", "key"], "node", "n", block)
+    dealt = tables.store(dealt.select("band", "key", "p", "q", "side", "node", "component"), "dealt")
+    tasks = max(1, math.ceil(dealt.count() / (2 * block)))
+    forest = (
+        dealt.join(reps, "node").join(texts, "node")
+        .groupBy(F.pmod(F.xxhash64("band", "key", "p", "q"), F.lit(tasks)).alias("deal"))
+        .applyInPandas(_forest(least, percent, words), "a long, b long")
+    )
+    return found.union(tables.store(forest, "forest"))
