@@ -20,8 +20,11 @@ and begins anew. Weights and values are whole numbers below 2^63, so all sums ar
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,26 +38,21 @@ def terms_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_KEEP).split()
 
 
-def _counted(most_entries: int, piece: int = 2_000_000):
+_DOCUMENT = 1 << 40  # a document adds this and its occurrences to the entry of a term
+
+
+def _counted(most_entries: int, piece: int = 500_000):
     """Per task: occurrences and documents of each term by group, and a row without a term for each group."""
 
     def run(batches):
-        found: dict[tuple[str, str], dict[bytes, list[int]]] = {}
+        found: dict[tuple[str, str], dict[bytes, int]] = {}
         entries = 0
-        for frame in batches:
-            for lang, source, text in zip(frame["lang"], frame["source"], frame["text"]):
+        for batch in batches:
+            for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
                 group = found.setdefault((lang, source), {})
                 before = len(group)
-                once: dict[bytes, int] = {}
-                for term in terms_of(text):
-                    once[term] = once.get(term, 0) + 1
-                for term, n in once.items():
-                    entry = group.get(term)
-                    if entry is None:
-                        group[term] = [n, 1]
-                    else:
-                        entry[0] += n
-                        entry[1] += 1
+                for term, n in Counter(terms_of(text)).items():
+                    group[term] = group.get(term, 0) + n + _DOCUMENT
                 entries += len(group) - before
                 if entries > most_entries:
                     yield from _flushed(found, piece)
@@ -66,15 +64,12 @@ def _counted(most_entries: int, piece: int = 2_000_000):
 
 def _flushed(found: dict, rows: int):
     for (lang, source), group in found.items():
-        yield pd.DataFrame({"lang": [lang], "source": [source], "term": [None], "n": [0], "docs": [0]})
-        items = list(group.items())
-        for at in range(0, len(items), rows):
-            part = items[at : at + rows]
-            yield pd.DataFrame({
-                "lang": lang, "source": source,
-                "term": [t.decode("utf-8", "surrogatepass") for t, _ in part],
-                "n": [c[0] for _, c in part], "docs": [c[1] for _, c in part],
-            })
+        terms, sums = [None, *group], np.array([0, *group.values()], dtype=np.int64)
+        for at in range(0, len(terms), rows):
+            part = pa.array(terms[at : at + rows], pa.binary()).cast(pa.string())
+            n, docs = sums[at : at + rows] % _DOCUMENT, sums[at : at + rows] // _DOCUMENT
+            names = [pa.array([x], pa.string()).take(pa.array(np.zeros(len(part), dtype=np.int64))) for x in (lang, source)]
+            yield pa.RecordBatch.from_arrays([*names, part, pa.array(n), pa.array(docs)], ["lang", "source", "term", "n", "docs"])
 
 
 def weight(count: Column, total: Column, terms: Column, scale: int) -> Column:
@@ -168,7 +163,7 @@ def divergence(
     least_documents: int = 10,
     scale: int = 1_000_000_000,
     top: int = 10,
-    most_entries: int = 400_000,
+    most_entries: int = 800_000,
     most_nodes: int = 300_000,
     cuts: int = 16,
 ) -> DataFrame:
@@ -185,7 +180,7 @@ def divergence(
         whole_text(lang_column).alias("lang"), whole_text(source_column).alias("source"), whole_text(text_column).alias("text")
     )
     with scratch(spark, "source-tree") as tables:
-        part = docs.mapInPandas(_counted(most_entries), "lang string, source string, term string, n long, docs long")
+        part = docs.mapInArrow(_counted(most_entries), "lang string, source string, term string, n long, docs long")
         every = part.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
         every = tables.store(every, "every")
         words = every.where("term is not null")
