@@ -340,6 +340,26 @@ _SAME = (
 _SAME_WITH_SPREAD = f"{_SAME} AND b.da_rt_spread IS NULL"
 
 
+_STG_DA_EVENTS = _stage_prices(
+    "stg_da_events", "(SELECT *, CAST(NULL AS DOUBLE) AS system_energy_price_da FROM da_events)", "da", "trim(type)"
+)
+_EDGE = "TIMESTAMP '2024-01-28'"  # the first whole day of the recent tiers
+_ACROSS = f"""
+event_halves AS (
+  SELECT d.hour_beginning_utc, d.pnode_id, d.zone, CAST(total_lmp_da AS REAL) AS total_lmp_da,
+         CAST(total_lmp_rt AS REAL) AS total_lmp_rt, CAST(total_lmp_da - total_lmp_rt AS REAL) AS da_rt_spread
+  FROM stg_da_events d LEFT JOIN stg_5min r
+    ON r.hour_beginning_utc = d.hour_beginning_utc AND r.pnode_id = d.pnode_id
+),
+priced AS (
+  SELECT t AS ts, total_lmp_da, total_lmp_rt, da_rt_spread, 'intraday' AS grain FROM intraday
+  WHERE t >= {_EDGE} AND t < TIMESTAMP '2024-01-31' AND {_DUQ}
+  UNION ALL
+  SELECT hour_beginning_utc, total_lmp_da, total_lmp_rt, da_rt_spread, 'hourly' FROM event_halves
+  WHERE hour_beginning_utc >= TIMESTAMP '2024-01-24' AND hour_beginning_utc < {_EDGE} AND {_DUQ}
+)"""
+
+
 def _nulls(table: str, *columns: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{table}' AS table_name, '{c}' AS column_name,"
@@ -371,6 +391,11 @@ _RELATIONS_AND_SELECT: dict[str, tuple[list[str], str]] = {
     "scan_feed": (_DA_FEED_ONLY, "SELECT * FROM da_feed"),
     "scan_mixed_schema": (_DA_FEED_ONLY, _MIXED),
     "unwrap_pages": (_DA_FEED_ONLY, "SELECT * FROM da_feed"),
+    "unwrap_pages_variant": (
+        _DA_FEED_ONLY,
+        "SELECT *, pnode_name AS note FROM da_feed UNION ALL BY NAME"
+        f" SELECT DISTINCT ON (CAST({_local('datetime_beginning_ept')} AS DATE)) 'only' AS note FROM da_feed",
+    ),
     "unwrap_pages_files": (_DA_FEED_ONLY, "SELECT * FROM da_feed"),
     "normalise_csv_mixed": (
         _DA_FEED_ONLY,
@@ -398,6 +423,7 @@ _RELATIONS_AND_SELECT: dict[str, tuple[list[str], str]] = {
     "dim_pnode": ([*_DA, _DIM_PNODE], "SELECT * FROM dim_pnode"),
     "dim_calendar": ([*_DA, _DIM_CALENDAR], "SELECT * FROM dim_calendar"),
     "mart_lmps": (_LMPS, "SELECT * FROM mart_lmps"),
+    "mart_lmps_bucketed": (_LMPS, "SELECT * FROM mart_lmps"),
     "mart_load": (_LOAD, "SELECT * FROM mart_load"),
     "history_extent": (
         _LMPS,
@@ -429,6 +455,22 @@ _RELATIONS_AND_SELECT: dict[str, tuple[list[str], str]] = {
         ],
         "SELECT * FROM series",
     ),
+    "lmp_series_across_tiers": (
+        [
+            *_RT_5MIN_ONLY,
+            _DA_EVENTS,
+            _recent("rt_recent", "rt_5min", _RT_COLUMNS).replace("7 DAY", "3 DAY"),
+            _recent("da_recent", "da_events", _DA_COLUMNS)
+            .replace("FROM da_events) -", "FROM rt_5min) -")
+            .replace("7 DAY", "3 DAY"),
+            _INTRADAY,
+            _STG_DA_EVENTS,
+            _STG_5MIN,
+            _ACROSS,
+        ],
+        "SELECT ts, avg(CAST(total_lmp_da AS DOUBLE)) AS da, avg(CAST(total_lmp_rt AS DOUBLE)) AS rt,"
+        " avg(CAST(da_rt_spread AS DOUBLE)) AS spread, grain FROM priced GROUP BY ts, grain",
+    ),
     "lmp_series_hourly": ([*_LMPS, _HALVES, _hour_series(_HUB)], "SELECT * FROM series"),
     "lmp_series_daily": ([*_LMPS, _LMP_DAILY, _DAY_SERIES], "SELECT * FROM series"),
     "load_series_daily": ([*_LOAD, _LOAD_DAILY, _LOAD_DAYS], "SELECT * FROM loads"),
@@ -455,6 +497,12 @@ _RELATIONS_AND_SELECT: dict[str, tuple[list[str], str]] = {
         " AND hour_beginning_utc < TIMESTAMP '2002-01-01'",
     ),
     "price_duration_curve": (_DA, _CURVE),
+    "price_duration_curve_by_node": (
+        _DA,
+        _CURVE.replace("SELECT floor", "SELECT pnode_name, floor")
+        .replace("OVER (ORDER BY", "OVER (PARTITION BY pnode_name ORDER BY")
+        .replace("OVER ()", "OVER (PARTITION BY pnode_name)"),
+    ),
     "spread_sign": (
         [*_LMPS, _HALVES, _hour_series(_DUQ)],
         "SELECT *, CASE WHEN spread IS NULL THEN 'na' WHEN spread < 0 THEN 'neg' ELSE 'pos' END AS sign"
@@ -478,6 +526,21 @@ _RELATIONS_AND_SELECT: dict[str, tuple[list[str], str]] = {
         _LOAD,
         "SELECT *, CAST(date_trunc('month', hour_beginning_utc) AS DATE) AS month_utc FROM mart_load",
     ),
+    "refresh_late_prices": (
+        _LMPS,
+        "SELECT *, CAST(date_trunc('month', hour_beginning_utc) AS DATE) AS month_utc FROM mart_lmps",
+    ),
+    "tiers_incremental": ([*_LMPS, _LMP_DAILY], "SELECT * FROM lmp_daily"),
+    "catalog_missing_periods": (
+        _LMPS,
+        "SELECT *, CAST(year(hour_beginning_utc) AS INTEGER) AS year_utc FROM mart_lmps",
+    ),
+    "catalog_extent": (
+        _LMPS,
+        "SELECT CAST(min(year(hour_beginning_utc)) AS VARCHAR) AS first_period,"
+        " CAST(max(year(hour_beginning_utc)) AS VARCHAR) AS last_period,"
+        " max(hour_beginning_utc) AS newest_hour FROM mart_lmps",
+    ),
     "dq_not_null": (
         _CHECKED,
         " UNION ALL ".join(
@@ -489,6 +552,19 @@ _RELATIONS_AND_SELECT: dict[str, tuple[list[str], str]] = {
             ]
         ),
     ),
+    "dq_while_writing": (
+        [*_LMPS, *_LOAD[2:]],
+        " UNION ALL ".join(
+            [
+                *(
+                    f"SELECT '{t}' AS table_name, 'rows' AS column_name, count(*) AS violations FROM {t}"
+                    for t in ("mart_lmps", "mart_load")
+                ),
+                _nulls("mart_lmps", "hour_beginning_utc", "pnode_id", "total_lmp_da"),
+                _nulls("mart_load", "hour_beginning_utc", "zone", "actual_load_mw"),
+            ]
+        ),
+    ),
     "dq_unique": (
         _CHECKED,
         " UNION ALL ".join(

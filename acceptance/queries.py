@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from acceptance import feeds
 from gridmarts import schemas
 from gridmarts.functions.means import exact_mean
 from gridmarts.functions.timeparse import naive, us_wall_clock, wall_clock
-from gridmarts.operators.quality import check_not_null, check_unique
+from gridmarts.operators.quality import check_not_null, check_unique, observed
 from gridmarts.operators.upsert import (
     merge_frames,
     newer_than,
@@ -22,9 +22,9 @@ from gridmarts.operators.upsert import (
     upsert_table,
     write_history,
 )
-from gridmarts.plans import dims, kpi, marts, series, staging, tiers
+from gridmarts.plans import changes, dims, kpi, marts, series, staging, tiers
 from gridmarts.session import shared_folder
-from gridmarts.sources import normalise, pages, sinks
+from gridmarts.sources import catalog, normalise, pages, sinks
 from gridmarts.sources.feeds import conform, feed_window, first_landed, scan_feed, union_feeds
 from gridmarts.streaming.ingest import stream_upsert
 
@@ -150,6 +150,22 @@ def unwrap_pages(spark, sf_dir):
     return pages.unwrap_pages(spark, path, "da_lmps", whole_file=False)
 
 
+@query
+def unwrap_pages_variant(spark, sf_dir):
+    """Pages whose elements have a field that the feed does not know, and one element with nothing else."""
+    path = _new_folder(spark, "variant-pages")
+    feed = feeds.landed(spark, sf_dir, "da_lmps").withColumn("note", F.col("pnode_name"))
+    day = F.to_date(wall_clock(F.col("datetime_beginning_ept")))
+    only = F.struct(*[F.lit("only" if c == "note" else None).cast(t).alias(c) for c, t in feed.dtypes])
+    items = F.concat(F.collect_list(F.struct(*feed.columns)), F.array(only)).alias("items")
+    by_day = feed.groupBy(day.alias("day")).agg(items)
+    page = F.when(F.dayofmonth("day") % 2 == 0, F.to_json("items")).otherwise(F.to_json(F.struct("items")))
+    by_day.select(page.alias("value")).write.text(path)
+    rows = pages.unwrap_pages(spark, path, "da_lmps", whole_file=False, element="element")
+    note = F.variant_get("element", "$.note", "string").alias("note")
+    return rows.select(*rows.drop("element").columns, note)
+
+
 @query
 def unwrap_pages_files(spark, sf_dir):
     """A file per page: a month of rows each."""
@@ -294,6 +310,23 @@ def mart_load(spark, sf_dir):
 # --- tiers -------------------------------------------------------------------------
 
 
+def bucketed_sides(spark, sf_dir, buckets: int = 8) -> list[DataFrame]:
+    """Both staged feeds as tables dealt by hour and node alike."""
+    out = []
+    for side, rows in (("da", _da(spark, sf_dir)), ("rt", _rt(spark, sf_dir))):
+        name = f"staged_{side}_{uuid.uuid4().hex}"
+        catalog.save_bucketed(rows, name, schemas.MART_LMPS_KEY, buckets, _new_folder(spark, name))
+        out.append(spark.table(name))
+    return out
+
+
+@query
+def mart_lmps_bucketed(spark, sf_dir):
+    """The price fact out of bucketed tables: a sort-merge join without a shuffle."""
+    da, rt = bucketed_sides(spark, sf_dir)
+    return marts.build_mart_lmps(da, rt.hint("merge"))
+
+
 @query
 def history_extent(spark, sf_dir):
     return tiers.history_extent(_mart_lmps(spark, sf_dir))
@@ -353,6 +386,20 @@ def lmp_series_intraday(spark, sf_dir):
     return series.lmp_series(stored, *INTRADAY_RANGE, series.DUQ)
 
 
+@query
+def lmp_series_across_tiers(spark, sf_dir):
+    """Seven days of which the recent tiers hold the last three; the others come from half-years."""
+    rt, da = feeds.landed(spark, sf_dir, "rt_5min"), feeds.landed(spark, sf_dir, "da_recent")
+    as_of = _newest(rt)
+    mart = marts.build_mart_lmps(staging.stage_da(da), staging.stage_rt(rt))
+    held = series.Tiers(
+        rt_recent=tiers.recent_rt(rt, as_of, days=3),
+        da_recent=tiers.recent_da(da, as_of, days=3),
+        lmps=tiers.half_year_tier(mart),
+    )
+    return series.lmp_series_by_pieces(held, *INTRADAY_RANGE, series.DUQ, first_recent=date(2024, 1, 28))
+
+
 @query
 def lmp_series_hourly(spark, sf_dir):
     return _hourly(spark, sf_dir, series.WESTERN_HUB)
@@ -403,6 +450,13 @@ def price_duration_curve(spark, sf_dir):
     return kpi.duration_curve(prices)
 
 
+@query
+def price_duration_curve_by_node(spark, sf_dir):
+    """A curve for every node over its whole history, in one pass; ranges small enough that nodes are cut."""
+    prices = _da(spark, sf_dir).select("pnode_name", F.col("total_lmp_da").alias("da"))
+    return kpi.duration_curve(prices, buckets=16, by=("pnode_name",))
+
+
 @query
 def spread_sign(spark, sf_dir):
     return kpi.with_spread_sign(_hourly(spark, sf_dir, series.DUQ))
@@ -455,6 +509,62 @@ def refresh_mart_load(spark, sf_dir):
     return _refreshed(spark, sf_dir, marts.refresh_mart_load, _LOAD_FORECAST)
 
 
+_LATE = ("1997-03-01", "1997-05-01")
+
+
+def _late_prices(spark, sf_dir, tier: bool = False) -> str:
+    """Two months of real-time prices land after all else. The fact, and the daily tier, follow what has landed."""
+    path = _new_folder(spark, "late")
+    time_col = "datetime_beginning_ept"
+    rt = feeds.landed(spark, sf_dir, "rt_lmps")
+    late = wall_clock(F.col(time_col)).between(*[F.lit(d).cast("timestamp_ntz") for d in _LATE])
+    sinks.write_feed(feeds.landed(spark, sf_dir, "da_lmps"), f"{path}/da", time_col, "month")
+    days: list = []
+    for part, rows in (("feed", rt.filter(~late)), ("late", rt.filter(late))):
+        sinks.write_feed(rows, f"{path}/rt", time_col, "month", part)
+        days.clear()
+        changes.refresh_changed_lmps(
+            spark, f"{path}/fact", f"{path}/da", f"{path}/rt", f"{path}/checkpoint", "month", touched=days.extend
+        )
+        if tier:
+            changes.refresh_daily(spark, f"{path}/fact", f"{path}/daily", None if part == "feed" else sorted(set(days)))
+    return path
+
+
+@query
+def refresh_late_prices(spark, sf_dir):
+    return read_table(spark, f"{_late_prices(spark, sf_dir)}/fact", merge_schema=False)
+
+
+@query
+def tiers_incremental(spark, sf_dir):
+    """The daily tier after the late prices, of which only the touched days were made anew."""
+    return changes.read_daily(spark, f"{_late_prices(spark, sf_dir, tier=True)}/daily")
+
+
+def _catalog_table(spark, sf_dir) -> tuple[str, str]:
+    """Part of the price fact by year as a catalog table, then the years that are missing."""
+    name = f"fact_{uuid.uuid4().hex}"
+    mart = _mart_lmps(spark, sf_dir).withColumn("year_utc", F.year(HOUR))
+    catalog.save_table(mart.filter("year_utc < 1996"), name, "year_utc", _new_folder(spark, "catalog"), ["pnode_id", HOUR])
+    catalog.add_missing_periods(mart.withColumn("zone", F.when(F.col("year_utc") >= 1996, F.col("zone"))), name, "year_utc")
+    return name, "year_utc"
+
+
+@query
+def catalog_missing_periods(spark, sf_dir):
+    """Stored years keep their rows; the batch has them without a zone."""
+    return spark.table(_catalog_table(spark, sf_dir)[0])
+
+
+@query
+def catalog_extent(spark, sf_dir):
+    """First and last year by the catalog's list, and the newest hour, of which one folder is read."""
+    name, part = _catalog_table(spark, sf_dir)
+    newest = catalog.newest_rows(spark, name, part).agg(F.max(HOUR).alias("newest_hour"))
+    return catalog.extent(spark, name, part).join(newest, F.lit(True))
+
+
 _DA_RT = {"da_lmps": "datetime_beginning_ept", "rt_lmps": "datetime_beginning_ept"}
 _LOAD_FORECAST = {"load": "datetime_beginning_ept", "load_forecast": "forecast_datetime_beginning_ept"}
 
@@ -485,6 +595,18 @@ def dq_not_null(spark, sf_dir):
     return union_feeds(*found)
 
 
+@query
+def dq_while_writing(spark, sf_dir):
+    """The counts of both facts, taken while they are written: no scan besides."""
+    found = []
+    for name, key in (("mart_lmps", schemas.MART_LMPS_KEY), ("mart_load", schemas.MART_LOAD_KEY)):
+        columns = [*key, "total_lmp_da" if name == "mart_lmps" else "actual_load_mw"]
+        rows, seen = observed(_FACTS[name][0](spark, sf_dir), columns)
+        write_history(_new_folder(spark, "observed"), rows, key, HOUR, "month")
+        found += [(name, column, violations) for column, violations in seen.get.items()]
+    return spark.createDataFrame(found, "table_name string, column_name string, violations long")
+
+
 @query
 def dq_unique(spark, sf_dir):
     checks = [

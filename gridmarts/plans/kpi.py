@@ -42,13 +42,16 @@ def with_spread_sign(series: DataFrame) -> DataFrame:
     return series.withColumn("sign", spread_sign(F.col("spread")))
 
 
-def duration_curve(series: DataFrame, price_col: str = "da", buckets: int | None = None) -> DataFrame:
+def duration_curve(
+    series: DataFrame, price_col: str = "da", buckets: int | None = None, by: tuple[str, ...] = ()
+) -> DataFrame:
     """(pct_of_hours, price): how much of the time the price is at or above a level.
 
-    The share is rounded half up to one decimal. It is NULL if there is only one price.
+    The share is rounded half up to one decimal. It is NULL if there is only one price. With ``by``, a curve for each group
+    of these columns, all in one pass.
     """
-    ranked = rank_descending(series, price_col, buckets)
+    ranked = rank_descending(series, price_col, buckets, by=by)
     share = F.try_divide(F.col("position"), F.col("total") - 1) * 100
     return ranked.select(
-        (F.floor(share * 10 + 0.5) / 10).alias("pct_of_hours"), F.col(price_col).alias("price")
+        *by, (F.floor(share * 10 + 0.5) / 10).alias("pct_of_hours"), F.col(price_col).alias("price")
     )

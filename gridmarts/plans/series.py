@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -145,6 +146,58 @@ def lmp_series(
     return _first(prices.groupBy("ts").agg(*means).orderBy(F.col("ts").asc_nulls_last()), limit)
 
 
+def recent_from(rt_recent: DataFrame) -> date | None:
+    """The first local day that the recent tier has whole: the day after its earliest time."""
+    time = wall_clock(F.col("datetime_beginning_ept"), strict=False)
+    return rt_recent.agg(F.date_add(F.to_date(F.min(time)), 1)).first()[0]
+
+
+def pieces(
+    tiers: Tiers, start: date, end: date, first_recent: date | None = None
+) -> list[tuple[str, date, date]]:
+    """Which tier serves which days: the finest that suits the span, else the next that is there.
+
+    A span of days that goes back beyond the recent tier is cut at its first whole day; what lies before comes from the half-years,
+    as does a long span without a daily tier. Without half-years hourly spans come from the daily tier. ``first_recent`` is that
+    first day, which whoever wrote the tier knows; by default it is taken from the tier's times.
+    """
+    grain = grain_for(start, end)
+    if grain == "intraday":
+        there = tiers.rt_recent is not None and tiers.da_recent is not None
+        first = (first_recent or recent_from(tiers.rt_recent)) if there else None
+        if first is not None and first <= start:
+            return [("intraday", start, end)]
+        if first is not None and first <= end:
+            return [*_stored(tiers, "hourly", start, first - timedelta(days=1)), ("intraday", first, end)]
+        grain = "hourly"
+    return _stored(tiers, grain, start, end)
+
+
+def _stored(tiers: Tiers, grain: str, start: date, end: date) -> list[tuple[str, date, date]]:
+    other = {"hourly": "daily", "daily": "hourly"}[grain]
+    table = {"hourly": tiers.lmps, "daily": tiers.lmps_daily}
+    return [(other if table[grain] is None and table[other] is not None else grain, start, end)]
+
+
+def lmp_series_by_pieces(
+    tiers: Tiers,
+    start: str | date,
+    end: str | date,
+    location: Location,
+    mean: Callable[[Column], Column] = F.avg,
+    first_recent: date | None = None,
+) -> DataFrame:
+    """(ts, da, rt, spread, grain) over a range of which no single tier has all.
+
+    Days are those of the tier that serves them: local ones intraday, UTC ones else, as are the times.
+    """
+    found = [
+        lmp_series(tiers, first, last, location, mean=mean, grain=grain).withColumn("grain", F.lit(grain))
+        for grain, first, last in pieces(tiers, parse_day(start), parse_day(end), first_recent)
+    ]
+    return reduce(DataFrame.unionByName, found).orderBy(F.col("ts").asc_nulls_last())
+
+
 def _first(ordered: DataFrame, limit: int | None) -> DataFrame:
     return ordered if limit is None else ordered.limit(limit)
 

@@ -21,8 +21,8 @@ FEED_FOLDERS = {"day": "feed_date", "month": "feed_month"}
 FEED_PART = "feed_part"
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Exactly the columns of ``schema``: absent ones NULL, unreadable values NULL."""
+def conform(df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Exactly the columns of ``schema`` (and those to ``keep``): absent ones NULL, unreadable values NULL."""
     columns = []
     for field in schema:
         if field.name not in df.columns:
@@ -32,7 +32,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         else:
             columns.append(F.col(field.name).try_cast(field.dataType).alias(field.name))
     extra = [c for c in FEED_FOLDERS.values() if c in df.columns]
-    return df.select(*columns, *extra)
+    return df.select(*columns, *extra, *keep)
 
 
 def scan_feed(
