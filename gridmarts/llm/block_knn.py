@@ -35,15 +35,28 @@ def _int8(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return whole.astype(np.int8), scale, np.linalg.norm(stands, axis=1), np.linalg.norm(x - stands, axis=1)
 
 
+def _levelled(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each vector times a power of two that brings its greatest component to 0.5 to 1, and the exponent taken out."""
+    power = np.frexp(np.abs(x).max(axis=1))[1]
+    return np.ldexp(x, -power[:, None]), power
+
+
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> list[tuple[float, int]]:
-    """The k highest scores, ties to the smaller id."""
+    """The k highest scores, ties to the smaller id. What is no number comes last."""
+    scores = np.where(np.isnan(scores), -np.inf, scores)
     return heapq.nsmallest(k, zip((-scores).tolist(), ids.tolist()))
 
 
 def tile_search(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int, tile: int = 256):
-    """(query, candidate, score) of the k nearest candidates of this block for each query."""
-    qi, qs, qn, qe = _int8(q)
-    ci, cs, cn, ce = _int8(c)
+    """(query, candidate, score) of the k nearest candidates of this block for each query.
+
+    Bounds are computed on levelled vectors, where nothing over- or underflows, and brought back to scale. They say nothing
+    about pairs whose score may overflow.
+    """
+    (ql, qp), (cl, cp) = _levelled(q), _levelled(c)
+    qi, qs, qn, qe = _int8(ql)
+    ci, cs, cn, ce = _int8(cl)
+    tiny = q.shape[1] * 5e-324
     cf = ci.astype(np.float32)
     out = []
     for at in range(0, len(q), tile):
@@ -58,15 +71,20 @@ def tile_search(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray,
             + 1e-6 * (qn[at:to, None] + qe[at:to, None]) * (cn + ce)
         )
         own = qid[at:to, None] == cid[None, :]
-        low = np.where(own, -np.inf, score - slack)
+        power = qp[at:to, None] + cp[None, :]
+        with np.errstate(over="ignore"):
+            low, high = np.ldexp(score - slack, power) - tiny, np.ldexp(score + slack, power) + tiny
+        beyond = power > 1000 - q.shape[1].bit_length()  # a product or sum may overflow: computed exactly in any case
+        low[own | beyond], high[beyond] = -np.inf, np.inf
         if len(c) > k:
             reached = np.partition(low, len(c) - k, axis=1)[:, len(c) - k]
         else:
             reached = np.full(to - at, -np.inf)
-        near = ~own & (score + slack >= reached[:, None])
+        near = ~own & (high >= reached[:, None])
         for i in range(to - at):
             js = np.flatnonzero(near[i])
-            exact = np.einsum("ij,j->i", c[js], q[at + i])
+            with np.errstate(over="ignore", invalid="ignore"):
+                exact = np.einsum("ij,j->i", c[js], q[at + i])
             out += [(qid[at + i], j, -s) for s, j in _best(cid[js], exact, k)]
     return out
 
@@ -107,7 +125,8 @@ def nearest(
     """The k nearest candidates of each query: query_id, rank, vec_id, score.
 
     Ties go to the smaller id; a query is never its own neighbour. Null, zero and non-finite
-    vectors and null ids take no part. Rows that repeat an id count as separate candidates.
+    vectors and null ids take no part. Finite components may be as large or small as doubles are; a score that
+    overflows is infinite, or last if it is no number. Rows that repeat an id count as separate candidates.
     Only vectors of one dimension are compared. Empty tables give an empty result.
     """
     spark = candidates.sparkSession

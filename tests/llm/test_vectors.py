@@ -117,3 +117,19 @@ def test_repeated_and_null_ids(spark):
         (None, 2, 9, False), (None, 2, 9, False), (9, 2, 9, True),
         (None, 1, None, True), (None, 1, None, True), (4, 0, 4, True), (4, 0, 4, True),
     ], key=str)
+
+
+def test_extreme_vectors_keep_their_neighbours():
+    rng = np.random.default_rng(12)
+    x = rng.standard_normal((70, 6))
+    for at, factor in ((3, 1e160), (9, 1e200), (20, 1e-200), (33, 1e-310), (41, 1e155), (50, 1e300)):
+        x[at] *= factor
+    x[60] = [5e-324, 0, 0, 0, 0, 0]
+    x[61] = [0, 1e308, 0, 0, 0, 1e-308]
+    ids = np.arange(70)
+    for query in (0, 3, 20, 33, 50, 60, 61):
+        found = block_knn.tile_search(ids[[query]], x[[query]], ids, x, k=5, tile=16)
+        with np.errstate(over="ignore", invalid="ignore"):
+            scores = np.einsum("ij,j->i", x, x[query])
+        order = sorted((-s, i) for i, s in enumerate(np.where(np.isnan(scores), -np.inf, scores).tolist()) if i != query)
+        assert [(j, s) for _, j, s in found] == [(i, -s) for s, i in order[:5]], query
