@@ -319,7 +319,7 @@ def test_stream_takes_new_files_only_and_later_files_win(spark, rows, tmp_path):
 def test_ranges_of_the_duration_curve_follow_the_data(spark, monkeypatch):
     asked = []
     ranked = kpi.rank_descending
-    monkeypatch.setattr(kpi, "rank_descending", lambda df, value, buckets=None: asked.append(buckets) or ranked(df, value, buckets))
+    monkeypatch.setattr(kpi, "rank_descending", lambda df, value, buckets=None, **more: asked.append(buckets) or ranked(df, value, buckets, **more))
     prices = spark.createDataFrame([(float(i),) for i in range(5)], "da double")
     got = kpi.duration_curve(prices).collect()
     assert asked == [None] and sorted(r["price"] for r in got) == [0.0, 1.0, 2.0, 3.0, 4.0]
