@@ -48,6 +48,7 @@ def op2_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
         *(count(rank).alias(f"n_{kind}") for rank, kind in enumerate(pii_crf.KINDS)),
         F.sha2(pii_crf.as_text(base).cast("binary"), 256).alias("base_sha256"),
         pii_crf.as_text(spans).alias("spans"),
+        F.size(spans).cast("long").alias("n_spans"),
     )
 
 

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridmarts.llm import pii_crf, secret_ledger, target_mixing, toxic_segments
+from gridmarts.llm import pii_crf, queries, secret_ledger, target_mixing, toxic_segments
 from gridmarts.llm.common import new_folder, scratch
 
 # --- personal data -----------------------------------------------------------------
@@ -52,11 +52,10 @@ def test_the_field_learns_its_table(field):
     right = wrong = 0
     fresh = pii_crf.labelled_rows(seed=99)  # other digits
     for text, spans in zip(fresh["text"], fresh["spans"]):
-        for stretch in pii_crf.tokens_near(text):
-            labels = field.decode([pii_crf.token_features(text, stretch)])[0][0]
-            for (a, b), got in zip((pii_crf.core(text, t) for t in stretch), labels):
-                want = next((k for lo, hi, k in spans if a < hi and b > lo), "O")
-                right, wrong = right + (pii_crf.LABELS[got] == want), wrong + (pii_crf.LABELS[got] != want)
+        labels = field.decode([pii_crf.stretch_features(text.split())])[0][0]
+        for (a, b), got in zip((pii_crf.core(text, m.span()) for m in pii_crf.TOKEN.finditer(text)), labels):
+            want = next((k for lo, hi, k in spans if a < hi and b > lo), "O")
+            right, wrong = right + (pii_crf.LABELS[got] == want), wrong + (pii_crf.LABELS[got] != want)
     assert right / (right + wrong) > 0.97
 
 
@@ -77,11 +76,85 @@ def test_viterbi_and_posteriors_equal_enumeration(field):
             assert math.isclose(sure[0][t], chance[paths[:, t] == labels[0][t]].sum(), rel_tol=1e-9)
 
 
+def added(field, texts):
+    base = [pii_crf.base_spans(t) for t in texts]
+    return pii_crf.added_spans(texts, base, pii_crf.Scorer(field), 0.6)
+
+
 def test_added_spans(field):
     texts = ["call (456) 555-2186, thanks", "max (at) firma.de it is", "in 1999, 200 people", "Version 2.0. See there", ""]
-    base = [pii_crf.base_spans(t) for t in texts]
-    added = pii_crf.added_spans(texts, base, field, 0.9)
-    assert [[t[a:b] for a, _, b in x] for t, x in zip(texts, added)] == [["(456) 555-2186"], ["max (at) firma.de"], [], [], []]
+    texts += ["ring 02 99 12 34 56 now", "so jo(at)host.org is", "x ann at web dot com y", "look at the dot com boom"]
+    found = [[t[a:b] for a, _, b in x] for t, x in zip(texts, added(field, texts))]
+    assert found == [
+        ["(456) 555-2186"], ["max (at) firma.de"], [], [], [], ["02 99 12 34 56"], ["jo(at)host.org"], ["ann at web dot com"], [],
+    ]
+
+
+# sentences that the labelled table does not have
+HELD_OUT = (
+    "you can phone {phone:###-###-####} before noon",
+    "please dial {phone:(###) ###-####} or",
+    "their number: {phone:0# ## ## ## ##}.",
+    "ring {phone:###.###.####} tonight",
+    "contact {email:maria at posteo dot net} about it",
+    "drop a line to {email:k.meyer(at)uni-ulm.de}, we",
+    "reply to {email:sales [at] shop [dot] com} soon",
+    "(see {email:lee(at)acme.org})",
+    "to order, fax {phone:(###)###-####} any day",
+    "kindly write {email:office (at) mills.net} first",
+    "we met at the dot of noon in June ####",
+    "at ##:## the dot on row # turned red",
+    "chapter ## has ### pages and #### words",
+    "the price rose ##.## at ## percent",
+    "born ##/##/####, ID ###-##-####",
+    "Version #.##.# at release ####",
+    "A.B. Smith at Acme. Com is short",
+)
+
+
+def test_the_field_adds_what_the_base_rules_miss(field):
+    rng, hit, extra, missed = random.Random(5), 0, 0, 0
+    for template in HELD_OUT * 20:
+        text, want = "", set()
+        for part in re.split(r"(\{\w+:[^}]*\})", template):
+            kind, _, body = part[1:-1].partition(":") if part.startswith("{") else ("", "", part)
+            body = re.sub("#", lambda m: rng.choice("123456789"), body)
+            if kind:
+                want.add((len(text), len(pii_crf.KINDS) + pii_crf.KINDS.index(kind), len(text) + len(body)))
+            text += body
+        assert not {(a, r + len(pii_crf.KINDS), b) for a, r, b in pii_crf.base_spans(text)} & want
+        got = set(added(field, [text])[0])
+        hit, extra, missed = hit + len(got & want), extra + len(got - want), missed + len(want - got)
+    assert hit / (hit + missed) >= 0.9 and hit / (hit + extra) >= 0.95, (hit, extra, missed)
+
+
+def test_windows_give_the_labels_of_whole_texts(field):
+    """Long texts are decoded in windows with context; texts of one slice do not see each other."""
+    rng = random.Random(3)
+    bits = ["call", "(456) 555-2186", "ann at web dot com", "max (at) firma.de", "200", "people", "the", "02 99 12 34 56", "Version", "2.0."]
+    texts = [" ".join(rng.choices(bits, k=k)) for k in (0, 1, 60, 700, 5)]
+    scorer = pii_crf.Scorer(field)
+    for text, got in zip(texts, scorer.labels([t.split() for t in texts])[0]):
+        if text:
+            assert got.tolist() == field.decode([pii_crf.stretch_features(text.split())])[0][0].tolist()
+        else:
+            assert len(got) == 0
+
+
+def test_personal_data_query(spark, tmp_path):
+    """The contract columns against the rules as they are written."""
+    texts = ["a@b.cd +49 30 1234567, 1.2.3.4", None, "", "4111 1111 1111 1111", "so jo(at)host.org is", "x" * 9000 + " 9.9.9.9 " + "y" * 9000]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries.op2_pii_crf(spark, str(tmp_path)).collect()}
+    assert sorted(got) == list(range(len(texts)))
+    for i, text in enumerate(texts):
+        want = plain_spans(text or "")
+        written = ",".join(f"{pii_crf.KINDS[r]}:{a}:{b}" for a, r, b in want)
+        assert got[i]["base_sha256"] == hashlib.sha256(written.encode()).hexdigest()
+        counts = [got[i][f"n_{k}"] for k in pii_crf.KINDS]
+        assert counts == [sum(r == rank for _, r, _ in want) for rank in range(4)]
+        assert [x for x in got[i]["spans"].split(",") if x and not x.startswith("crf_")] == [x for x in written.split(",") if x]
+    assert got[4]["spans"] == "crf_email:3:17" and got[4]["n_spans"] == 1
 
 
 def test_personal_data_of_awkward_rows(awkward, nothing):
