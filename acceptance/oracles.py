@@ -517,6 +517,10 @@ _RELATIONS_AND_SELECT: dict[str, tuple[list[str], str]] = {
         [*_LMPS, _upserted(_UPSERT_BATCH, _SAME_WITH_SPREAD)],
         "SELECT *, CAST(date_trunc('month', hour_beginning_utc) AS DATE) AS month_utc FROM merged",
     ),
+    "upsert_lmps_by_file": (
+        [*_LMPS, _upserted(_UPSERT_BATCH, _SAME_WITH_SPREAD)],
+        "SELECT *, CAST(date_trunc('month', hour_beginning_utc) AS DATE) AS month_utc FROM merged",
+    ),
     "upsert_schema_evolution": ([*_LMPS, _upserted(_BATCH, _SAME)], "SELECT * FROM merged"),
     "refresh_mart_lmps": (
         _LMPS,

@@ -14,6 +14,7 @@ from acceptance import feeds
 from gridmarts import schemas
 from gridmarts.functions.means import exact_mean
 from gridmarts.functions.timeparse import naive, us_wall_clock, wall_clock
+from gridmarts.operators.file_upsert import upsert_files
 from gridmarts.operators.quality import check_not_null, check_unique, observed
 from gridmarts.operators.upsert import (
     merge_frames,
@@ -488,6 +489,18 @@ def upsert_lmps(spark, sf_dir):
     return read_table(spark, path)
 
 
+@query
+def upsert_lmps_by_file(spark, sf_dir):
+    """As above, in which only files with a key of the batch are written anew."""
+    path = _new_folder(spark, "upsert-files")
+    mart = _mart_lmps(spark, sf_dir)
+    history = mart.filter(F.col(HOUR) <= naive(CUT)).withColumn("da_rt_spread", F.lit(None).cast("double"))
+    write_history(path, history, schemas.MART_LMPS_KEY, HOUR, "month")
+    batch = newer_than(mart, read_table(spark, path), HOUR, lookback_hours=OVERLAP_HOURS)
+    upsert_files(spark, path, batch, schemas.MART_LMPS_KEY, HOUR, "month")
+    return read_table(spark, path)
+
+
 @query
 def upsert_schema_evolution(spark, sf_dir):
     """The batch brings a column that the stored rows do not have."""

@@ -79,10 +79,11 @@ def merge_frames(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFr
     is stored once, however often it is brought. Columns that only one side has are kept
     and filled with NULL.
     """
-    return _merged(target, _one_per_key(batch, keys), keys)
+    return merge_batch(target, one_per_key(batch, keys), keys)
 
 
-def _merged(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+def merge_batch(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """:func:`merge_frames` for a batch that has one row per key already."""
     if any(f.nullable for f in target.select(*keys).schema):
         target = _without_repeats(target, batch, keys)
     # distinct() shrinks repeated keys before the shuffle, and the anti join can be split
@@ -96,7 +97,7 @@ def _any_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def _one_per_key(batch: DataFrame, keys: list[str]) -> DataFrame:
+def one_per_key(batch: DataFrame, keys: list[str]) -> DataFrame:
     """The newest row of each key. Rows with a NULL key all stay, whole repeats once."""
     order = [LANDED] if LANDED in batch.columns else []
     whole = batch.filter(~_any_null(keys))
@@ -131,15 +132,15 @@ def upsert_table(
     folder = FOLDERS[unit]
     # Read three times below, and often the result of a large join.
     ready_to_checkpoint(spark)
-    batch = _one_per_key(batch, keys)
+    batch = one_per_key(batch, keys)
     batch = batch.withColumn(folder, period_start(F.col(time_col), unit)).checkpoint()
     starts = [row[0] for row in batch.select(folder).distinct().collect()]
     if not starts:
         return
     names = [f"{folder}={start or '__HIVE_DEFAULT_PARTITION__'}" for start in starts]
     touched = read_table(spark, path, *names)
-    merged = batch if touched is None else _merged(touched, batch, keys)
-    write_partitioned(merged, path, folder, _sorting(keys, time_col), replace_all=False)
+    merged = batch if touched is None else merge_batch(touched, batch, keys)
+    write_partitioned(merged, path, folder, sorting(keys, time_col), replace_all=False)
 
 
 def write_history(
@@ -148,8 +149,8 @@ def write_history(
     """Write a table anew, in the layout that :func:`upsert_table` maintains."""
     folder = FOLDERS[unit]
     rows = rows.withColumn(folder, period_start(F.col(time_col), unit))
-    write_partitioned(rows, path, folder, _sorting(keys, time_col))
+    write_partitioned(rows, path, folder, sorting(keys, time_col))
 
 
-def _sorting(keys: list[str], time_col: str) -> list[str]:
+def sorting(keys: list[str], time_col: str) -> list[str]:
     return [k for k in keys if k != time_col] + [time_col]

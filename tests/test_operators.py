@@ -3,6 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from gridmarts.operators import file_upsert
 from gridmarts.operators.latest import latest_by
 from gridmarts.operators.quality import check_not_null, check_unique
 from gridmarts.operators.ranking import rank_descending
@@ -101,6 +102,82 @@ def test_upsert_table(spark, rows, tmp_path, unit):
         assert all(p.stat().st_mtime_ns == before[p] for p in untouched)
 
 
+def files_of(path):
+    return {p: p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+def stored_in_files(spark, path, parts=4):
+    """One day in several files, each with nodes of its own, and a day that no batch touches."""
+    for node in range(parts):
+        rows = [(hour(1, h), node, 1.0 * node) for h in range(24)] + [(hour(2), node, 5.0)]
+        one = table(spark, *rows).withColumn("date_utc", F.to_date("t")).coalesce(1)
+        one.write.mode("append").partitionBy("date_utc").parquet(str(path))
+
+
+def test_one_row_rewrites_one_file(spark, rows, tmp_path):
+    path = tmp_path / "a table"  # names of files come as URIs
+    stored_in_files(spark, path)
+    before = files_of(path)
+    batch = table(spark, (hour(1, 3), 2, 99.0))
+    assert len(file_upsert.upsert_files(spark, str(path), batch, KEYS, "t")) == 1
+    after = files_of(path)
+    assert len(after) == len(before) and len([p for p in before if after.get(p) == before[p]]) == len(before) - 1
+    got = read_table(spark, str(path))
+    assert got.count() == 4 * 25
+    assert rows(got.where("price = 99"), "t", "node", "price") == [(hour(1, 3), 2, 99.0)]
+    assert {p.name for p in path.iterdir() if p.name.startswith("_s") or p.name.startswith("_r")} == set()
+
+
+@pytest.mark.parametrize("unit", ["day", "month"])
+def test_upsert_by_file_equals_upsert_by_folder(spark, rows, tmp_path, unit):
+    first = table(spark, (hour(1), 1, 1.0), (hour(2), 1, 2.0), (None, 5, 9.0), (hour(2), None, 4.0))
+    batches = [
+        table(spark, (hour(2), 1, 20.0), (hour(2), 1, 21.0), (hour(3), 1, 3.0), (None, 5, 9.0), (hour(2), None, 4.0)),
+        table(spark),
+        table(spark, (hour(1), 7, 1.5), (None, 6, 1.0)).withColumn("note", F.lit("new")),
+    ]
+    one, other = str(tmp_path / "files"), str(tmp_path / "folders")
+    for batch in [first, *batches, *batches]:
+        file_upsert.upsert_files(spark, one, batch, KEYS, "t", unit)
+        upsert_table(spark, other, batch, KEYS, "t", unit)
+        columns = [c for c in ("t", "node", "price", "note") if c in read_table(spark, other).columns]
+        assert rows(read_table(spark, one), *columns) == rows(read_table(spark, other), *columns)
+
+
+def test_a_broken_exchange_is_carried_through(spark, rows, tmp_path, monkeypatch):
+    """The driver dies before, or in the middle of, the exchange of files."""
+    path = tmp_path / "table"
+    stored_in_files(spark, path)
+    whole, calls = file_upsert.finish_exchange, []
+
+    def dies(spark, path):
+        calls.append(path)
+        if len(calls) == 2:  # the first call only looks for leftovers
+            raise KeyboardInterrupt
+        whole(spark, path)
+
+    monkeypatch.setattr(file_upsert, "finish_exchange", dies)
+    batch = table(spark, (hour(1, 3), 2, 99.0), (hour(4), 2, 4.0))
+    with pytest.raises(KeyboardInterrupt):
+        file_upsert.upsert_files(spark, str(path), batch, KEYS, "t")
+    assert read_table(spark, str(path)).count() == 4 * 25  # nothing seen of it yet
+    # one of the two staged files has moved already
+    staged = next((path / "_staged").rglob("date_utc=2024-01-01/*.parquet"))
+    staged.rename(path / "date_utc=2024-01-01" / staged.name)
+    file_upsert.upsert_files(spark, str(path), table(spark), KEYS, "t")
+    got = read_table(spark, str(path))
+    assert got.count() == 4 * 25 + 1
+    assert rows(got.where("price = 99 or t = '2024-01-04'"), "t", "node", "price") == [(hour(1, 3), 2, 99.0), (hour(4), 2, 4.0)]
+
+
+def test_what_was_staged_without_a_list_goes(spark, tmp_path):
+    path = tmp_path / "table"
+    stored_in_files(spark, path)
+    table(spark, (hour(9), 9, 9.0)).write.parquet(str(path / "_staged" / "date_utc=2024-01-09"))
+    file_upsert.finish_exchange(spark, str(path))
+    assert read_table(spark, str(path)).count() == 4 * 25 and not (path / "_staged").exists()
+
+
 def test_upsert_of_nothing(spark, tmp_path):
     path = str(tmp_path / "table")
     upsert_table(spark, path, table(spark), KEYS, "t")
