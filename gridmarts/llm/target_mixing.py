@@ -26,7 +26,7 @@ from itertools import count
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmarts.llm.common import Scratch, scratch, whole_text
+from gridmarts.llm.common import Scratch, fresh, scratch, whole_text
 
 WORD_GAP = r"[^\p{L}]+"
 PATIENCE = 20  # steps without gain after which targets count as out of reach
@@ -163,30 +163,37 @@ def mixed(
     ``labelled`` has text and domain. ``targets`` maps domains to shares. Documents with equal
     id and text share a rate. Null and empty texts have no tokens, no part in the fit, and the rate
     that a text of no known domain gets. ``limits`` are those of ``fit_rates``, which also says what
-    happens when targets cannot be met. Columns of the added names are replaced. Empty tables give an
-    empty result.
+    happens when targets cannot be met. A domain without a labelled row cannot be told from others: its
+    posterior is 0, its share falls to the others in proportion, and a warning names it. Columns of the added
+    names are replaced. Empty tables give an empty result.
     """
     spark = documents.sparkSession
-    domains = sorted(targets)
+    all_domains = sorted(targets)
+    present = {r[0] for r in labelled.where(F.col("domain").isin(all_domains)).select("domain").distinct().collect()}
+    domains = [d for d in all_domains if d in present] or all_domains
+    if len(domains) < len(all_domains):
+        warnings.warn(f"no labelled row of {sorted({*all_domains} - present)}: their shares go to the others", stacklevel=2)
+    node = fresh(documents, "node")
     with scratch(spark, "mixing") as tables:
-        rows = documents.withColumn("_node", F.xxhash64(F.col(id_column), whole_text(text_column)))
+        rows = documents.withColumn(node, F.xxhash64(F.col(id_column), whole_text(text_column)))
         lexicon = tables.store(learn(labelled, domains), "lexicon")
-        plain = rows.select(F.col("_node").alias("node"), whole_text(text_column).alias("text"))
+        plain = rows.select(F.col(node).alias("node"), whole_text(text_column).alias("text"))
         counted = tables.store(memberships(plain, lexicon, domains), "members")
         # repeated rows were counted together: their words count once per row
-        copies = rows.groupBy(F.col("_node").alias("node")).agg(F.count("*").alias("weight"))
+        copies = rows.groupBy(F.col(node).alias("node")).agg(F.count("*").alias("weight"))
         members = counted.join(copies, "node").withColumn("n", (F.col("n") / F.col("weight")).cast("long"))
         rates = fit_rates(members, [targets[d] for d in domains], tables, **limits)
+        shares = [F.element_at("p", domains.index(d) + 1) if d in domains else F.lit(0.0) for d in all_domains]
         out = tables.store(
             rates.select(
-                F.col("node").alias("_node"), F.col("n").alias("n_tokens"), F.col("p").alias("posteriors"), "rate"
+                F.col("node").alias(node), F.col("n").alias("n_tokens"), F.array(*shares).alias("posteriors"), "rate"
             ),
             "result",
         )
-    chance = F.pmod(F.xxhash64(F.lit("copies"), "_node"), F.lit(1 << 30)) / float(1 << 30)
+    chance = F.pmod(F.xxhash64(F.lit("copies"), node), F.lit(1 << 30)) / float(1 << 30)
     whole = (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("int")).cast("int")
     clash = [c for c in ("n_tokens", "posteriors", "rate", "copies") if c in documents.columns]
-    return rows.drop(*clash).join(out, "_node").withColumn("copies", whole).drop("_node")
+    return rows.drop(*clash).join(out, node).withColumn("copies", whole).drop(node)
 
 
 def bounded_labels(documents: DataFrame, domain_column: str = "lang", most_rows: int = 20_000) -> DataFrame:

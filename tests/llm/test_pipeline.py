@@ -1,10 +1,13 @@
 """Stages of the corpus pipeline on small tables."""
 
+import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import types as T
 
 import corpus_pipeline
+from gridmarts.llm import target_mixing
 
 DOCUMENTS = T.StructType(
     [
@@ -34,3 +37,43 @@ def test_clashing_and_null_ids_lose_only_near_duplicates(spark, words):
     # only null ids: one copy stays, and nothing is left over of an empty table
     only = docs.where("doc_id is null and length(text) > 9")
     assert corpus_pipeline.minhash(spark, only, "").count() == 2
+
+
+def test_run_over_a_corpus_that_lacks_languages(spark, words, tmp_path):
+    """All stages, in which two of the four target languages are absent and some rows hold nothing."""
+    good = {f: words(s, 400).split() for f, s in (("en", 31), ("de", 32))}
+    rows, labels = [], []
+    for i in range(80):
+        lang = ("en", "de")[i % 2]
+        text = " ".join(random.Random(i).choices(good[lang], k=60))
+        if i % 8 == 0:
+            text += " vile filth scum vile filth scum rotten vile"
+        rows.append((i, text, lang))
+        labels.append((i, int(i % 8 == 0)))
+    rows += [(100, rows[3][1], "de"), (101, rows[3][1].upper(), "de"), (102, None, None), (103, "", "en")]
+    rows.append((104, words(33, 40) + " password=Abcdef123456 " + words(34, 40), "en"))
+    docs = spark.createDataFrame([(i, t, g, "x", len(t or "")) for i, t, g in rows], DOCUMENTS)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    with pytest.warns(UserWarning, match="'es', 'fr'"):
+        pieces = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
+    kept = set(pieces["doc_id"])
+    assert {100, 101} & kept == set() and {102, 103, 104} <= kept
+    assert {i for i in range(80) if i % 8} <= kept
+    # places in a sequence follow one another without gaps, and none is too long
+    for _, own in pieces.groupby("sequence_id"):
+        own = own.sort_values("offset")
+        assert own["offset"].tolist() == [0, *own["length"].cumsum().tolist()[:-1]] and own["length"].sum() <= 2048
+
+
+def test_mixing_of_absent_languages_and_clashing_names(spark, words):
+    docs = spark.createDataFrame([(i, words(i % 2, 30), ("en", "de")[i % 2], i) for i in range(20)], "doc_id long, text string, lang string, _node int")
+    with pytest.warns(UserWarning, match="no labelled row"):
+        got = target_mixing.mixed(docs, target_mixing.bounded_labels(docs), {"de": 0.3, "en": 0.3, "fr": 0.4})
+    rows = got.collect()
+    assert [r["_node"] for r in sorted(rows)] == list(range(20))
+    assert all(r["posteriors"][2] == 0 and abs(sum(r["posteriors"]) - 1) < 1e-9 for r in rows)
+
+
+def test_mixing_of_an_empty_table(spark):
+    assert corpus_pipeline.mixing(spark, spark.createDataFrame([], DOCUMENTS), "").count() == 0
