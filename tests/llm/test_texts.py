@@ -259,6 +259,22 @@ def test_base_secrets_are_those_of_the_rules(spark):
         assert r["clean"] == out + texts[r["path"]][at:]
 
 
+def test_secrets_query(spark, tmp_path):
+    """The contract columns against the rules as they are written, null and empty texts among them."""
+    texts = [None, "", *secret_texts()[:400], "AKIA" + "Z" * 16, "x" * 9000 + " token=abcdef"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries.op5_secret_ledger(spark, str(tmp_path)).collect()}
+    assert sorted(got) == list(range(len(texts)))
+    kinds = [r.kind for r in secret_ledger.BASE_RULES]
+    for i, text in enumerate(texts):
+        want = plain_secrets(text or "")
+        written = [f"{kind}:{a}:{b}" for a, _, b, kind in want]
+        assert got[i]["base_sha256"] == hashlib.sha256(",".join(written).encode()).hexdigest(), text
+        assert [got[i][f"n_{k}"] for k in kinds] == [sum(w[3] == k for w in want) for k in kinds]
+        spans = [x for x in got[i]["spans"].split(",") if x.split(":")[0] in kinds]
+        assert spans == [x for x in written if x]
+
+
 def test_only_unseen_pairs_are_scanned(spark, awkward, nothing):
     ledger = new_folder(spark, "ledger")
     old, new = "password=abcdef1", "token: 123456789"
