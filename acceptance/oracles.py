@@ -436,6 +436,10 @@ _RELATIONS_AND_SELECT: dict[str, tuple[list[str], str]] = {
         [*_RT_5MIN_ONLY, _recent("rt_recent", "rt_5min", _RT_COLUMNS)],
         "SELECT * FROM rt_recent",
     ),
+    "tier_recent_rolling": (
+        [*_RT_5MIN_ONLY, _recent("rt_recent", "rt_5min", _RT_COLUMNS)],
+        "SELECT * FROM rt_recent",
+    ),
     "tier_recent_da": (
         [*_DA_FEED_ONLY, _recent("da_recent", "da_feed", _DA_COLUMNS)],
         "SELECT * FROM da_recent",

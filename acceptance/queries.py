@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +23,7 @@ from gridmarts.operators.upsert import (
     upsert_table,
     write_history,
 )
-from gridmarts.plans import changes, dims, kpi, marts, series, staging, tiers
+from gridmarts.plans import changes, dims, kpi, marts, rolling, series, staging, tiers
 from gridmarts.session import shared_folder
 from gridmarts.sources import catalog, normalise, pages, sinks
 from gridmarts.sources.feeds import conform, feed_window, first_landed, scan_feed, union_feeds
@@ -363,6 +363,24 @@ def tier_recent_da(spark, sf_dir):
     return tiers.recent_da(feed, _newest(feed))
 
 
+@query
+def tier_recent_rolling(spark, sf_dir):
+    """The recent tier moved along three times; some rows of the days it holds land late."""
+    path = _new_folder(spark, "rolling")
+    feed = feeds.landed(spark, sf_dir, "rt_5min")
+    when = us_wall_clock(F.col("datetime_beginning_ept"))
+    newest = feed.agg(F.max(when)).collect()[0][0]
+    moves = [newest - timedelta(days=8), newest - timedelta(days=3), newest]
+    late = F.minute(when) < 10
+    landed = F.when(late, 2).when(when < F.lit(moves[0]), 0).when(when < F.lit(moves[1]), 1).otherwise(2)
+    for number, as_of in enumerate(moves):
+        sinks.write_feed(feed.filter(landed == number), f"{path}/rt_5min", part=f"part{number}")
+        rolling.refresh_recent(
+            spark, f"{path}/tier", "rt_5min", f"{path}/rt_5min", f"{path}/checkpoint", tiers.recent_rt, as_of
+        )
+    return rolling.read_recent(spark, f"{path}/tier", newest)
+
+
 @query
 def tier_half_year(spark, sf_dir):
     path = _new_folder(spark, "halves")

@@ -69,7 +69,7 @@ def upsert_files(
         finish_exchange(spark, path)
         return old
     finally:
-        place, files = _files(spark, own)
+        place, files = files_at(spark, own)
         files.delete(place, True)
 
 
@@ -78,28 +78,29 @@ def finish_exchange(spark: SparkSession, path: str) -> None:
 
     Every step can be repeated: a file that has moved is no longer staged, one that is gone is not deleted again.
     """
-    listed, files = _files(spark, f"{path}/{REPLACED}")
-    staged, _ = _files(spark, f"{path}/{STAGED}")
-    if files.exists(_files(spark, f"{path}/{REPLACED}/_SUCCESS")[0]):
+    listed, files = files_at(spark, f"{path}/{REPLACED}")
+    staged, _ = files_at(spark, f"{path}/{STAGED}")
+    if files.exists(files_at(spark, f"{path}/{REPLACED}/_SUCCESS")[0]):
         old = [r[0] for r in spark.read.text(f"{path}/{REPLACED}").collect()]
         folders = files.listStatus(staged) if files.exists(staged) else []
         for folder in folders:
             if not folder.isDirectory():
                 continue
-            target, _ = _files(spark, f"{path}/{folder.getPath().getName()}")
+            target, _ = files_at(spark, f"{path}/{folder.getPath().getName()}")
             files.mkdirs(target)
             for file in files.listStatus(folder.getPath()):
-                to, _ = _files(spark, f"{path}/{folder.getPath().getName()}/{file.getPath().getName()}")
+                to, _ = files_at(spark, f"{path}/{folder.getPath().getName()}/{file.getPath().getName()}")
                 if not files.rename(file.getPath(), to):
                     raise OSError(f"could not move {file.getPath()} to {to}")
         for name in old:
-            files.delete(_files(spark, name)[0], False)
+            files.delete(files_at(spark, name)[0], False)
         spark.catalog.refreshByPath(path)
     files.delete(staged, True)
     files.delete(listed, True)
 
 
-def _files(spark: SparkSession, path: str):
+def files_at(spark: SparkSession, path: str):
+    """The path as the store knows it, and the store."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
