@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmarts.functions.labels import period_start
-from gridmarts.operators.upsert import FOLDERS, merge_batch, one_per_key, read_table, sorting
+from gridmarts.operators.upsert import FOLDERS, merge_batch, newest_per_key, read_table, sorting
 from gridmarts.session import shared_folder
 from gridmarts.sources.sinks import write_partitioned
 
@@ -49,7 +49,7 @@ def upsert_files(
     finish_exchange(spark, path)
     folder = FOLDERS[unit]
     own = f"{shared_folder(spark)}/upsert-batch-{uuid.uuid4().hex}"
-    rows = one_per_key(batch, keys).withColumn(folder, period_start(F.col(time_col), unit))
+    rows = newest_per_key(batch, keys).withColumn(folder, period_start(F.col(time_col), unit))
     rows.write.parquet(own)  # read four times below, and often the result of a large join
     try:
         batch = spark.read.schema(rows.schema).parquet(own)

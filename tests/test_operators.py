@@ -71,6 +71,18 @@ def test_merge_gives_one_row_per_key(spark, rows):
     assert rows(merged) == [(hour(1), 1, 5.0), (hour(1), None, 3.0)]
 
 
+def test_rows_of_a_key_stay_where_none_is_newer(spark, rows, tmp_path):
+    """As in a table built anew, whatever the number of times that they come."""
+    stored = table(spark, (hour(1), 1, 1.0), (hour(1), 2, 2.0))
+    batch = table(spark, (hour(1), 1, 9.0), (hour(1), 1, 5.0))
+    expected = [(hour(1), 1, 5.0), (hour(1), 1, 9.0), (hour(1), 2, 2.0)]
+    assert rows(merge_frames(stored, batch, KEYS)) == expected
+    write_history(str(tmp_path / "table"), stored, KEYS, "t")
+    for _ in range(2):
+        upsert_table(spark, str(tmp_path / "table"), batch, KEYS, "t")
+        assert rows(read_table(spark, str(tmp_path / "table")), "t", "node", "price") == expected
+
+
 def test_merge_with_new_and_missing_columns(spark, rows):
     stored = table(spark, (hour(1), 1, 1.0), (hour(1), 2, 2.0))
     batch = spark.createDataFrame([(hour(1), 2, "new")], "t timestamp_ntz, node int, note string")

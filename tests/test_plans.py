@@ -121,6 +121,21 @@ def test_refresh_with_lookback(spark, rows, tmp_path):
     assert rows(read_table(spark, path), "total_lmp_da", "total_lmp_rt") == [(1.0, 1.5), (2.0, 2.5), (3.0, 3.5)]
 
 
+def test_refresh_gives_what_a_full_build_gives(spark, rows, tmp_path):
+    """The skipped hour of spring and the next are one instant: both rows stay, in whichever run they come."""
+    hours = [("3/9/2025 0:00", 1.0), ("3/10/2024 2:00", 2.0), ("3/10/2024 3:00", 3.0)]
+    da = da_feed(spark, *[(t, "1", "A", "ZONE", "A", p) for t, p in hours])
+    rt = rt_feed(spark, *[(t, "1", "A", "ZONE", "A", p + 0.5) for t, p in hours[:2]])
+    whole = marts.build_mart_lmps(staging.stage_da(da), staging.stage_rt(rt))
+    assert whole.count() == 3
+    for early in ("false", "datetime_beginning_ept = '3/10/2024 2:00'", "true"):
+        path = str(tmp_path / f"mart{len(early)}")
+        marts.refresh_mart_lmps(spark, path, da.filter(early), rt.filter(early))
+        for _ in range(2):
+            marts.refresh_mart_lmps(spark, path, da, rt, lookback_hours=24 * 400)
+            assert rows(read_table(spark, path).drop("date_utc")) == rows(whole)
+
+
 def test_refresh_of_load(spark, rows, tmp_path):
     path = str(tmp_path / "mart")
     load = spark.createDataFrame(
