@@ -33,7 +33,8 @@ def unwrap_pages(
     ``rejected`` such pages are written to that folder instead, with the files they come from.
     """
     text = spark.read.text(path, wholetext=whole_file)
-    text = text.select("value", F.col("_metadata.file_path").alias("file")).filter(F.trim("value") != "")
+    text = text.select("value", F.col("_metadata.file_path").alias("file"))
+    text = text.filter(F.btrim("value", F.lit(" \t\r\n")) != "")
     parse = F.parse_json if rejected is None else F.try_parse_json
     if rejected is not None:
         bad = text.filter(F.try_parse_json("value").isNull())
