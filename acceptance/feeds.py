@@ -115,7 +115,9 @@ def forecast_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"
     )
     lines = _hourly_lines(spark, sf_dir).select("l_orderkey", "h", "k", "l_quantity")
-    return lines.join(orders, "l_orderkey").select(
+    rows = lines.join(orders, "l_orderkey").select("o_orderdate", "h", "k", "l_quantity")
+    # a row for every line: dealt before it has its texts, which are several times as wide
+    return rows.hint("rebalance", F.col("h"), F.col("o_orderdate")).select(
         _text(F.col("o_orderdate"), _api()).alias("evaluated_at_datetime_ept"),
         _text(F.col("h"), _api()).alias("forecast_datetime_beginning_ept"),
         _node(1).alias("forecast_area"),
@@ -169,7 +171,7 @@ DERIVED = {
 _TIME_AND_NODE = ("datetime_beginning_ept", "pnode_id")
 _SPREAD = {name: _TIME_AND_NODE for name in DERIVED} | {
     "load": ("datetime_beginning_ept", "zone"),
-    "load_forecast": ("forecast_datetime_beginning_ept", "evaluated_at_datetime_ept"),
+    "load_forecast": (),  # dealt in its own rule
 }
 _landed: dict[tuple[str, str, str], str] = {}
 
@@ -179,8 +181,8 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _landed:
         path = f"{shared_folder(spark)}/landed-{name}-{uuid.uuid4().hex}"
-        columns = [F.col(c) for c in _SPREAD[name]]
-        DERIVED[name](spark, sf_dir).hint("rebalance", *columns).write.parquet(path)
+        rows, columns = DERIVED[name](spark, sf_dir), [F.col(c) for c in _SPREAD[name]]
+        (rows.hint("rebalance", *columns) if columns else rows).write.parquet(path)
         _landed[key] = path
     feed = name if name in FEEDS else "da_lmps"
     return scan_feed(spark, _landed[key], feed)

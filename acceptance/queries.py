@@ -98,14 +98,18 @@ def _mart_load(spark, sf_dir):
     return stored_fact(spark, sf_dir, "mart_load").drop("month_utc")
 
 
-def stored_tiers(spark, sf_dir) -> series.Tiers:
-    """The tiers as they are served: written once per application and read from disk."""
-    key = (spark.sparkContext.applicationId, sf_dir, "tiers")
-    if key not in _stored:
-        path = _new_folder(spark, "tiers")
-        tiers.write_tiers(path, mart_lmps=_mart_lmps(spark, sf_dir), mart_load=_mart_load(spark, sf_dir))
-        _stored[key] = path
-    return series.read_tiers(spark, _stored[key])
+def stored_tiers(spark, sf_dir, *facts: str) -> series.Tiers:
+    """The tiers of these facts (of all if none is named) as they are served: written once per application."""
+    held = {}
+    for fact in facts or _FACTS:
+        key = (spark.sparkContext.applicationId, sf_dir, f"tiers of {fact}")
+        if key not in _stored:
+            path = _new_folder(spark, "tiers")
+            tiers.write_tiers(path, **{fact: stored_fact(spark, sf_dir, fact).drop("month_utc")})
+            _stored[key] = path
+        found = series.read_tiers(spark, _stored[key])
+        held |= {name: table for name, table in vars(found).items() if table is not None}
+    return series.Tiers(**held)
 
 
 # --- sources ---------------------------------------------------------------------
@@ -392,7 +396,7 @@ def tier_half_year(spark, sf_dir):
 
 
 def _hourly(spark, sf_dir, location):
-    return series.lmp_series(stored_tiers(spark, sf_dir), *HOURLY_RANGE, location)
+    return series.lmp_series(stored_tiers(spark, sf_dir, "mart_lmps"), *HOURLY_RANGE, location)
 
 
 @query
@@ -426,17 +430,17 @@ def lmp_series_hourly(spark, sf_dir):
 
 @query
 def lmp_series_daily(spark, sf_dir):
-    return series.lmp_series(stored_tiers(spark, sf_dir), *DAILY_RANGE, series.DUQ)
+    return series.lmp_series(stored_tiers(spark, sf_dir, "mart_lmps"), *DAILY_RANGE, series.DUQ)
 
 
 @query
 def load_series_daily(spark, sf_dir):
-    return series.load_series(stored_tiers(spark, sf_dir), *DAILY_RANGE, zone="duq")
+    return series.load_series(stored_tiers(spark, sf_dir, "mart_load"), *DAILY_RANGE, zone="duq")
 
 
 @query
 def load_series_hourly(spark, sf_dir):
-    return series.load_series(stored_tiers(spark, sf_dir), *HOURLY_RANGE, zone="duq")
+    return series.load_series(stored_tiers(spark, sf_dir, "mart_load"), *HOURLY_RANGE, zone="duq")
 
 
 @query
@@ -446,7 +450,7 @@ def kpi_prices(spark, sf_dir):
 
 @query
 def kpi_load(spark, sf_dir):
-    loads = series.load_series(stored_tiers(spark, sf_dir), *HOURLY_RANGE, zone="duq")
+    loads = series.load_series(stored_tiers(spark, sf_dir, "mart_load"), *HOURLY_RANGE, zone="duq")
     return kpi.kpi_load(loads, mean=exact_mean())
 
 
@@ -458,7 +462,7 @@ def freshness(spark, sf_dir):
 @query
 def freshness_long(spark, sf_dir):
     """Every hour of the history, more than any display would ask for."""
-    hours = series.lmp_series(stored_tiers(spark, sf_dir), *DAILY_RANGE, series.DUQ, grain="hourly")
+    hours = series.lmp_series(stored_tiers(spark, sf_dir, "mart_lmps"), *DAILY_RANGE, series.DUQ, grain="hourly")
     return kpi.freshness(hours)
 
 

@@ -90,19 +90,24 @@ def stage_load(raw: DataFrame, iso_zone: str = "UTC", strict: bool = True) -> Da
 
 
 def stage_forecast(raw: DataFrame, iso_zone: str = "UTC", strict: bool = True) -> DataFrame:
-    """Load forecasts, the latest version per area and hour."""
+    """Load forecasts, the latest version per area and hour.
+
+    There are many versions of an hour, so they are reduced by their texts first: rows alike in area, hour and time of
+    issue in a hash aggregate, then versions of an area and hour. Only what is left has its hour parsed and put
+    in UTC, where several texts may mean one hour.
+    """
     raw = _complete(raw, FORECAST_FEED)
-    text = F.col("forecast_datetime_beginning_ept")
-    staged = raw.select(
-        text.alias("time_text"),
-        wall_clock(F.col("evaluated_at_datetime_ept"), strict).alias("evaluated_at_ept"),
-        wall_clock(text, strict).alias("forecast_hour_ept"),
+    issued = raw.groupBy(
         F.trim("forecast_area").alias("forecast_area"),
-        to_double(F.col("forecast_load_mw")).alias("forecast_load_mw"),
-    )
-    versions = _with_utc(staged, "forecast_hour_ept", "forecast_hour_utc", iso_zone)
-    return latest_by(
-        versions,
-        keys=["forecast_area", "forecast_hour_utc"],
-        order=["evaluated_at_ept", "forecast_load_mw"],
+        F.col("forecast_datetime_beginning_ept").alias("time_text"),
+        F.col("evaluated_at_datetime_ept").alias("issue_text"),
+    ).agg(F.max(to_double(F.col("forecast_load_mw"))).alias("forecast_load_mw"))
+    order = ["evaluated_at_ept", "forecast_load_mw"]
+    versions = issued.select(
+        "time_text", wall_clock(F.col("issue_text"), strict).alias("evaluated_at_ept"), "forecast_area", "forecast_load_mw"
     )
+    newest = latest_by(versions, ["forecast_area", "time_text"], order)
+    hour = wall_clock(F.col("time_text"), strict).alias("forecast_hour_ept")
+    staged = newest.select("time_text", "evaluated_at_ept", hour, "forecast_area", "forecast_load_mw")
+    staged = _with_utc(staged, "forecast_hour_ept", "forecast_hour_utc", iso_zone)
+    return latest_by(staged, keys=["forecast_area", "forecast_hour_utc"], order=order)

@@ -3,6 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from acceptance import queries
 from gridmarts import schemas
 from gridmarts.operators.upsert import read_table
 from gridmarts.plans import dims, kpi, marts, series, staging, tiers
@@ -107,6 +108,40 @@ def test_weekend_is_off_peak_and_days_have_24_rows(spark):
     assert calendar.filter("is_peak").count() == 0
 
 
+def test_versions_of_a_forecast_are_reduced_before_times_are_parsed(spark, rows):
+    """Several texts of one hour and of one time of issue; the latest, then greatest, counts."""
+    feed = spark.createDataFrame(
+        [
+            ("1/4/2025 1:00", "1/6/2025 0:00", " DUQ", 4.0),
+            ("2025-01-04 01:00:00", "01/06/2025 00:00", "DUQ ", 6.0),
+            ("1/4/2025 1:00", "1/6/2025 0:00", "DUQ", None),
+            ("1/3/2025 23:00", "2025-01-06 05:00:00", "DUQ", 9.0),
+            (None, "1/6/2025 0:00", "DUQ", 10.0),
+            ("1/4/2025 1:00", "1/6/2025 0:00", None, 2.0),
+            ("1/4/2025 1:00", "1/6/2025 0:00", None, 3.0),
+            (None, None, "AEP", None),
+        ],
+        "evaluated_at_datetime_ept string, forecast_datetime_beginning_ept string, forecast_area string, forecast_load_mw double",
+    )
+    found = staging.stage_forecast(feed)
+    assert rows(found, "forecast_area", "forecast_load_mw", "evaluated_at_ept") == [
+        ("AEP", None, None), ("DUQ", 6.0, datetime(2025, 1, 4, 1)), (None, 3.0, datetime(2025, 1, 4, 1)),
+    ]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 3  # by all texts, by hour and area as texts, by hour and area
+
+
+def test_a_figure_builds_the_tiers_of_its_own_fact_only(spark, monkeypatch):
+    built = []
+    stored = queries.stored_fact
+    monkeypatch.setattr(queries, "stored_fact", lambda s, d, name: built.append(name) or stored(s, d, name))
+    monkeypatch.setattr(queries, "_stored", {})
+    queries.freshness(spark, "/root/testdata/sf0.001")
+    assert built == ["mart_lmps"]
+    queries.kpi_load(spark, "/root/testdata/sf0.001")
+    assert built == ["mart_lmps", "mart_load"]
+
+
 def test_refresh_with_lookback(spark, rows, tmp_path):
     path = str(tmp_path / "mart")
     hours = [("1/5/2025 0:00", 1.0), ("1/5/2025 1:00", 2.0), ("1/6/2025 0:00", 3.0)]
