@@ -35,6 +35,7 @@ from gridmarts.llm.common import Scratch, components, deal_blocks, ready, scratc
 from gridmarts.llm.shingles import WORDS, in_pieces, mix, shingle_sets
 
 SEED = 7_151_623
+PIECE = 500_000  # characters that are hashed at once, which bounds a worker's arrays
 VALUES = "node long, n long, set_low long, set_high long, bands array<long>, sketch binary"
 
 
@@ -62,7 +63,7 @@ def _signed(permutations: int, rows: int, words: int):
     def run(batches):
         for frame in batches:
             texts, nodes = frame["text"].to_list(), frame["node"].to_numpy()
-            for lo, hi in in_pieces(texts):
+            for lo, hi in in_pieces(texts, PIECE):
                 sets = shingle_sets(texts[lo:hi], words)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 out = pd.DataFrame({"node": nodes[lo:hi], "n": [len(s) for s in sets]})
@@ -102,7 +103,7 @@ def _agree(least: int):
 class _Sets:
     """Shingle sets of the rows of a task, made when they are first needed; a bounded number of shingles is kept."""
 
-    def __init__(self, packed: list[bytes], words: int, most: int = 20_000_000):
+    def __init__(self, packed: list[bytes], words: int, most: int = 4_000_000):
         self.packed, self.words, self.most = packed, words, most
         self.known: dict[int, np.ndarray] = {}
         self.held, self.unpack = 0, zstandard.ZstdDecompressor()
@@ -114,7 +115,7 @@ class _Sets:
         for at in range(0, len(new), 64):
             part = new[at : at + 64]
             texts = [self.unpack.decompress(self.packed[r]).decode("utf-8", "surrogatepass") for r in part]
-            for lo, hi in in_pieces(texts):
+            for lo, hi in in_pieces(texts, PIECE):
                 for r, own in zip(part[lo:hi], shingle_sets(texts[lo:hi], self.words)):
                     self.known[r] = own
                     self.held += len(own)
@@ -207,7 +208,8 @@ def _confirm(percent: int, words: int):
         packed, out, against = frame["packed"].to_list(), [], np.empty(0, dtype=np.uint64)
         for at in range(0, len(frame), 64):
             texts = [unpack.decompress(x).decode("utf-8", "surrogatepass") for x in packed[at : at + 64]]
-            for i, own in enumerate(shingle_sets(texts, words), at):
+            sets = (own for lo, hi in in_pieces(texts, PIECE) for own in shingle_sets(texts[lo:hi], words))
+            for i, own in enumerate(sets, at):
                 if is_hub[i]:
                     against = own
                     continue

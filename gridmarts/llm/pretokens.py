@@ -99,7 +99,7 @@ def _contractions(codes: np.ndarray, kind: np.ndarray, first: np.ndarray, starts
 class WordCache:
     """Ids of words by hash: sorted tables, and one flat array of ids."""
 
-    def __init__(self, path: str, most: int = 2_000_000):
+    def __init__(self, path: str, most: int = 500_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = str.maketrans(byte_letters())

@@ -62,7 +62,7 @@ class Model:
         if found is None:
             known = (self.weights[f] for f in features(word) if f in self.weights)
             found = max(LOWEST, min(HIGHEST, next(known, self.base)))
-            if len(self.cache) < 500_000:
+            if len(self.cache) < 100_000:
                 self.cache[word] = found
         return found
 

@@ -5,7 +5,9 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from gridmarts.llm import minmax_hash, suffix_dedup
@@ -153,3 +155,18 @@ def test_splitters_come_from_the_whole_table(spark, words):
     assert len(splitters) == 63 and splitters == sorted(set(splitters))
     own = {rows[0][1].encode()[i : i + 20] for i in range(len(rows[0][1]))}
     assert sum(s in own for s in splitters) < 16
+
+
+def test_pairs_are_confirmed_on_few_characters_at_once(monkeypatch):
+    """However long the texts of a batch are, arrays are made of a bounded part of them."""
+    sizes, made = [], minmax_hash.shingle_sets
+    monkeypatch.setattr(minmax_hash, "shingle_sets", lambda t, w: sizes.append(sum(map(len, t))) or made(t, w))
+    pack = zstandard.ZstdCompressor()
+    texts = [" ".join(f"w{i}" for i in range(20_000 + k)) for k in range(20)] + ["quite another text of a few words"]
+    frame = pd.DataFrame({
+        "hub": 0, "salt": 0, "node": range(len(texts)), "is_hub": [True] + [False] * 20,
+        "packed": [pack.compress(t.encode()) for t in texts],
+    })
+    found = minmax_hash._confirm(75, 5)(frame)
+    assert found.to_numpy().tolist() == [[k, 0] for k in range(1, 20)]
+    assert max(sizes) <= minmax_hash.PIECE + max(map(len, texts))
