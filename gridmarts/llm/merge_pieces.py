@@ -7,8 +7,9 @@ come up. What is no piece in the end is written as its UTF-8 bytes, or as the un
 
 Two characters that are neighbours in no piece of the vocabulary are never merged, so a text falls apart there. It is
 cut into chunks (marks and a word, or characters that no longer piece has), which are looked up in a table; the table is
-bounded: it is emptied when it is full. The chunks that a batch brings for the first time are merged together, a row of a numpy table
-each, with the row's agenda beside it; long ones have a heap of their own. In every Arrow batch the chunks met for the first time go to the sentencepiece library in one call, and the
+bounded: when it is full, only chunks that came more than once stay, at most half of it. A worker keeps its table from task to task.
+The chunks that a batch brings for the first time are merged together, those of one length as the columns of a numpy table,
+with each column's agenda beside it; long ones have a heap of their own. In every Arrow batch the chunks met for the first time go to the sentencepiece library in one call, and the
 job stops if its ids or its decoded text differ. ``compared`` does the same for whole texts.
 """
 
@@ -16,8 +17,7 @@ from __future__ import annotations
 
 import heapq
 import re
-from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 from operator import add
 
@@ -32,6 +32,7 @@ from gridmarts.llm.shingles import in_pieces
 
 MARK = "▁"  # fixed value: the sign for a blank
 REPLACEMENT = "�"
+NONE = np.int32(1 << 30)  # the agenda's entry where two symbols make no piece
 
 
 class Merger:
@@ -61,6 +62,7 @@ class Merger:
         words = f"{MARK}*[{kind}]+|" if kind else ""
         self.chunk = re.compile(f"{words}{MARK}+|[^{kind}{MARK}]+" if cuts else ".+", re.DOTALL)
         self._pair_table()
+        self._character_tables()
         self.most = most_characters
         self._forget()
 
@@ -75,9 +77,20 @@ class Merger:
         ]
         table = np.array(sorted(made), dtype=np.int64).reshape(-1, 2)
         scores = np.array([self.library.get_score(i) for i in range(len(self.names))], dtype=np.float64)
+        _, rank = np.unique(-scores, return_inverse=True)  # the best score is 0, equal ones are alike
         self.keys = np.r_[table[:, 0], np.int64(1) << 62]
-        self.made = np.r_[table[:, 1], 0]
-        self.costs = np.r_[-scores[table[:, 1]], np.inf]
+        self.made = np.r_[table[:, 1], 0].astype(np.int32)
+        self.ranks = np.r_[rank[table[:, 1]], 0].astype(np.int32)
+
+    def _character_tables(self) -> None:
+        """The symbol of every character, and the characters that every id shows (none where it has no text of its own)."""
+        self.of_character = np.arange(0x110000, dtype=np.int32) + np.int32(len(self.names) + 1)
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.of_character[ord(piece)] = i
+        self.shown_length = np.array([-1 if x is None else len(x) for x in self.shown], dtype=np.int64)
+        self.shown_end = np.cumsum(np.maximum(self.shown_length, 0))
+        self.shown_codes = _codes("".join(x or "" for x in self.shown))
 
     def _symbol(self, text: str) -> int:
         """A piece's id; a character that is no piece has a number beyond all ids."""
@@ -86,8 +99,25 @@ class Merger:
 
     def _forget(self) -> None:
         self.known = _Answers(self)
-        self.flat, self.start, self.count, self.plain = array("i"), array("q"), array("q"), array("b")
-        self.chunks, self.text, self.held = [], [], 0
+        self.chunks, self.held, self.odd = [], 0, {}  # odd: the decoded text of chunks that do not decode to themselves
+        self.flat = np.zeros(0, dtype=np.int32)
+        self.start, self.count, self.uses = (np.zeros(0, dtype=np.int64) for _ in range(3))
+
+    def _make_room(self) -> None:
+        """Keep the chunks that came more than once, the most frequent first, in at most half the table."""
+        often = np.flatnonzero(self.uses > 1)
+        often = often[np.argsort(-self.uses[often], kind="stable")]
+        sizes = np.fromiter((len(self.chunks[i]) for i in often.tolist()), dtype=np.int64, count=len(often))
+        stay = np.sort(often[np.cumsum(sizes) <= self.most // 2])
+        chunks, odd, start, count, uses = self.chunks, self.odd, self.start, self.count, self.uses
+        flat = _stretches(self.flat, start[stay], count[stay])
+        self._forget()
+        self.chunks = [chunks[i] for i in stay.tolist()]
+        self.known.update(zip(self.chunks, range(len(stay))))
+        self.odd = {k: odd[i] for k, i in enumerate(stay.tolist()) if i in odd}
+        self.held = sum(map(len, self.chunks))
+        self.flat, self.count, self.uses = flat, count[stay], uses[stay] // 2
+        self.start = np.cumsum(self.count) - self.count
 
     def merged(self, text: str) -> list[str]:
         """The symbols that are left when no adjacent pair is a piece."""
@@ -131,48 +161,46 @@ class Merger:
                 out.append(self.unknown)
         return out
 
-    def _looked_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """What each pair makes and its cost, infinite where it makes nothing."""
-        key = left << 21 | right
+    def _looked_up(self, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What each pair makes, and its entry on the agenda: the rank of its score, then the pair's place in the text."""
+        key = left.astype(np.int64) << 21 | right
         at = np.searchsorted(self.keys, key)
-        hit = self.keys[at] == key
-        return self.made[at], np.where(hit, self.costs[at], np.inf)
-
-    def merged_together(self, texts: list[str]) -> list[list[int]]:
-        """The symbols of many short texts. Each row has its own agenda, and every step takes the best entry of every row."""
-        none = len(self.names)
-        wide = max(map(len, texts))
-        codes = np.frombuffer("".join(t.ljust(wide, "\0") for t in texts).encode("utf-32-le"), dtype=np.uint32)
-        every, back = np.unique(codes, return_inverse=True)
-        symbols = np.array([self._symbol(chr(c)) for c in every.tolist()], dtype=np.int64)[back].reshape(len(texts), wide)
-        length = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-        column = np.arange(wide)
-        symbols[column >= length[:, None]] = none  # beyond the end of a text
-        out = symbols.copy()
-        rows = np.arange(len(texts))
-        piece, cost = self._looked_up(symbols[:, :-1], symbols[:, 1:])
-        while len(rows) and cost.shape[1]:
-            at = cost.argmin(axis=1)  # the leftmost of equals
-            own = np.arange(len(rows))
-            more = cost[own, at] < np.inf
-            out[rows[~more]] = symbols[~more]
-            rows, symbols, piece, cost, at = rows[more], symbols[more], piece[more], cost[more], at[more]
-            if not len(rows):
-                break
-            own = np.arange(len(rows))
-            symbols[own, at] = piece[own, at]
-            # close the gap; the pair that began with the right symbol is gone
-            symbols = np.take_along_axis(symbols, np.minimum(column + (column > at[:, None]), wide - 1), axis=1)
-            symbols[:, -1] = none
-            shift = np.minimum(column[:-1] + (column[:-1] > at[:, None]), wide - 2)
-            piece, cost = np.take_along_axis(piece, shift, axis=1), np.take_along_axis(cost, shift, axis=1)
-            cost[:, -1] = np.inf
-            for k in (at, at - 1):
-                has = (k >= 0) & (k < wide - 1)
-                r, c = own[has], k[has]
-                piece[r, c], cost[r, c] = self._looked_up(symbols[r, c], symbols[r, c + 1])
-        n = (out != none).sum(axis=1)
-        return [row[:k] for row, k in zip(out.tolist(), n.tolist())]
+        return self.made[at], np.where(self.keys[at] == key, self.ranks[at] << 6 | place, NONE)
+
+    def merged_together(self, texts: list[str]) -> np.ndarray:
+        """The symbols of many texts of one length below 64, a row each, with -1 at places that were merged into others.
+
+        Each text is a column with an agenda of its own, and every step merges the best pair of every column: the
+        left symbol becomes the piece, the right one goes, and the neighbours' pairs are looked up anew.
+        """
+        wide = len(texts[0])
+        symbols = np.full((wide + 1, len(texts)), len(self.names), dtype=np.int32)  # the last row is no symbol
+        symbols[:-1] = self.of_character[_codes("".join(texts)).reshape(len(texts), wide).T]
+        place = np.arange(wide, dtype=np.int32)[:, None]
+        made, agenda = self._looked_up(symbols[:-1], symbols[1:], place)
+        made, agenda = (np.concatenate([x, x[:1]]) for x in (made, agenda))
+        agenda[-1] = NONE
+        after = np.repeat(np.arange(1, wide + 2)[:, None], len(texts), axis=1)
+        before = np.repeat(np.r_[wide, np.arange(wide)][:, None], len(texts), axis=1)
+        out, columns = np.empty((len(texts), wide), dtype=np.int32), np.arange(len(texts))
+        while True:
+            best = agenda.min(axis=0)  # the leftmost of equals
+            own = np.flatnonzero(best < NONE)
+            if len(own) <= len(columns) // 2:  # leave out the columns that are done
+                out[columns] = symbols[:-1].T
+                if not len(own):
+                    return out
+                symbols, made, agenda, after, before = (x[:, own] for x in (symbols, made, agenda, after, before))
+                best, columns, own = best[own], columns[own], np.arange(len(own))
+            left = (best[own] & 63).astype(np.int64)
+            right, piece = after[left, own], made[left, own]
+            behind, ahead = after[right, own], before[left, own]
+            symbols[left, own], symbols[right, own], agenda[right, own] = piece, -1, NONE
+            after[left, own], before[behind, own] = behind, left
+            at, twice = np.r_[ahead, left], np.r_[own, own]
+            made[at, twice], agenda[at, twice] = self._looked_up(
+                np.r_[symbols[ahead, own], piece], np.r_[piece, symbols[behind, own]], at
+            )
 
     def decode(self, ids: list[int], begins: bool = True) -> str:
         """The text of ids. Where a text ``begins``, the mark that was put before it is left out."""
@@ -202,52 +230,103 @@ class Merger:
 
     def _learn(self, short: int = 40, rows: int = 4096) -> None:
         """Encode and decode the chunks asked for since the last time, and ask the library, too."""
-        new = self.chunks[len(self.text) :]
-        found: list[list[int]] = [[]] * len(new)
-        order = sorted((i for i, c in enumerate(new) if len(c) <= short), key=lambda i: len(new[i]))
-        for lo in range(0, len(order), rows):
-            part = order[lo : lo + rows]
-            for i, symbols in zip(part, self.merged_together([new[i] for i in part])):
-                found[i] = symbols if max(symbols) < len(self.names) else self._written(symbols)
-        for i, chunk in enumerate(new):
-            ids = found[i] or self.pieces(chunk)
-            text = self.decode(ids, begins=False)
-            found[i] = ids
-            self.start.append(len(self.flat))
-            self.count.append(len(ids))
-            self.flat.extend(ids)
-            self.text.append(text)
-            self.plain.append(text == chunk.replace(MARK, " "))
-            self.held += len(chunk)
+        old = len(self.start)
+        new = self.chunks[old:]
+        if not new:
+            return
+        length = np.fromiter(map(len, new), dtype=np.int64, count=len(new))
+        order = np.argsort(length, kind="stable")
+        found, counts = [], []  # in this order
+        edges = np.flatnonzero(np.r_[True, np.diff(length[order]) > 0, True])
+        for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            for at in range(lo, hi, rows):
+                part = order[at : min(at + rows, hi)].tolist()
+                texts = [new[i] for i in part]
+                ids, count = self._together(texts) if len(texts[0]) <= short else _joined(map(self.pieces, texts))
+                for k in np.flatnonzero(~self._plain(texts, ids, count)).tolist():
+                    end = count[: k + 1].sum()
+                    text = self.decode(ids[end - count[k] : end].tolist(), begins=False)
+                    if text != texts[k].replace(MARK, " "):
+                        self.odd[old + part[k]] = text
+                found.append(ids)
+                counts.append(count)
+        count = np.concatenate(counts)
+        start = np.empty((2, len(new)), dtype=np.int64)
+        start[:, order] = np.cumsum(count) - count + len(self.flat), count
+        self.flat = np.concatenate([self.flat, *found])
+        self.start, self.count = np.r_[self.start, start[0]], np.r_[self.count, start[1]]
+        self.uses = np.r_[self.uses, np.zeros(len(new), dtype=np.int64)]
+        self.held += int(length.sum())
+        self._ask(old, new)
+
+    def _together(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of texts of one length, one text after the other, and how many each has."""
+        symbols = self.merged_together(texts)
+        if symbols.max() > len(self.names):  # characters that are no pieces
+            return _joined(self._written([s for s in row if s >= 0]) for row in symbols.tolist())
+        stay = symbols >= 0
+        return symbols[stay], stay.sum(axis=1)
+
+    def _plain(self, texts: list[str], ids: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Which texts, all of one length and with blanks for marks, are the pieces of their ids."""
+        wide = len(texts[0])
+        length = self.shown_length[ids]
+        edges = np.cumsum(count) - count
+        plain = (np.add.reduceat(length, edges) == wide) & (np.minimum.reduceat(length, edges) >= 0)
+        ids = ids[np.repeat(plain, count)]
+        shown = _stretches(self.shown_codes, self.shown_end[ids] - self.shown_length[ids], self.shown_length[ids])
+        own = _codes("".join(texts).replace(MARK, " ")).reshape(len(texts), wide)
+        plain[plain] = (shown.reshape(-1, wide) == own[plain]).all(axis=1)
+        return plain
+
+    def _ask(self, old: int, new: list[str]) -> None:
+        """Compare the ids and the decoded text of new chunks with the library's."""
         # the library puts the first mark itself: a chunk without one, or a lone mark, can't be asked for where it does
         asked = [i for i, c in enumerate(new) if not self.marks or (c[0] == MARK and len(c) > 1)]
-        theirs = self.library.encode([new[i][1:] if self.marks else new[i] for i in asked], num_threads=1)
-        texts = self.library.decode(theirs, num_threads=1) if theirs else []
-        known = self.text[len(self.text) - len(new) :]
-        for i, ids, text in zip(asked, theirs, texts):
-            if ids != found[i] or text != (known[i][1:] if self.marks else known[i]):
+        if not asked:
+            return
+        bare = [new[i][1:] if self.marks else new[i] for i in asked]
+        theirs = self.library.encode(bare, num_threads=1)
+        ids, count = _joined(theirs)
+        at = np.array(asked) + old
+        same = np.array_equal(count, self.count[at]) and np.array_equal(ids, _stretches(self.flat, self.start[at], self.count[at]))
+        shown = [text.replace(MARK, " ") for text in bare]
+        for k in np.flatnonzero(np.isin(at, list(self.odd))).tolist():
+            shown[k] = self.odd[old + asked[k]][1:] if self.marks else self.odd[old + asked[k]]
+        texts = self.library.decode(theirs, num_threads=1)
+        if same and texts == shown:
+            return
+        for i, ids, text, own in zip(asked, theirs, texts, shown):
+            at = self.start[old + i]
+            if ids != self.flat[at : at + self.count[old + i]].tolist() or text != own:
                 raise ValueError(f"the library differs on {new[i]!r}")
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, str]]:
         """(ids, decoded text) of each text."""
         if self.held > self.most:
-            self._forget()
+            self._make_room()
         whole = [self.library.normalize(t) for t in texts]
         cut = [self.chunk.findall(t) for t in whole]
         sizes = np.array([len(c) for c in cut], dtype=np.int64)
         number = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), dtype=np.int64, count=sizes.sum())
-        self._learn()
-        start, count, ids, plain = (np.array(x) for x in (self.start, self.count, self.flat, self.plain))
-        n = count[number]
-        ends = np.cumsum(n)
-        flat = ids[np.repeat(start[number] - (ends - n), n) + np.arange(n.sum())]
-        odd = plain[number] == 0
+        try:
+            self._learn()
+        except BaseException:
+            self._forget()  # the table has chunks without an answer
+            raise
+        self.uses += np.bincount(number, minlength=len(self.uses))
+        n = self.count[number]
+        flat = _stretches(self.flat, self.start[number], n)
+        odd = np.zeros(len(self.start), dtype=bool)
+        odd[list(self.odd)] = True
+        odd = odd[number]
         edges = np.r_[0, np.cumsum(sizes)]
-        at = np.r_[0, ends][edges]
+        at = np.r_[0, np.cumsum(n)][edges]
         out = []
         for i, text in enumerate(whole):
             if odd[edges[i] : edges[i + 1]].any():
-                text = "".join([self.text[k] for k in number[edges[i] : edges[i + 1]]])
+                own = number[edges[i] : edges[i + 1]].tolist()
+                text = "".join([self.odd[k] if k in self.odd else self.chunks[k].replace(MARK, " ") for k in own])
             else:
                 text = text.replace(MARK, " ")  # what each of its chunks decodes to
             # the mark was put there by the normaliser
@@ -256,6 +335,23 @@ class Merger:
         return out
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+
+
+def _stretches(values: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """values[start : start + count] of every stretch, one after the other."""
+    ends = np.cumsum(count)
+    return values[np.repeat(start - (ends - count), count) + np.arange(count.sum())]
+
+
+def _joined(lists: Iterable[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all lists, one after the other, and how many each has."""
+    lists = list(lists)
+    count = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+    return np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=count.sum()), count
+
+
 class _Answers(dict):
     """Chunk -> its number. One that is asked for the first time gets the next."""
 
@@ -294,6 +390,17 @@ def model_bytes(spark: SparkSession, path: str) -> bytes:
         return file.read()
 
 
+_kept: dict[bytes, Merger] = {}
+
+
+def _merger_of(model: bytes) -> Merger:
+    """The worker's own merger, which later tasks with the same model go on with."""
+    if model not in _kept:
+        _kept.clear()
+        _kept[model] = Merger(model)
+    return _kept[model]
+
+
 def encoded(documents: DataFrame, model: str, text_column: str = "text") -> DataFrame:
     """All rows and columns with ``piece_ids``, the ids of the whole text, and ``decoded``, their text.
 
@@ -306,7 +413,7 @@ def encoded(documents: DataFrame, model: str, text_column: str = "text") -> Data
 
     @F.pandas_udf("piece_ids array<int>, decoded string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        merger = Merger(model)
+        merger = _merger_of(model)
         for texts in batches:
             texts = texts.to_list()
             for lo, hi in in_pieces(texts):

@@ -183,6 +183,39 @@ def test_pieces_equal_the_library(merger):
             assert merger.pieces(merger.library.normalize(text)) == ids.tolist()
 
 
+def test_a_full_table_keeps_what_comes_often():
+    """A chunk that came more than once is not worked out again, neither in a full table nor in a worker's next task."""
+    with open(MODEL, "rb") as file:
+        model = file.read()
+    own, asked = merge_pieces.Merger(model, most_characters=400), []
+
+    class Counting:
+        def __getattr__(self, name):
+            return getattr(own_library, name)
+
+        def encode(self, texts, **more):
+            asked.extend(texts)
+            return own_library.encode(texts, **more)
+
+    own_library, own.library = own.library, Counting()
+    text = "again and again a word\x00 that comes \t often, Straße 😀"
+    for k in range(40):
+        whole = f"{text} {'x' * k} {text}"
+        [(ids, decoded)] = own.encode([whole])
+        assert ids.tolist() == own_library.encode(whole) and decoded == own_library.decode(ids.tolist())
+        assert own.held <= 400 + len(whole)
+    assert asked.count("often,") == 1 and asked.count("x" * 27) == 1 and len(own.chunks) < 60
+    assert merge_pieces._merger_of(model) is merge_pieces._merger_of(bytes(bytearray(model)))
+
+
+def test_texts_merged_together_equal_those_merged_alone(merger):
+    rng = random.Random(8)
+    for wide in (1, 2, 3, 9, 40):
+        texts = ["".join(rng.choices("▁theinrsaé中😀", k=wide)) for _ in range(300)]
+        for text, row in zip(texts, merger.merged_together(texts).tolist()):
+            assert [s for s in row if s >= 0] == [merger._symbol(s) for s in merger.merged(text)], text
+
+
 def test_any_ids_decode_as_in_the_library(merger):
     rng = random.Random(6)
     for _ in range(4_000):
