@@ -157,6 +157,18 @@ def test_splitters_come_from_the_whole_table(spark, words):
     assert sum(s in own for s in splitters) < 16
 
 
+def test_a_passage_of_all_documents_fills_no_bucket(words):
+    line = words(1, 9) + " "
+    texts = [words(100 + k, 20) + line * 30 for k in range(400)]
+    frame = pd.DataFrame({"doc": np.arange(400) * 7_919, "text": texts})
+    cuts = [bytes([c]) * 64 for c in b"dgjmpsv"]
+    found = pd.concat(suffix_dedup._suffixes(400, 64, cuts)(iter([frame])))
+    passed = found[found["lead"].isna()]
+    assert passed["known"].all() and passed["gram"].value_counts().iloc[0] > 1_000  # one anchor in all of them
+    n = passed["bucket"].value_counts()
+    assert len(n) == 8 and n.max() < 1.5 * n.min()
+
+
 def test_pairs_are_confirmed_on_few_characters_at_once(monkeypatch):
     """However long the texts of a batch are, arrays are made of a bounded part of them."""
     sizes, made = [], minmax_hash.shingle_sets
