@@ -169,6 +169,39 @@ def test_a_passage_of_all_documents_fills_no_bucket(words):
     assert len(n) == 8 and n.max() < 1.5 * n.min()
 
 
+def test_a_stretch_of_all_documents_fills_no_task(spark):
+    """Rows of one frequent stretch are marked where they are; those that occur twice and once are told apart."""
+    rows = spark.range(0, 24_000, numPartitions=8).selectExpr(
+        "id as doc", "10L as lo", "20L as hi", "15L as s", "7L as gram",
+        "case when id < 20000 then 1L when id < 22000 then id div 2 else id end as u1", "2L as u2",
+    )
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        judged = suffix_dedup._judged(rows).select("doc", "all", F.spark_partition_id().alias("task")).toPandas()
+        looked = suffix_dedup._to_look_at(suffix_dedup._judged(rows), ["gram"])
+        places = sorted(r["doc"] for r in looked.select("doc").collect())
+    finally:
+        spark.conf.set(threshold, before)
+    assert sorted(judged["doc"]) == list(range(24_000))
+    assert sorted(judged["doc"][judged["all"].notna()]) == list(range(22_000))
+    assert judged["task"].value_counts().max() < 6_000
+    assert places[-2_000:] == list(range(22_000, 24_000)) and len(places) == 1 + 1_000 + 2_000
+
+
+def test_frequent_stretches_equal_brute_force(spark, words, monkeypatch):
+    """However few rows make a stretch frequent, the same bytes go."""
+    texts = passages(words)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    expected = [int(gone.sum()) for gone in covered(texts, 100)[1]]
+    for least in (1, 3):
+        monkeypatch.setattr(suffix_dedup, "FREQUENT", least, raising=False)
+        found = suffix_dedup.with_repeated(docs, length=100, anchor=32, cell=7)
+        got = {r["doc_id"]: sum(s["end"] - s["start"] for s in r["repeated"]) for r in found.collect()}
+        assert [got[i] for i in range(len(texts))] == expected
+
+
 def test_pairs_are_confirmed_on_few_characters_at_once(monkeypatch):
     """However long the texts of a batch are, arrays are made of a bounded part of them."""
     sizes, made = [], minmax_hash.shingle_sets
