@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import functions as F
 
 from gridmarts.llm import minmax_hash, suffix_dedup
-from gridmarts.llm.common import whole_text
+from gridmarts.llm.common import Scratch, scratch, whole_text
 from gridmarts.llm.shingles import shingle_sets
 
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
@@ -202,6 +202,32 @@ def test_frequent_stretches_equal_brute_force(spark, words, monkeypatch):
         assert [got[i] for i in range(len(texts))] == expected
 
 
+def test_marks_are_joined_row_by_row(spark, words, monkeypatch):
+    """No join of stretches returns more rows because more of them are frequent: each returns its rows once."""
+    rows = spark.range(0, 3_000).selectExpr(
+        "id as doc", "10L as lo", "20L as hi", "15L as s", "7L as gram", "if(id < 2000, 1L, id div 2) as u1", "2L as u2"
+    )
+    plans, store = {}, Scratch.store
+
+    def noted(self, df, name):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().optimizedPlan().toString())
+        return store(self, df, name)
+
+    monkeypatch.setattr(Scratch, "store", noted)
+    texts = passages(words)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    with monkeypatch.context() as few:
+        few.setattr(suffix_dedup, "FREQUENT", 1)
+        suffix_dedup.with_repeated(docs, length=100, anchor=32, cell=7)
+    for name in ("wholes", "parts", "marked"):
+        assert not any("LeftSemi" in p or "LeftAnti" in p for p in plans.get(name, [])), name
+    assert plans["marked"] and all("Join LeftOuter" in p for p in plans["wholes"])
+    with scratch(spark, "marks") as tables:
+        kept = tables.store(rows, "rows")
+        judged = tables.store(suffix_dedup._judged(kept, tables), "judged")
+        assert judged.where("all").count() == judged.count() == judged.select("doc").distinct().count() == 3_000
+
+
 def test_pairs_are_confirmed_on_few_characters_at_once(monkeypatch):
     """However long the texts of a batch are, arrays are made of a bounded part of them."""
     sizes, made = [], minmax_hash.shingle_sets
