@@ -40,7 +40,7 @@ def minhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     first = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_key").alias("key"))
     # an aggregate instead of a row number: a large group is reduced in every task that meets it
     chosen = found.groupBy("component_key").agg(F.min(first)["key"].alias("_row"), F.max("n_shingles").alias("_n"))
-    rows = docs.withColumn("_row", F.xxhash64("doc_id", whole_text())).join(chosen.drop("component_key"), "_row")
+    rows = docs.withColumn("_row", F.xxhash64("doc_id", whole_text())).join(chosen.drop("component_key").hint("merge"), "_row")
     # of rows alike in id and text one stays, unless they have no words
     own = F.when(F.col("_n") == 0, F.struct(*COLUMNS))
     kept = rows.groupBy("_row", "_n", own.alias("_own")).agg(F.min(F.struct(*COLUMNS)).alias("_doc"), F.count("*").alias("_times"))

@@ -19,6 +19,9 @@ at similarity 0.75 misses all 32 bands with probability 5e-6.
 
 So buckets of copies are never expanded into pairs, and no link between different texts is
 given up for the size of a group.
+
+Tables with a row for each node, bucket or pair are joined by sorting and merging. Spark would take them to be as
+large as their compressed files, a node's bands to be a single row, and broadcast what does not fit into the driver.
 """
 
 from __future__ import annotations
@@ -226,7 +229,7 @@ def _confirm(percent: int, words: int):
 def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, words: int, load: int = 256) -> DataFrame:
     """The pairs (a, b) that reach the threshold on full sets. A hub b with many is salted."""
     salts = pairs.groupBy(F.col("b").alias("hub")).agg(F.ceil(F.count("*") / load).cast("int").alias("salts"))
-    tried = pairs.withColumnRenamed("b", "hub").join(salts, "hub").select(
+    tried = pairs.withColumnRenamed("b", "hub").join(salts.hint("merge"), "hub").select(
         F.col("a").alias("node"), "hub", F.pmod(F.xxhash64("a"), "salts").cast("int").alias("salt"), F.lit(False).alias("is_hub")
     )
     held = salts.select(
@@ -235,7 +238,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, words: int, loa
     rows = tried.unionByName(held)
     tasks = max(1, math.ceil(pairs.count() / load))
     return (
-        rows.join(texts, "node")
+        rows.join(texts.hint("merge"), "node")
         .groupBy(F.pmod(F.xxhash64("hub", "salt"), F.lit(tasks)).alias("deal"))
         .applyInPandas(_confirm(percent, words), "a long, b long")
     )
@@ -279,13 +282,13 @@ def near_duplicates(
         parts = components(links, tables)
         # rows: row -> node -> set -> component -> smallest document id
         keys = ["n", "set_low", "set_high"]
-        placed = signed.select("node", *keys).distinct().join(sets.select(*keys, "rep"), keys, "left").join(
-            parts.withColumnRenamed("node", "rep"), "rep", "left"
+        placed = signed.select("node", *keys).distinct().join(sets.select(*keys, "rep").hint("merge"), keys, "left").join(
+            parts.withColumnRenamed("node", "rep").hint("merge"), "rep", "left"
         ).select("node", "n", F.coalesce("component", "rep", "node").alias("component"))
-        per_row = tables.store(ids.join(placed, "node"), "rows")
+        per_row = tables.store(ids.join(placed.hint("merge"), "node"), "rows")
         smallest = per_row.groupBy("component").agg(F.min("id").alias("component_id"))
         empty = F.col("n") == 0
-        out = per_row.join(smallest, "component").select(
+        out = per_row.join(smallest.hint("merge"), "component").select(
             F.col("id").alias(id_column),
             F.col("n").alias("n_shingles"),
             F.when(empty, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
@@ -297,16 +300,16 @@ def near_duplicates(
 def _links(docs: DataFrame, reps: DataFrame, tables: Scratch, least: int, percent: int, words: int, block: int) -> DataFrame:
     met = reps.select("node", F.posexplode("bands").alias("band", "key"))
     heads = met.groupBy("band", "key").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1")
-    placed = tables.store(met.join(heads, ["band", "key"]), "placed")
+    placed = tables.store(met.join(heads.hint("merge"), ["band", "key"]), "placed")
     some = placed.select("node").distinct()
     texts = docs.select("node", "text").mapInPandas(_compressed, "node long, packed binary")
-    texts = tables.store(texts.join(some, "node", "left_semi").dropDuplicates(["node"]), "texts")
+    texts = tables.store(texts.join(some.hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "texts")
     sketches = reps.select("node", "sketch")
 
     # against the smallest node of a bucket: the smallest and the most alike of a node's heads
     stars = placed.where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
     likely = (
-        stars.join(sketches.toDF("a", "sa"), "a").join(sketches.toDF("b", "sb"), "b")
+        stars.join(sketches.toDF("a", "sa").hint("merge"), "a").join(sketches.toDF("b", "sb").hint("merge"), "b")
         .mapInPandas(_agree(least), "a long, b long, same long")
     )
     chosen = likely.groupBy("a").agg(F.min("b").alias("low"), F.max_by("b", F.struct("same", "b")).alias("near"))
@@ -317,16 +320,16 @@ def _links(docs: DataFrame, reps: DataFrame, tables: Scratch, least: int, percen
     parts = components(found, tables)
 
     # across components, what is left in each bucket
-    where = placed.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    where = placed.join(parts.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     where = tables.store(where, "where")
     open_ = where.groupBy("band", "key").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi")
     ).where("lo < hi").select("band", "key")
-    dealt = deal_blocks(where.join(open_, ["band", "key"]), ["band", "key"], "node", "n", block)
+    dealt = deal_blocks(where.join(open_.hint("merge"), ["band", "key"]), ["band", "key"], "node", "n", block)
     dealt = tables.store(dealt.select("band", "key", "p", "q", "side", "node", "component"), "dealt")
     tasks = max(1, math.ceil(dealt.count() / (2 * block)))
     forest = (
-        dealt.join(reps, "node").join(texts, "node")
+        dealt.join(reps.hint("merge"), "node").join(texts.hint("merge"), "node")
         .groupBy(F.pmod(F.xxhash64("band", "key", "p", "q"), F.lit(tasks)).alias("deal"))
         .applyInPandas(_forest(least, percent, words), "a long, b long")
     )

@@ -152,7 +152,7 @@ def find_secrets(versions: DataFrame, ledger: str, path_column: str, text_column
     """
     found = scan(versions, ledger, path_column, text_column, rules).toDF("_blob", "_spans")
     rows = versions.withColumn("_blob", blob_of(whole_text(text_column)))
-    joined = rows.join(found, "_blob").withColumn("secret_spans", F.col("_spans"))
+    joined = rows.join(found.hint("merge"), "_blob").withColumn("secret_spans", F.col("_spans"))
     return joined.drop("_blob", "_spans")
 
 

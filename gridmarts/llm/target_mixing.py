@@ -181,7 +181,7 @@ def mixed(
         counted = tables.store(memberships(plain, lexicon, domains), "members")
         # repeated rows were counted together: their words count once per row
         copies = rows.groupBy(F.col(node).alias("node")).agg(F.count("*").alias("weight"))
-        members = counted.join(copies, "node").withColumn("n", (F.col("n") / F.col("weight")).cast("long"))
+        members = counted.join(copies.hint("merge"), "node").withColumn("n", (F.col("n") / F.col("weight")).cast("long"))
         rates = fit_rates(members, [targets[d] for d in domains], tables, **limits)
         shares = [F.element_at("p", domains.index(d) + 1) if d in domains else F.lit(0.0) for d in all_domains]
         out = tables.store(
@@ -193,7 +193,7 @@ def mixed(
     chance = F.pmod(F.xxhash64(F.lit("copies"), node), F.lit(1 << 30)) / float(1 << 30)
     whole = (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("int")).cast("int")
     clash = [c for c in ("n_tokens", "posteriors", "rate", "copies") if c in documents.columns]
-    return rows.drop(*clash).join(out, node).withColumn("copies", whole).drop(node)
+    return rows.drop(*clash).join(out.hint("merge"), node).withColumn("copies", whole).drop(node)
 
 
 def bounded_labels(documents: DataFrame, domain_column: str = "lang", most_rows: int = 20_000) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 import corpus_pipeline
 from gridmarts.llm import target_mixing
+from gridmarts.llm.common import Scratch
 
 DOCUMENTS = T.StructType(
     [
@@ -77,3 +78,31 @@ def test_mixing_of_absent_languages_and_clashing_names(spark, words):
 
 def test_mixing_of_an_empty_table(spark):
     assert corpus_pipeline.mixing(spark, spark.createDataFrame([], DOCUMENTS), "").count() == 0
+
+
+def test_tables_with_a_row_for_each_document_are_not_broadcast(spark, words, monkeypatch):
+    """Their files may be far smaller than their rows, as those of near copies are, and the driver has to hold them."""
+    plans = []
+
+    def physical(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def store(self, df, name, plain=Scratch.store):
+        plans.append((name, physical(df)))
+        return plain(self, df, name)
+
+    monkeypatch.setattr(Scratch, "store", store)
+    texts = [words(i % 30, 80) + f" copy {i}" for i in range(120)]
+    docs = spark.createDataFrame([(i, t, ("en", "de", "es", "fr")[i % 30 % 4], "x", len(t)) for i, t in enumerate(texts)], DOCUMENTS)
+    # of the stages named here only bounded tables may be broadcast: rules, lexicon and chosen ids, which are not looked at
+    stages = {"minhash": None, "secrets": set(), "mixing": {"rates"}}
+    for stage, looked_at in stages.items():
+        plans.clear()
+        out = getattr(corpus_pipeline, stage)(spark, docs, "")
+        plans.append(("returned", physical(out)))
+        found = [(n, p) for n, p in plans if looked_at is None or n in {*looked_at, "returned"}]
+        assert any("Join" in p for _, p in found)
+        assert [n for n, p in found if "BroadcastHashJoin" in p] == [], stage
+        if stage == "minhash":
+            assert {n for n, _ in found} >= {"placed", "texts", "tried", "found", "where", "dealt", "forest", "stars1", "rows", "result"}
+            assert out.count() == 30  # one of each group of four
