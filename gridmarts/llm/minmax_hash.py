@@ -20,7 +20,7 @@ at similarity 0.75 misses all 32 bands with probability 5e-6.
 So buckets of copies are never expanded into pairs, and no link between different texts is
 given up for the size of a group.
 
-Tables with a row for each node, bucket or pair are joined by sorting and merging. Spark would take them to be as
+Stored tables with a row for each node, bucket or pair are joined by sorting and merging. Spark would take them to be as
 large as their compressed files, a node's bands to be a single row, and broadcast what does not fit into the driver.
 """
 
@@ -303,7 +303,7 @@ def _links(docs: DataFrame, reps: DataFrame, tables: Scratch, least: int, percen
     placed = tables.store(met.join(heads.hint("merge"), ["band", "key"]), "placed")
     some = placed.select("node").distinct()
     texts = docs.select("node", "text").mapInPandas(_compressed, "node long, packed binary")
-    texts = tables.store(texts.join(some.hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "texts")
+    texts = tables.store(texts.join(some, "node", "left_semi").dropDuplicates(["node"]), "texts")
     sketches = reps.select("node", "sketch")
 
     # against the smallest node of a bucket: the smallest and the most alike of a node's heads

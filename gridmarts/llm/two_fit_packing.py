@@ -47,7 +47,7 @@ def _pieces(vocabulary: str, end_id: int | None, size: int):
         end = np.array([] if end_id is None else [end_id], dtype=np.uint32)
         for frame in batches:
             texts, ids = frame["text"].to_list(), frame["id"].to_list()
-            for lo, hi in in_pieces(texts):
+            for lo, hi in in_pieces(texts, 1_000_000):
                 rows = []
                 for doc, tokens in zip(ids[lo:hi], cache.encode(texts[lo:hi])):
                     tokens = np.concatenate([tokens, end]).astype("<u4")
