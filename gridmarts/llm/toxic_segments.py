@@ -121,7 +121,8 @@ def _text_features(batches):
     for frame in batches:
         for label, text in zip(frame["label"], frame["text"]):
             seen = {f for w in {w.lower() for w in WORD.findall(text)} for f in features(w)}
-            yield pd.DataFrame({"feature": sorted(seen), "label": np.int64(label)})
+            if seen:  # a frame without rows would have no strings, which Arrow refuses
+                yield pd.DataFrame({"feature": sorted(seen), "label": np.int64(label)})
 
 
 def _near_copy_key(batches):

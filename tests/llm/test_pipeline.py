@@ -120,3 +120,21 @@ def test_tables_with_a_row_for_each_document_are_not_broadcast(spark, words, mon
         if stage == "minhash":
             assert {n for n, _ in found} >= {"placed", "texts", "tried", "found", "where", "dealt", "forest", "stars1", "rows", "result"}
             assert out.count() == 30  # one of each group of four
+
+
+def test_labelled_texts_without_words_teach_nothing(spark, words, tmp_path):
+    """Null and empty texts, and those without letters, of either label; they stay, as they have no toxic passage."""
+    rows = [(i, words(i, 30) + (" vile filth scum rotten vile filth" if i % 4 == 0 else "")) for i in range(40)]
+    blank = [(100, None), (101, None), (102, ""), (103, " \n"), (104, "2024 10-3 !?"), (105, "77 88 99")]
+    table = lambda some: spark.createDataFrame([(i, t, "en", "x", len(t or "")) for i, t in some], DOCUMENTS)
+    labels = [(i, int(i % 4 == 0)) for i in range(40)]
+
+    def kept(labels, some, at):
+        spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{tmp_path}/{at}/labels.parquet")
+        return {r["doc_id"] for r in corpus_pipeline.toxicity(spark, table(some), f"{tmp_path}/{at}").collect()}
+
+    got = kept(labels + [(i, i % 2) for i, _ in blank], rows + blank, "with")
+    assert {i for i, _ in blank} <= got
+    assert got - {i for i, _ in blank} == kept(labels, rows, "without")
+    # no text with words at all: they are scored alike
+    assert kept([(i, i % 2) for i, _ in blank], blank, "only") in (set(), {i for i, _ in blank})
